@@ -1,0 +1,22 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after its row count is proven below a cap; the count
+scans at most ``cap + 1`` rows, so the check itself is bounded.  Above the cap
+the plain DataFrame is returned and the join shuffles (AQE may still switch to
+a broadcast at runtime from real statistics).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_row_count(df: DataFrame, cap: int) -> int:
+    return df.limit(cap + 1).count()
+
+
+def broadcast_if_bounded(df: DataFrame, cap: int) -> DataFrame:
+    if bounded_row_count(df, cap) <= cap:
+        return F.broadcast(df)
+    return df
