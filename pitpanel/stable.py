@@ -1,10 +1,13 @@
 """Deterministic rounding of floating-point outputs for cross-engine checks.
 
 Sums, averages, ``exp``/``ln`` and ``pow`` may differ in the last bits between
-Spark and another engine.  Each double is rounded to 7 significant digits
-with ``floor(x * s + 0.5) / s`` where the scale ``s`` comes from a fixed ladder
-of powers of ten -- plain IEEE arithmetic, so every engine rounds identically.
-The same ladder is emitted as SQL for the DuckDB twin.
+Spark and another engine.  Each double is rounded to a binary significand of
+24-28 bits with ``floor(x * s + 0.5) / s`` where ``s`` is a power of two picked
+from a fixed ladder of magnitude bands.  Scaling by a power of two is exact,
+so every engine rounds identically, and the rounding midpoints are dyadic
+numbers: decimal "nice" results such as 1121 x 0.95^2 = 1011.7025 never sit on
+one (they would on a decimal grid).  The same ladder is emitted as SQL for the
+DuckDB twin.
 """
 
 from __future__ import annotations
@@ -13,29 +16,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# fixed values: magnitude bands 1e12 .. 1e-6, 7 significant digits
-BANDS = list(range(12, -7, -1))
-DIGITS = 7
+# fixed values: bands [2^e, 2^(e+4)) for e = 40, 36, ..., -4 keep 24 bits below
+# the band; anything smaller than 2^-4 is rounded on the absolute grid 2^-28,
+# so cancellation noise (x - mean(x) = 1e-16 instead of 0) rounds to zero.
+BANDS = list(range(40, -8, -4))
+BITS = 24
 
 
 def _scale(e: int) -> float:
-    return float(10.0 ** (DIGITS - 1 - e))
+    return float(2.0 ** (BITS - e))
 
 
 def round_sig(x: Column) -> Column:
     ax = F.abs(x)
     s = None
     for e in BANDS:
-        cond = ax >= F.lit(float(10.0 ** e))
+        cond = ax >= F.lit(float(2.0 ** e))
         val = F.lit(_scale(e))
         s = F.when(cond, val) if s is None else s.when(cond, val)
-    s = s.otherwise(F.lit(_scale(BANDS[-1] - 1)))
+    s = s.otherwise(F.lit(_scale(BANDS[-1])))
     return F.floor(x * s + F.lit(0.5)) / s
 
 
 def round_sig_sql(col: str) -> str:
-    parts = " ".join(f"WHEN abs({col}) >= {float(10.0 ** e)!r} THEN {_scale(e)!r}" for e in BANDS)
-    s = f"(CASE {parts} ELSE {_scale(BANDS[-1] - 1)!r} END)"
+    parts = " ".join(f"WHEN abs({col}) >= {float(2.0 ** e)!r} THEN {_scale(e)!r}" for e in BANDS)
+    s = f"(CASE {parts} ELSE {_scale(BANDS[-1])!r} END)"
     return f"(floor({col} * {s} + 0.5) / {s})"
 
 
