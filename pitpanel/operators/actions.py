@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import broadcast_if_bounded
+from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
 
 
 def action_steps(actions: DataFrame, factor_cols: list[str]) -> DataFrame:
@@ -33,15 +33,26 @@ def action_steps(actions: DataFrame, factor_cols: list[str]) -> DataFrame:
         *[F.exp(F.sum(f"_ln_{c}").over(suffix)).alias(f"_f_{c}") for c in factor_cols])
 
 
+def materialized_steps(actions: DataFrame) -> DataFrame:
+    """Step table for all three factors, computed once (the seed is a small,
+    hand-maintained table; its size is checked again before broadcasting)."""
+    return materialize_small(action_steps(actions, ["price_factor", "per_share_factor", "share_factor"]))
+
+
 def with_action_factors(df: DataFrame, actions: DataFrame, date_col, out: dict[str, str],
-                        cap: int = 2_000_000) -> DataFrame:
+                        cap: int = 2_000_000, steps: DataFrame | None = None) -> DataFrame:
     """Add ``out_name = COALESCE(prod(factor of actions with date < effective), 1.0)``.
 
     ``out`` maps output column -> seed factor column.  ``date_col`` may be a
     column name or an expression; a NULL date matches nothing (factor 1.0).
+    ``actions`` is the seed, or a step table from ``materialized_steps``.
     """
+    if steps is None and "_a_ticker" in actions.columns:
+        steps = actions
     factors = sorted(set(out.values()))
-    steps = broadcast_if_bounded(action_steps(actions, factors), cap)
+    if steps is None:
+        steps = action_steps(actions, factors)
+    steps = broadcast_if_bounded(steps.select("_a_ticker", "_a_lo", "_a_hi", *[f"_f_{c}" for c in factors]), cap)
     probe = df.withColumn("_a_date", F.col(date_col) if isinstance(date_col, str) else date_col)
     cond = ((probe["ticker"] == steps["_a_ticker"])
             & (steps["_a_lo"].isNull() | (probe["_a_date"] >= steps["_a_lo"]))

@@ -12,14 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import broadcast_if_bounded
+from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
 
 
 def trading_calendar(daily: DataFrame, date_col: str = "date") -> DataFrame:
-    """SELECT DISTINCT date."""
+    """SELECT DISTINCT date (partial aggregation map-side)."""
     return daily.select(F.col(date_col).alias("date")).distinct()
 
 
+def materialized_calendar(daily: DataFrame, date_col: str = "date") -> DataFrame:
+    """The calendar computed once and checkpointed: it is read by both the
+    revenue and the financial alignment and by its own size check.  Its size
+    is bounded by the number of calendar days (<= 366 per year)."""
+    return materialize_small(trading_calendar(daily, date_col))
+
+
 def first_trading_on_or_after(deadlines: DataFrame, calendar: DataFrame,
                               cap: int = 2_000_000) -> DataFrame:
     """deadline -> MIN(trading date >= deadline) (NULL past the last date)."""
@@ -36,10 +43,11 @@ def align_to_calendar(events: DataFrame, calendar: DataFrame, box_col: str,
 
     Rows whose box has a NULL field (or a NULL ticker) never match in the
     reference's struct-equality self join, so they keep the raw deadline;
-    the others move to the first trading date on or after it.
+    the others move to the first trading date on or after it.  The
+    deadline -> date lookup joins back on the deadline (an equi join; AQE
+    broadcasts it from its runtime size, no eager count of the facts).
     """
-    lookup = broadcast_if_bounded(
-        first_trading_on_or_after(events.select("deadline_date"), calendar, cap), cap)
+    lookup = first_trading_on_or_after(events.select("deadline_date"), calendar, cap)
     complete: Column = F.col("ticker").isNotNull()
     for f in box_fields:
         complete = complete & F.col(box_col).getField(f).isNotNull()

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import broadcast_if_bounded
+from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
 
 BUCKETS_PER_INTERVAL = 4
 
@@ -52,8 +52,8 @@ def interval_table(candidates: DataFrame, value_col: str, group_cols: list[str],
     v = F.col(value_col)
     lo = (F.col("_prev").getField(value_col) + v) / F.lit(2.0)
     hi = (v + F.col("_next").getField(value_col)) / F.lit(2.0)
-    c = c.select(*group_cols, "_prev", "_cur", "_next", lo.alias("_lo"), hi.alias("_hi"),
-                 _g(v).alias("_gv"))
+    c = materialize_small(c.select(*group_cols, "_prev", "_cur", "_next", lo.alias("_lo"), hi.alias("_hi"),
+                                   _g(v).alias("_gv")))
     span = Window.partitionBy(*group_cols)
     c = (c.withColumn("_gmin", F.min("_gv").over(span))
           .withColumn("_gmax", F.max("_gv").over(span))
@@ -83,7 +83,7 @@ class NearestIndex:
         iv, self.k, self.bmin, self.bmax = interval_table(
             candidates, value_col, group_cols, tiebreak_cols, payload_cols)
         self.cap = cap
-        self.table = iv
+        self.table = materialize_small(iv)
 
     def probe(self, probe: DataFrame, x, payload: dict[str, str], how: str = "left",
               where=None, keep_groups: bool = True) -> DataFrame:

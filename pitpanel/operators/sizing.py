@@ -20,3 +20,15 @@ def broadcast_if_bounded(df: DataFrame, cap: int) -> DataFrame:
     if bounded_row_count(df, cap) <= cap:
         return F.broadcast(df)
     return df
+
+
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Compute a small, reused table once and cut its lineage.
+
+    Uses a reliable ``checkpoint()`` into the cluster's ``spark.checkpoint.dir``
+    (a shared folder, so a lost executor does not lose it; never a local
+    checkpoint).  Only for tables whose size is bounded by their domain
+    (trading calendar, parameter grids), not by the fact volume."""
+    from pitpanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

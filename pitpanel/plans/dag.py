@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import dcf
-from pitpanel.operators.calendar import trading_calendar
+from pitpanel.operators.actions import materialized_steps
+from pitpanel.operators.calendar import materialized_calendar
 from pitpanel.plans import intermediate as I
 from pitpanel.plans import marts as M
 from pitpanel.plans import staging as S
@@ -31,6 +32,14 @@ class Build:
                  out_dir: str | None = None):
         self.spark, self.src, self.cfg, self.out_dir = spark, src, cfg, out_dir
         self._m: dict[str, DataFrame] = {}
+        self._steps: DataFrame | None = None
+
+    @property
+    def actions(self) -> DataFrame:
+        """Corporate-action step table, computed once per build."""
+        if self._steps is None:
+            self._steps = materialized_steps(self.src.corporate_actions)
+        return self._steps
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         if self.out_dir is None:
@@ -60,23 +69,23 @@ class Build:
     # intermediate
     def _int_daily_prices_adjusted(self):
         return I.int_daily_prices_adjusted(self["stg_daily_prices_raw"], self["stg_dividend_factor"],
-                                           self.src.corporate_actions, self.cfg)
+                                           self.actions, self.cfg)
 
     def _int_daily_indicators(self): return I.int_daily_indicators(self["int_daily_prices_adjusted"], self.cfg)
-    def _trading_calendar(self): return trading_calendar(self["int_daily_indicators"])
+    def _trading_calendar(self): return materialized_calendar(self["int_daily_indicators"])
     def _int_monthly_revenue_features(self): return I.int_monthly_revenue_features(self["stg_monthly_revenue"])
 
     def _int_monthly_revenue_shifter(self):
         return I.int_monthly_revenue_shifter(self["int_monthly_revenue_features"], self["trading_calendar"], self.cfg)
 
     def _int_financial_features(self):
-        return I.int_financial_features(self["stg_income_statement"], self.src.corporate_actions, self.cfg)
+        return I.int_financial_features(self["stg_income_statement"], self.actions, self.cfg)
 
     def _int_financial_shifter(self):
         return I.int_financial_shifter(self["int_financial_features"], self["trading_calendar"], self.cfg)
 
     def _int_balance_sheet_features(self):
-        return I.int_balance_sheet_features(self["stg_balance_sheet"], self.src.corporate_actions, self.cfg)
+        return I.int_balance_sheet_features(self["stg_balance_sheet"], self.actions, self.cfg)
 
     def _int_balance_sheet_shifter(self): return I.int_balance_sheet_shifter(self["int_balance_sheet_features"], self.cfg)
 
