@@ -9,7 +9,7 @@ comes back to the facts through an equi join on the deadline.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
@@ -27,31 +27,49 @@ def materialized_calendar(daily: DataFrame, date_col: str = "date") -> DataFrame
     return materialize_small(trading_calendar(daily, date_col))
 
 
-def first_trading_on_or_after(deadlines: DataFrame, calendar: DataFrame,
-                              cap: int = 2_000_000) -> DataFrame:
-    """deadline -> MIN(trading date >= deadline) (NULL past the last date)."""
-    d = deadlines.select(F.col("deadline_date").alias("_dl")).distinct()
-    cal = broadcast_if_bounded(calendar.select(F.col("date").alias("_td")), cap)
-    nearest = (d.join(cal, F.col("_td") >= F.col("_dl"), "inner")
-                .groupBy("_dl").agg(F.min("_td").alias("aligned_date")))
-    return d.join(nearest, "_dl", "left").withColumnRenamed("_dl", "deadline_date")
+class TradingDayMap:
+    """Every calendar day between the first and last trading date mapped to
+    the first trading date on or after it.
+
+    Built once from the checkpointed trading calendar: consecutive trading
+    dates ``(prev, date]`` expand into the days they cover.  The ordering
+    window has no partition key, which is deliberate and bounded: the input is
+    the distinct-date calendar (<= 366 rows per year of history), never the
+    facts.  The map itself has one row per calendar day, is checkpointed, and
+    is size-checked before it is broadcast.
+    """
+
+    def __init__(self, calendar: DataFrame, cap: int = 2_000_000):
+        steps = calendar.select("date", F.lag("date").over(Window.orderBy("date")).alias("_prev"))
+        start = F.coalesce(F.date_add("_prev", 1), F.col("date"))
+        dense = steps.select(F.explode(F.sequence(start, F.col("date"))).alias("_day"),
+                             F.col("date").alias("aligned_date"))
+        self.table = materialize_small(dense)
+        self.first_day = calendar.agg(F.min("date")).first()[0]
+        self.cap = cap
+
+    def lookup(self) -> DataFrame:
+        return broadcast_if_bounded(self.table, self.cap)
 
 
-def align_to_calendar(events: DataFrame, calendar: DataFrame, box_col: str,
-                      box_fields: list[str], cap: int = 2_000_000) -> DataFrame:
+def align_to_calendar(events: DataFrame, days: TradingDayMap, box_col: str,
+                      box_fields: list[str]) -> DataFrame:
     """Date each (ticker, deadline_date, box) row.
 
-    Rows whose box has a NULL field (or a NULL ticker) never match in the
-    reference's struct-equality self join, so they keep the raw deadline;
-    the others move to the first trading date on or after it.  The
-    deadline -> date lookup joins back on the deadline (an equi join; AQE
-    broadcasts it from its runtime size, no eager count of the facts).
+    The first trading date on or after the deadline, found by an equi join on
+    the day (deadlines before the first trading date map to it, Quirk 4; past
+    the last one there is none).  Rows whose box has a NULL field (or a NULL
+    ticker) never match in the reference's struct-equality self join, so they
+    keep the raw deadline (trap T1), as do unmatched deadlines.
     """
-    lookup = first_trading_on_or_after(events.select("deadline_date"), calendar, cap)
     complete: Column = F.col("ticker").isNotNull()
     for f in box_fields:
         complete = complete & F.col(box_col).getField(f).isNotNull()
-    joined = events.join(lookup, "deadline_date", "left")
+    lk = days.lookup()
+    key = F.col("deadline_date")
+    if days.first_day is not None:
+        key = F.greatest(key, F.lit(days.first_day))
+    joined = events.join(lk, key == lk["_day"], "left")
     date = F.when(complete, F.coalesce(F.col("aligned_date"), F.col("deadline_date"))) \
             .otherwise(F.col("deadline_date"))
     return joined.select(date.alias("date"), "ticker", box_col)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import dcf
 from pitpanel.operators.actions import materialized_steps
-from pitpanel.operators.calendar import materialized_calendar
+from pitpanel.operators.calendar import TradingDayMap, materialized_calendar
 from pitpanel.plans import intermediate as I
 from pitpanel.plans import marts as M
 from pitpanel.plans import staging as S
@@ -33,6 +33,14 @@ class Build:
         self.spark, self.src, self.cfg, self.out_dir = spark, src, cfg, out_dir
         self._m: dict[str, DataFrame] = {}
         self._steps: DataFrame | None = None
+        self._days: TradingDayMap | None = None
+
+    @property
+    def trading_days(self) -> TradingDayMap:
+        """day -> first trading date on or after it, computed once per build."""
+        if self._days is None:
+            self._days = TradingDayMap(self["trading_calendar"], self.cfg.max_broadcast_rows)
+        return self._days
 
     @property
     def actions(self) -> DataFrame:
@@ -76,13 +84,13 @@ class Build:
     def _int_monthly_revenue_features(self): return I.int_monthly_revenue_features(self["stg_monthly_revenue"])
 
     def _int_monthly_revenue_shifter(self):
-        return I.int_monthly_revenue_shifter(self["int_monthly_revenue_features"], self["trading_calendar"], self.cfg)
+        return I.int_monthly_revenue_shifter(self["int_monthly_revenue_features"], self.trading_days, self.cfg)
 
     def _int_financial_features(self):
         return I.int_financial_features(self["stg_income_statement"], self.actions, self.cfg)
 
     def _int_financial_shifter(self):
-        return I.int_financial_shifter(self["int_financial_features"], self["trading_calendar"], self.cfg)
+        return I.int_financial_shifter(self["int_financial_features"], self.trading_days, self.cfg)
 
     def _int_balance_sheet_features(self):
         return I.int_balance_sheet_features(self["stg_balance_sheet"], self.actions, self.cfg)
@@ -94,7 +102,10 @@ class Build:
                                self["int_financial_shifter"], self["int_balance_sheet_shifter"])
 
     # marts
-    def _mart_vbt_master_dataset(self): return M.mart_vbt_master_dataset(self["int_vbt_stack"], self.cfg)
+    def _mart_vbt_master_dataset(self):
+        # fused form (one shuffle of the daily rows); equal to M15 over the M14 stack
+        return M.mart_vbt_master_from_parts(self["int_daily_prices_adjusted"], self["int_monthly_revenue_shifter"],
+                                            self["int_financial_shifter"], self["int_balance_sheet_shifter"], self.cfg)
     def _dim_dcf_surface(self): return dcf.dcf_surface(self.spark, self.cfg)
     def _dim_dcf_lookup(self): return dcf.dcf_lookup(self.spark, self["dim_dcf_surface"], self.cfg)
 

@@ -10,7 +10,7 @@ from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.functions import exprs as X
 from pitpanel.operators import windows as W
 from pitpanel.operators.actions import with_action_factors
-from pitpanel.operators.calendar import align_to_calendar
+from pitpanel.operators.calendar import TradingDayMap, align_to_calendar
 from pitpanel.sources import schemas
 
 
@@ -80,13 +80,13 @@ def revenue_deadline(ym) -> F.Column:
                       DEFAULT.revenue_deadline_days)
 
 
-def int_monthly_revenue_shifter(features: DataFrame, calendar: DataFrame,
+def int_monthly_revenue_shifter(features: DataFrame, days: TradingDayMap,
                                 cfg: PanelConfig = DEFAULT) -> DataFrame:
     """M9: each month's rev_box dated at the first trading day on or after its
     deadline (a box with a NULL field keeps the raw deadline, trap T1)."""
     box = F.struct(*[F.col(c) for c in REV_BOX_COLS[:-1]], F.col("year_month").alias("data_month_label"))
     ev = features.select(revenue_deadline("year_month").alias("deadline_date"), "ticker", box.alias("rev_box"))
-    return align_to_calendar(ev, calendar, "rev_box", REV_BOX_COLS, cfg.max_broadcast_rows)
+    return align_to_calendar(ev, days, "rev_box", REV_BOX_COLS)
 
 
 # --------------------------------------------------------------------------- M10
@@ -164,12 +164,12 @@ def income_deadline(yq, cfg: PanelConfig = DEFAULT) -> F.Column:
     return out.otherwise(F.make_date(year + 1, F.lit(m4), F.lit(d4)))
 
 
-def int_financial_shifter(features: DataFrame, calendar: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+def int_financial_shifter(features: DataFrame, days: TradingDayMap, cfg: PanelConfig = DEFAULT) -> DataFrame:
     """fin_box dated at the first trading day on or after the deadline."""
     box = F.struct(*[F.col(c) for c in FIN_BOX_COLS])
     ev = features.select("ticker", income_deadline("year_quarter", cfg).alias("deadline_date"),
                          box.alias("fin_box"))
-    return align_to_calendar(ev, calendar, "fin_box", FIN_BOX_COLS, cfg.max_broadcast_rows)
+    return align_to_calendar(ev, days, "fin_box", FIN_BOX_COLS)
 
 
 # --------------------------------------------------------------------------- M12

@@ -21,18 +21,13 @@ BOXES = (("rev_box", "data_month_label", "r", schemas.REV_FILL_NAMES),
 FILL_COLUMNS = [dst for *_, names in BOXES for dst in names.values()]
 
 
-def collapse_stack(stack: DataFrame) -> DataFrame:
-    """A1/A2: one row per (date, ticker): MAX of the price columns and, per box
-    kind, one non-NULL box (on a collision the latest label wins, Quirk 4).
-
-    Done with window aggregates over (ticker, date) on data hash-partitioned
-    by ticker, which the forward fill that follows reuses: a single shuffle,
-    and no struct-typed aggregation buffers (which would force a sort-based
-    aggregate)."""
-    s = stack.repartition("ticker")
+def _with_kind(stack: DataFrame) -> DataFrame:
     kind = (F.when(F.col("rev_box").isNotNull(), 1).when(F.col("fin_box").isNotNull(), 2)
              .when(F.col("bs_box").isNotNull(), 3).otherwise(0))
-    s = s.withColumn("_kind", kind)
+    return stack.withColumn("_kind", kind)
+
+
+def _collapse(s: DataFrame) -> DataFrame:
     day = Window.partitionBy("ticker", "date").orderBy("_kind").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     day_rn = Window.partitionBy("ticker", "date").orderBy("_kind")
@@ -43,22 +38,61 @@ def collapse_stack(stack: DataFrame) -> DataFrame:
     return out.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def mart_vbt_master_dataset(stack: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
-    """Collapse, per-field forward fill of 47 report fields (Quirk 6),
-    panel floor, PE/PB and row-based forward returns (Quirk 5)."""
-    c = collapse_stack(stack)
+def collapse_stack(stack: DataFrame) -> DataFrame:
+    """A1/A2: one row per (date, ticker): MAX of the price columns and, per box
+    kind, one non-NULL box (on a collision the latest label wins, Quirk 4).
+
+    Done with window aggregates over (ticker, date) on data hash-partitioned
+    by ticker, which the forward fill that follows reuses: a single shuffle,
+    and no struct-typed aggregation buffers (which would force a sort-based
+    aggregate)."""
+    return _collapse(_with_kind(stack).repartition("ticker"))
+
+
+def _fill_and_returns(c: DataFrame, cfg: PanelConfig) -> DataFrame:
     fill = []
     for _, _, alias, names in BOXES:
         for field, dst in names.items():
             fill.append(W.forward_fill(F.col(alias).getField(field), "date").alias(dst))
     filled = c.select("date", "ticker", *PRICE_MAX.values(), *fill)
     filled = filled.filter(F.col("date") >= F.lit(cfg.panel_floor))
-    out = filled.select(
+    return filled.select(
         "*",
         X.safe_div("d_close", X.nullif("eps_ttm", 0)).alias("pe_ttm"),
         X.safe_div("d_close", X.nullif("book_value_per_share", 0)).alias("pb_ratio"),
         *[W.lead_return("d_close", "date", n).alias(f"ret_{n}d") for n in cfg.lead_days])
-    return out
+
+
+def mart_vbt_master_dataset(stack: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+    """Collapse, per-field forward fill of 47 report fields (Quirk 6),
+    panel floor, PE/PB and row-based forward returns (Quirk 5)."""
+    return _fill_and_returns(collapse_stack(stack), cfg)
+
+
+def mart_vbt_master_from_parts(adjusted: DataFrame, rev: DataFrame, fin: DataFrame, bal: DataFrame,
+                               cfg: PanelConfig = DEFAULT) -> DataFrame:
+    """M15 fused with M7/M14 so the daily rows are shuffled once.
+
+    Adjusted prices (from the indicator floor) and the three dated report
+    kinds are unioned and hash-partitioned by ticker a single time.  The
+    rolling indicators are windows partitioned by (ticker, kind): the same
+    exchange satisfies them, and report rows form their own window partitions
+    so ma20/ma60 see exactly the daily rows, as in the indicator view.  The
+    collapse, forward fill and forward returns then reuse the partitioning."""
+    daily = adjusted.filter(F.col("date") >= F.lit(cfg.indicator_floor)) \
+                    .select("date", "ticker", "open", "high", "low", "adj_close", "volume")
+    s = daily
+    for part in (rev, fin, bal):
+        s = s.unionByName(part, allowMissingColumns=True)
+    s = _with_kind(s).repartition("ticker")
+    is_daily = F.col("_kind") == 0
+    order = [F.col("date"), F.col("adj_close")]
+    ma20 = W.rolling_mean("adj_close", order, cfg.ma_short, key=["ticker", "_kind"])
+    ma60 = W.rolling_mean("adj_close", order, cfg.ma_long, key=["ticker", "_kind"])
+    s = (s.withColumn("ma20", F.when(is_daily, ma20))
+          .withColumn("ma60", F.when(is_daily, ma60))
+          .withColumn("bias20", X.safe_div(F.col("adj_close") - F.col("ma20"), F.col("ma20"))))
+    return _fill_and_returns(_collapse(s), cfg)
 
 
 # --------------------------------------------------------------------------- M18/M19

@@ -50,7 +50,9 @@ def stg_income_statement(income: DataFrame) -> DataFrame:
     row (Quirk 2); here the tie is broken by all other columns ascending so
     reruns are deterministic."""
     others = [F.col(c).asc_nulls_first() for c in income.columns if c not in ("ticker", "year_quarter")]
-    first = _first_per_key(income, ["ticker", "year_quarter"], others)
+    # one hash exchange on ticker serves this dedup and every per-ticker /
+    # per-(ticker, year) window of the financial features downstream
+    first = _first_per_key(income.repartition("ticker"), ["ticker", "year_quarter"], others)
     return first.select("ticker", "company_name", "year_quarter",
                         *[X.safe_double(m, _dtype(income, m)).alias(m) for m in schemas.INCOME_MEASURES])
 
@@ -60,7 +62,8 @@ def stg_monthly_revenue(revenue: DataFrame) -> DataFrame:
     (NULLs last; remaining ties by the other columns)."""
     others = [F.col(c).asc_nulls_first() for c in revenue.columns
               if c not in ("ticker", "year_month", "revenue")]
-    first = _first_per_key(revenue, ["ticker", "year_month"],
+    # one hash exchange on ticker serves the dedup and the streak windows
+    first = _first_per_key(revenue.repartition("ticker"), ["ticker", "year_month"],
                            [F.col("revenue").desc_nulls_last(), *others])
     t = lambda c: _dtype(revenue, c)
     return first.select(

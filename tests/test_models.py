@@ -148,3 +148,12 @@ def test_yoy_normalisation_and_clamp(spark):
 def test_trading_calendar_is_distinct(spark):
     df = spark.createDataFrame([(D(2020, 1, 2),), (D(2020, 1, 2),), (D(2020, 1, 3),)], "date date")
     assert trading_calendar(df).count() == 2
+
+
+def test_fused_master_equals_stack_master(spark):
+    from pitpanel.sources.adapters import sources_from_lineitem
+    from pitpanel.stable import stabilize
+    b = Build(spark, sources_from_lineitem(spark, "/root/testdata/sf0.001"))
+    fused = stabilize(b["mart_vbt_master_dataset"])
+    plain = stabilize(M.mart_vbt_master_dataset(b["int_vbt_stack"]))
+    assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0
