@@ -40,7 +40,7 @@ def materialized_steps(actions: DataFrame) -> DataFrame:
 
 
 def with_action_factors(df: DataFrame, actions: DataFrame, date_col, out: dict[str, str],
-                        cap: int = 2_000_000, steps: DataFrame | None = None) -> DataFrame:
+                        cap: int = 500_000, steps: DataFrame | None = None) -> DataFrame:
     """Add ``out_name = COALESCE(prod(factor of actions with date < effective), 1.0)``.
 
     ``out`` maps output column -> seed factor column.  ``date_col`` may be a

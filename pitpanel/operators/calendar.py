@@ -39,7 +39,7 @@ class TradingDayMap:
     is size-checked before it is broadcast.
     """
 
-    def __init__(self, calendar: DataFrame, cap: int = 2_000_000):
+    def __init__(self, calendar: DataFrame, cap: int = 500_000):
         steps = calendar.select("date", F.lag("date").over(Window.orderBy("date")).alias("_prev"))
         start = F.coalesce(F.date_add("_prev", 1), F.col("date"))
         dense = steps.select(F.explode(F.sequence(start, F.col("date"))).alias("_day"),

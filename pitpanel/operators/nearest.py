@@ -77,7 +77,7 @@ class NearestIndex:
     """Broadcastable interval table plus its bucket scale and clamp range."""
 
     def __init__(self, candidates: DataFrame, value_col: str, group_cols: list[str],
-                 tiebreak_cols: list[str], payload_cols: list[str], cap: int = 2_000_000):
+                 tiebreak_cols: list[str], payload_cols: list[str], cap: int = 500_000):
         self.value_col, self.group_cols = value_col, list(group_cols)
         self.tiebreak_cols, self.payload_cols = list(tiebreak_cols), list(payload_cols)
         iv, self.k, self.bmin, self.bmax = interval_table(
@@ -119,7 +119,7 @@ class NearestIndex:
 
 def nearest_match(probe: DataFrame, x, candidates: DataFrame, value_col: str,
                   group_cols: list[str], tiebreak_cols: list[str], payload: dict[str, str],
-                  how: str = "left", cap: int = 2_000_000) -> DataFrame:
+                  how: str = "left", cap: int = 500_000) -> DataFrame:
     """Per probe row and candidate group, the payload of the nearest candidate
     (``payload`` maps output column -> candidate column)."""
     idx = NearestIndex(candidates, value_col, group_cols, tiebreak_cols,

@@ -51,11 +51,13 @@ def lineitem_rows(lineitem: DataFrame) -> DataFrame:
 def daily_prices(rows: DataFrame) -> DataFrame:
     """One bar per (ticker, weekday); even tickers write ``yyyyMMdd`` text
     dates, odd tickers ``yyyy-MM-dd``."""
-    key = F.struct("l_orderkey", "l_linenumber", "px")
+    # (l_orderkey, l_linenumber, px) packed into one bigint with the same order
+    # (linenumber < 16, px < 2048), so first/last of day is a hash aggregate
+    key = (F.col("l_orderkey") * 16 + F.col("l_linenumber")) * 2048 + F.col("px")
     bars = (rows.filter(F.weekday("d") < 5)
             .groupBy("ticker", "suppkey", "d")
             .agg(F.min("px").alias("low"), F.max("px").alias("high"),
-                 F.min(key).getField("px").alias("open"), F.max(key).getField("px").alias("close"),
+                 (F.min(key) % 2048).alias("open"), (F.max(key) % 2048).alias("close"),
                  F.sum("qty").alias("volume")))
     text_date = F.when(F.col("suppkey") % 2 == 0, F.date_format("d", "yyyyMMdd")) \
                  .otherwise(F.date_format("d", "yyyy-MM-dd"))
