@@ -205,38 +205,12 @@ def mart_expectation_features(master: DataFrame, cfg: PanelConfig = DEFAULT) ->
     """Daily panel + monthly revenue momentum -> forward revenue, net
     income, EPS and the constant growth they imply versus TTM EPS.
 
-    The reference de-duplicates the daily panel to one row per
-    (ticker, revenue_month), computes month-level rolling features and joins
-    them back.  Here the same happens with windows only, all partitioned by
-    ticker-prefixed keys, so one hash exchange on ticker (none when the input
-    is already partitioned by ticker) replaces the aggregate + join:
-    the first visible row of each month (the "marker") carries the month; the
-    month-level ROWS frames run over marker rows only (a (ticker, marker)
-    window partition); the values are spread back over (ticker, revenue_month).
-    """
-    has_month = F.col("revenue_month").isNotNull() & F.col("revenue").isNotNull()
-    d = master.repartition("ticker").withColumn("_has", has_month)
-    first_seen = F.min(F.when(F.col("_has"), F.col("date"))).over(Window.partitionBy("ticker", "revenue_month"))
-    d = d.withColumn("_marker", F.col("_has") & (F.col("date") == first_seen))
-    order = "date"
-    key = ["ticker", "_marker"]
-    norm = F.when(F.abs("yoy_growth") > 1, F.col("yoy_growth") / F.lit(100.0)).otherwise(F.col("yoy_growth"))
-    ttm = W.gated_sum("revenue", order, cfg.revenue_ttm_months, key=key).cast("bigint")
-    m3 = W.rolling_mean(norm, order, cfg.yoy_short_months, key=key)
-    m6 = W.rolling_mean(norm, order, cfg.yoy_long_months, key=key)
-    d = (d.withColumn("_ttm", F.when(F.col("_marker"), ttm))
-          .withColumn("_m3", F.when(F.col("_marker"), m3))
-          .withColumn("_m6", F.when(F.col("_marker"), m6)))
-    month = Window.partitionBy("ticker", "revenue_month")
-    spread = lambda c: F.when(F.col("revenue_month").isNotNull(), F.max(c).over(month))
-    d = (d.withColumn("monthly_revenue_ttm", spread("_ttm"))
-          .withColumn("revenue_yoy_3m_avg", spread("_m3"))
-          .withColumn("revenue_yoy_6m_avg", spread("_m6")))
-    acc = F.col("revenue_yoy_3m_avg") - F.col("revenue_yoy_6m_avg")
-    d = d.withColumn("revenue_acceleration", acc).withColumn(
-        "expected_revenue_growth",
-        X.clamp_or_null(F.col("revenue_yoy_6m_avg") + F.lit(cfg.acceleration_weight) * acc,
-                        cfg.expected_growth_floor, cfg.expected_growth_cap))
+    The month-level table is about 1/20 of the daily rows; the join back on
+    (ticker, revenue_month) is left to the planner / AQE: a broadcast hash
+    join while that table is small, otherwise one sort-merge exchange of the
+    panel (the same single shuffle a window-only formulation would need)."""
+    monthly = revenue_momentum(monthly_unfill(master), cfg).select("ticker", "revenue_month", *MONTHLY_FEATURES)
+    d = master.join(monthly, ["ticker", "revenue_month"], "left")
     d = d.withColumn("forward_revenue_ttm",
                      F.col("financial_revenue_ttm") * (F.lit(1.0) + F.col("expected_revenue_growth")))
     d = d.withColumn("forward_net_income", F.col("forward_revenue_ttm") * F.col("net_margin_ttm"))
