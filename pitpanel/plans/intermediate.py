@@ -20,18 +20,28 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
     """M6: adj_close = close x (product of dividend factors on this and later
     ex-dates) x (product of split price factors effective strictly later).
 
-    The reverse cumulative product is one window partitioned by ticker; the
-    split factors come from a broadcast step table (no shuffle of prices)."""
-    p = prices.filter(F.col("date") >= F.lit(cfg.price_floor))
-    d = dividends.select("ticker", F.col("ex_date").alias("date"), "daily_factor")
-    j = p.join(d, ["ticker", "date"], "left").withColumn(
-        "daily_factor", F.coalesce(F.col("daily_factor"), F.lit(1.0)))
+    The left join prices x dividends on (ticker, date) is done inside the
+    single hash exchange on ticker that the reverse product needs anyway:
+    dividend rows are unioned with the price rows, each day's factors are
+    collected over a (ticker, date) window (satisfied by the ticker
+    partitioning) and ``explode_outer`` reproduces the join's fan-out for a
+    repeated ex-date (Quirk 1; no factor -> 1.0).  So prices shuffle once
+    whatever the size of the dividend table (a sort-merge join would shuffle
+    them twice once dividends outgrow a broadcast).  Split factors come from a
+    broadcast step table."""
+    p = prices.filter(F.col("date") >= F.lit(cfg.price_floor)).withColumn("_is_price", F.lit(True))
+    d = (dividends.filter(F.col("ticker").isNotNull() & F.col("ex_date").isNotNull())
+         .select("ticker", F.col("ex_date").alias("date"), F.col("daily_factor").alias("_div"),
+                 F.lit(False).alias("_is_price")))
+    u = p.unionByName(d, allowMissingColumns=True).repartition("ticker")
+    u = u.withColumn("_factors", F.collect_list("_div").over(Window.partitionBy("ticker", "date")))
+    j = u.filter(F.col("_is_price")).withColumn("daily_factor", F.explode_outer("_factors"))
+    j = j.withColumn("daily_factor", F.coalesce(F.col("daily_factor"), F.lit(1.0)))
     # ties on date only arise from duplicated dividends; break them by factor
     j = j.withColumn("_rev_cum", W.reverse_cumulative_product(
         "daily_factor", [F.col("date").desc(), F.col("daily_factor").asc()]))
     j = with_action_factors(j, actions, "date", {"_split": "price_factor"}, cfg.max_broadcast_rows)
-    keep = [c for c in prices.columns]
-    return j.select(*keep, (F.col("close") * F.col("_rev_cum") * F.col("_split")).alias("adj_close"))
+    return j.select(*prices.columns, (F.col("close") * F.col("_rev_cum") * F.col("_split")).alias("adj_close"))
 
 
 # --------------------------------------------------------------------------- M7
