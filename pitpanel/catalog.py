@@ -66,6 +66,18 @@ def _master_check(check):
     return q
 
 
+def _dcf_lookup_used(spark, sf_dir):
+    """M17 rows (all parameter sets) for the PE buckets the panel actually hits
+    (the expectation universe: 2010 on, eps_ttm > 0, 0 < pe <= 300)."""
+    b = _build(spark, sf_dir)
+    m = b["mart_vbt_master_dataset"]
+    used = (m.filter((F.col("date") >= F.lit(DEFAULT.panel_floor)) & F.col("d_close").isNotNull()
+                     & (F.col("eps_ttm") > 0) & (F.col("pe_ttm") > 0)
+                     & (F.col("pe_ttm") <= DEFAULT.expectation_pe_max))
+             .select(F.round(F.col("pe_ttm") * F.lit(10.0)).cast("bigint").alias("pe_x10")).distinct())
+    return b["dim_dcf_lookup"].join(used, "pe_x10", "left_semi")
+
+
 def _stack_duplicates(spark, sf_dir):
     return Q.duplicate_keys(_build(spark, sf_dir)["int_vbt_stack"])
 
@@ -135,6 +147,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_momentum": _revenue_momentum,
     "forward_eps": _model("mart_expectation_features"),
     "expectation_dataset": _model("mart_expectation_dataset"),
+    "dcf_lookup": _dcf_lookup_used,
     # data quality
     "dq_duplicate_keys": _master_check(Q.duplicate_keys),
     "dq_future_dates": _master_check(Q.future_dates),
