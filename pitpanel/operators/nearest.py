@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
+from pitpanel.operators.sizing import bounded_row_count, materialize_small
 
 BUCKETS_PER_INTERVAL = 4
 
@@ -84,6 +84,8 @@ class NearestIndex:
             candidates, value_col, group_cols, tiebreak_cols, payload_cols)
         self.cap = cap
         self.table = materialize_small(iv)
+        # size-checked once; every probe then broadcasts (a slice of) it
+        self.small = bounded_row_count(self.table, cap) <= cap
 
     def probe(self, probe: DataFrame, x, payload: dict[str, str], how: str = "left",
               where=None, keep_groups: bool = True) -> DataFrame:
@@ -92,7 +94,7 @@ class NearestIndex:
         ``where`` restricts the candidate groups (e.g. one pivot value); with a
         single group the result maps probe rows 1:1 (no shuffle, no agg)."""
         iv = self.table if where is None else self.table.filter(where)
-        iv = broadcast_if_bounded(iv, self.cap)
+        iv = F.broadcast(iv) if self.small else iv
         xcol = F.col(x) if isinstance(x, str) else x
         p = probe.withColumn("_x", xcol.cast("double"))
         bucket = F.floor(_g(F.col("_x")) * F.lit(self.k))

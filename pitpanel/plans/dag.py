@@ -34,6 +34,14 @@ class Build:
         self._m: dict[str, DataFrame] = {}
         self._steps: DataFrame | None = None
         self._days: TradingDayMap | None = None
+        self._val_index = None
+
+    @property
+    def valuation_index(self):
+        """Nearest-match index over the valuation slice of the surface, built once."""
+        if self._val_index is None:
+            self._val_index = M.valuation_index(self["dim_dcf_surface"], self.cfg)
+        return self._val_index
 
     @property
     def trading_days(self) -> TradingDayMap:
@@ -110,10 +118,12 @@ class Build:
     def _dim_dcf_lookup(self): return dcf.dcf_lookup(self.spark, self["dim_dcf_surface"], self.cfg)
 
     def _mart_vbt_valuation_dataset(self):
-        return M.mart_vbt_valuation_dataset(self["mart_vbt_master_dataset"], self["dim_dcf_surface"], self.cfg)
+        return M.mart_vbt_valuation_dataset(self["mart_vbt_master_dataset"], self["dim_dcf_surface"], self.cfg,
+                                            self.valuation_index)
 
     def _mart_factor_dataset(self):
-        return M.mart_factor_dataset(self["mart_vbt_master_dataset"], self["dim_dcf_surface"], self.cfg)
+        return M.mart_factor_dataset(self["mart_vbt_master_dataset"], self["dim_dcf_surface"], self.cfg,
+                                     self.valuation_index)
 
     def _mart_expectation_features(self): return M.mart_expectation_features(self["mart_vbt_master_dataset"], self.cfg)
 

@@ -108,12 +108,13 @@ def valuation_index(surface: DataFrame, cfg: PanelConfig = DEFAULT) -> NearestIn
                         ["growth_rate_pct", "implied_pe"], cfg.max_broadcast_rows)
 
 
-def with_implied_growth(df: DataFrame, x, surface: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+def with_implied_growth(df: DataFrame, x, surface: DataFrame, cfg: PanelConfig = DEFAULT,
+                        index: NearestIndex | None = None) -> DataFrame:
     """J14 + A8: per row, the growth whose implied PE is nearest to ``x`` for
     each high-growth horizon, already pivoted wide: one broadcast hash join
     per horizon, so rows map 1:1 (no shuffle, no pivot aggregation).  A NULL
     ``x`` gives NULL columns (left-join semantics)."""
-    idx = valuation_index(surface, cfg)
+    idx = index if index is not None else valuation_index(surface, cfg)
     out = df
     for h in cfg.valuation_years:
         out = idx.probe(out, x, {f"implied_growth_{h}y_pct": "growth_rate_pct", f"implied_pe_{h}y": "implied_pe"},
@@ -121,13 +122,14 @@ def with_implied_growth(df: DataFrame, x, surface: DataFrame, cfg: PanelConfig =
     return out
 
 
-def mart_vbt_valuation_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+def mart_vbt_valuation_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig = DEFAULT,
+                               index: NearestIndex | None = None) -> DataFrame:
     """Valuation universe (eps_ttm > 0, d_close > 0) with implied growth
     and implied PE for 3/5/10 high-growth years."""
     base = (master.filter(F.col("eps_ttm").isNotNull() & (F.col("eps_ttm") > 0) & (F.col("d_close") > 0))
             .select("date", "ticker", "d_close", "eps_ttm",
                     X.safe_div("d_close", X.nullif("eps_ttm", 0)).alias("pe_ttm")))
-    return with_implied_growth(base, "pe_ttm", surface, cfg)
+    return with_implied_growth(base, "pe_ttm", surface, cfg, index)
 
 
 FACTOR_BASE = ["date", "ticker", "d_open", "d_high", "d_low", "d_close", "d_vol", "ma20", "ma60",
@@ -137,7 +139,8 @@ FACTOR_BASE = ["date", "ticker", "d_open", "d_high", "d_low", "d_close", "d_vol"
                "revenue_month", "report_quarter", "ret_1d", "ret_5d", "ret_10d", "ret_20d"]
 
 
-def mart_factor_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+def mart_factor_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig = DEFAULT,
+                        index: NearestIndex | None = None) -> DataFrame:
     """Factor table = master subset + valuation + price gaps + flags.
 
     The left join with the valuation table on (date, ticker) is realised as a
@@ -146,7 +149,7 @@ def mart_factor_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig
     base = master.filter((F.col("date") >= F.lit(cfg.panel_floor)) & (F.col("d_close") > 0)).select(*FACTOR_BASE)
     in_val = F.col("eps_ttm").isNotNull() & (F.col("eps_ttm") > 0) & (F.col("d_close") > 0)
     x = F.when(in_val, X.safe_div("d_close", X.nullif("eps_ttm", 0)))
-    j = with_implied_growth(base, x, surface, cfg)
+    j = with_implied_growth(base, x, surface, cfg, index)
     g5 = F.col("implied_growth_5y_pct")
     return j.select(
         "date", "ticker", "d_open", "d_high", "d_low", "d_close", "d_vol", "ma20", "ma60", "bias20",
