@@ -22,21 +22,31 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
 
     The left join prices x dividends on (ticker, date) is done inside the
     single hash exchange on ticker that the reverse product needs anyway:
-    dividend rows are unioned with the price rows, each day's factors are
-    collected over a (ticker, date) window (satisfied by the ticker
-    partitioning) and ``explode_outer`` reproduces the join's fan-out for a
+    dividend rows (identical copies pre-aggregated with a count) are unioned
+    with the price rows, each day's distinct factors are collected over a
+    (ticker, date) window (satisfied by the ticker partitioning) and
+    ``explode_outer`` + the copy count reproduce the join's fan-out for a
     repeated ex-date (Quirk 1; no factor -> 1.0).  So prices shuffle once
     whatever the size of the dividend table (a sort-merge join would shuffle
     them twice once dividends outgrow a broadcast).  Split factors come from a
     broadcast step table."""
     p = prices.filter(F.col("date") >= F.lit(cfg.price_floor)).withColumn("_is_price", F.lit(True))
+    # identical dividend copies are pre-aggregated (partial aggregation before
+    # the shuffle), so the per-day list below holds distinct factors only and
+    # stays small however many copies a (ticker, ex_date) has
     d = (dividends.filter(F.col("ticker").isNotNull() & F.col("ex_date").isNotNull())
-         .select("ticker", F.col("ex_date").alias("date"), F.col("daily_factor").alias("_div"),
+         .groupBy("ticker", "ex_date", "daily_factor").agg(F.count(F.lit(1)).alias("_n"))
+         .select("ticker", F.col("ex_date").alias("date"),
+                 F.struct(F.col("daily_factor").alias("f"), F.col("_n").alias("n")).alias("_div"),
                  F.lit(False).alias("_is_price")))
     u = p.unionByName(d, allowMissingColumns=True).repartition("ticker")
-    u = u.withColumn("_factors", F.collect_list("_div").over(Window.partitionBy("ticker", "date")))
-    j = u.filter(F.col("_is_price")).withColumn("daily_factor", F.explode_outer("_factors"))
-    j = j.withColumn("daily_factor", F.coalesce(F.col("daily_factor"), F.lit(1.0)))
+    u = u.withColumn("_divs", F.collect_list("_div").over(Window.partitionBy("ticker", "date")))
+    j = u.filter(F.col("_is_price")).withColumn("_d", F.explode_outer("_divs"))
+    # one row per dividend copy, as the join fans out (copies of one factor are
+    # interchangeable, so they are regenerated from the count)
+    j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
+                                                   F.coalesce(F.col("_d.n"), F.lit(1).cast("bigint")))))
+    j = j.withColumn("daily_factor", F.coalesce(F.col("_d.f"), F.lit(1.0)))
     # ties on date only arise from duplicated dividends; break them by factor
     j = j.withColumn("_rev_cum", W.reverse_cumulative_product(
         "daily_factor", [F.col("date").desc(), F.col("daily_factor").asc()]))

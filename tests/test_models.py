@@ -157,3 +157,14 @@ def test_fused_master_equals_stack_master(spark):
     fused = stabilize(b["mart_vbt_master_dataset"])
     plain = stabilize(M.mart_vbt_master_dataset(b["int_vbt_stack"]))
     assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0
+
+
+def test_copies_and_distinct_factors_on_one_ex_date(spark):
+    p = fx.prices(spark, [("A", "2020-01-02", 100.0), ("A", "2020-01-03", 100.0), ("A", "2020-01-06", 100.0)])
+    d = fx.dividends(spark, [("A", D(2020, 1, 3), "90", "100"), ("A", D(2020, 1, 3), "90", "100"),
+                             ("A", D(2020, 1, 3), "80", "100")])
+    adj = Build(spark, fx.sources(spark, daily_prices=p, sii_dividend=d))["int_daily_prices_adjusted"]
+    got = sorted((r.date, round(r.adj_close, 9)) for r in adj.collect())
+    # one row per dividend row (join fan-out); ordered by factor inside the reverse product
+    assert got == [(D(2020, 1, 2), 64.8), (D(2020, 1, 3), 64.8), (D(2020, 1, 3), 72.0), (D(2020, 1, 3), 80.0),
+                   (D(2020, 1, 6), 100.0)]
