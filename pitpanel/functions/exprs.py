@@ -14,7 +14,7 @@ __all__ = [
     "safe_div", "nullif", "safe_double", "safe_bigint", "strict_bigint",
     "parse_date_two_formats", "flag", "bool_flag", "clamp_or_null",
     "strip_commas", "make_date_or_null", "year_quarter_parts",
-    "month_to_quarter", "three_way_signal", "product_of_logs",
+    "month_to_quarter", "three_way_signal",
 ]
 
 # Text shapes accepted by a strict numeric cast (BigQuery-like).
@@ -143,7 +143,3 @@ def three_way_signal(x, high: float, mid: float) -> Column:
              .when(col >= F.lit(mid), F.lit(0))
              .otherwise(F.lit(-1))).cast("bigint")
 
-
-def product_of_logs(sum_of_logs: Column) -> Column:
-    """EXP(SUM(LN(x))) form of a product; callers supply the summed logs."""
-    return F.exp(sum_of_logs)
