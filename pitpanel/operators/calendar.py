@@ -1,10 +1,11 @@
 """Trading calendar and forward as-of alignment of report deadlines.
 
 A report becomes visible on the first trading date on or after its
-publication deadline.  The result depends on the deadline only, so the
-inequality join runs on *distinct deadlines* x *distinct trading dates*
-(both bounded by the number of calendar days, never by the fact volume) and
-comes back to the facts through an equi join on the deadline.
+publication deadline.  That depends on the deadline only, so instead of the
+literal inequality join + MIN per report, the calendar is expanded once into a
+dense day -> next-trading-day map (one row per calendar day, bounded by the
+calendar, never by the fact volume) and reports find their date through an
+equi join on the deadline against the broadcast map.
 """
 
 from __future__ import annotations
