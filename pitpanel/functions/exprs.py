@@ -17,7 +17,7 @@ __all__ = [
     "month_to_quarter", "three_way_signal",
 ]
 
-# Text shapes accepted by a strict numeric cast (BigQuery-like).
+# Text shapes accepted by a strict numeric cast (no Java "1d"/"2f" suffixes).
 _FLOAT_TEXT = r"^\s*[+-]?((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?\s*$"
 _SPECIAL_FLOAT_TEXT = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
