@@ -44,3 +44,10 @@ def test_build_from_written_sources_matches_in_memory(spark, tmp_path):
     assert written.exceptAll(memory.select(*written.columns)).count() == 0
     factor = spark.read.parquet(f"{root}/out/mart_factor_dataset")
     assert "date_month" in factor.columns and factor.filter(F.col("date") < "2010-01-01").count() == 0
+
+
+def test_cli_demo_builds_and_checks(spark):
+    from pitpanel.__main__ import main
+    out = f"{ensure_checkpoint_dir(spark)}/test-cli-{uuid.uuid4().hex[:8]}"
+    assert main(["demo", "--sf", SF, "--out", out]) == 0
+    assert spark.read.parquet(f"{out}/mart_expectation_dataset").count() > 0
