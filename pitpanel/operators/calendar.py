@@ -69,7 +69,8 @@ def align_to_calendar(events: DataFrame, days: TradingDayMap, box_col: str,
     lk = days.lookup()
     key = F.col("deadline_date")
     if days.first_day is not None:
-        key = F.greatest(key, F.lit(days.first_day))
+        # (greatest() skips NULLs: a NULL deadline must stay unmatched)
+        key = F.when(key.isNotNull(), F.greatest(key, F.lit(days.first_day)))
     joined = events.join(lk, key == lk["_day"], "left")
     date = F.when(complete, F.coalesce(F.col("aligned_date"), F.col("deadline_date"))) \
             .otherwise(F.col("deadline_date"))

@@ -19,7 +19,8 @@ def test_day_map_edges(spark):
     box = T.StructType([T.StructField("v", T.LongType())])
     ev = spark.createDataFrame(
         [(D(2019, 12, 1), "A", (1,)), (D(2020, 1, 3), "A", (1,)), (D(2020, 1, 4), "A", (1,)),
-         (D(2020, 1, 5), "A", (1,)), (D(2020, 1, 8), "A", (1,)), (D(2020, 1, 4), "B", (None,))],
+         (D(2020, 1, 5), "A", (1,)), (D(2020, 1, 8), "A", (1,)), (D(2020, 1, 4), "B", (None,)),
+         (None, "C", (1,))],
         T.StructType([T.StructField("deadline_date", T.DateType()), T.StructField("ticker", T.StringType()),
                       T.StructField("box", box)]))
     out = align_to_calendar(ev, days, "box", ["v"])
@@ -29,7 +30,8 @@ def test_day_map_edges(spark):
                    ("A", D(2020, 1, 6)),      # Saturday -> Monday
                    ("A", D(2020, 1, 6)),      # Sunday -> Monday
                    ("A", D(2020, 1, 8)),      # after the last trading date -> raw deadline
-                   ("B", D(2020, 1, 4))]      # NULL field in the box -> raw deadline (T1)
+                   ("B", D(2020, 1, 4)),      # NULL field in the box -> raw deadline (T1)
+                   ("C", None)]               # no deadline -> no date
     assert days.table.count() == 5            # 01-03, 01-04..06, 01-07
 
 
