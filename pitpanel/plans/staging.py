@@ -37,8 +37,10 @@ def stg_dividend_factor(sii: DataFrame, otc: DataFrame, cfg: PanelConfig = DEFAU
 
 
 def _first_per_key(df: DataFrame, keys: list[str], order) -> DataFrame:
-    """Top-1 per key (``row_number() = 1``; planned as a WindowGroupLimit that
-    already trims each key before the shuffle)."""
+    """Top-1 per key (``row_number() = 1``; planned as a partial WindowGroupLimit
+    that trims each key map-side before the shuffle, so copies of one key are
+    not all shuffled).  No explicit repartition before it, which would stop
+    that partial limit."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -50,9 +52,7 @@ def stg_income_statement(income: DataFrame) -> DataFrame:
     row (Quirk 2); here the tie is broken by all other columns ascending so
     reruns are deterministic."""
     others = [F.col(c).asc_nulls_first() for c in income.columns if c not in ("ticker", "year_quarter")]
-    # one hash exchange on ticker serves this dedup and every per-ticker /
-    # per-(ticker, year) window of the financial features downstream
-    first = _first_per_key(income.repartition("ticker"), ["ticker", "year_quarter"], others)
+    first = _first_per_key(income, ["ticker", "year_quarter"], others)
     return first.select("ticker", "company_name", "year_quarter",
                         *[X.safe_double(m, _dtype(income, m)).alias(m) for m in schemas.INCOME_MEASURES])
 
@@ -62,8 +62,7 @@ def stg_monthly_revenue(revenue: DataFrame) -> DataFrame:
     (NULLs last; remaining ties by the other columns)."""
     others = [F.col(c).asc_nulls_first() for c in revenue.columns
               if c not in ("ticker", "year_month", "revenue")]
-    # one hash exchange on ticker serves the dedup and the streak windows
-    first = _first_per_key(revenue.repartition("ticker"), ["ticker", "year_month"],
+    first = _first_per_key(revenue, ["ticker", "year_month"],
                            [F.col("revenue").desc_nulls_last(), *others])
     t = lambda c: _dtype(revenue, c)
     return first.select(
