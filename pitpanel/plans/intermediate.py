@@ -125,12 +125,16 @@ def int_financial_features(income: DataFrame, actions: DataFrame, cfg: PanelConf
                       "net_income", "eps", qdate.alias("_qdate"))
     b = with_action_factors(b, actions, "_qdate", {"_psf": "per_share_factor"}, cfg.max_broadcast_rows)
     b = b.withColumn("eps", F.col("eps") * F.col("_psf"))
-    in_year = W.by_key("year_quarter", ["ticker", "_year"])
+    # LAG within (ticker, year) == ticker-wide LAG when the previous row is of
+    # the same year, else NULL; written that way so every window of this model
+    # shares the ticker partitioning (one exchange instead of two)
+    by_ticker = W.by_key(["year_quarter"])
+    same_year = F.lag("_year").over(by_ticker) == F.col("_year")
     single = {}
     for src, dst in (("revenue", "q_revenue"), ("operating_income", "q_operating_income"),
                      ("net_income", "q_net_income"), ("eps", "q_eps")):
-        single[dst] = F.when(F.col("_q") == "1", F.col(src)).otherwise(
-            F.col(src) - F.lag(src).over(in_year))
+        prev = F.when(same_year, F.lag(src).over(by_ticker))
+        single[dst] = F.when(F.col("_q") == "1", F.col(src)).otherwise(F.col(src) - prev)
     b = b.select("ticker", "year_quarter", *[v.alias(k) for k, v in single.items()])
     b = (b.withColumn("operating_margin", X.safe_div("q_operating_income", X.nullif("q_revenue", 0)))
           .withColumn("net_margin", X.safe_div("q_net_income", X.nullif("q_revenue", 0))))
