@@ -78,6 +78,21 @@ def _dcf_lookup_used(spark, sf_dir):
     return b["dim_dcf_lookup"].join(used, "pe_x10", "left_semi")
 
 
+def _dcf_surface_used(spark, sf_dir):
+    """M16 rows (all columns) that the valuation of the panel selects: for each
+    horizon, the surface rows whose growth is some row's implied growth."""
+    b = _build(spark, sf_dir)
+    v = b["mart_vbt_valuation_dataset"]
+    used = None
+    for h in DEFAULT.valuation_years:
+        u = v.select(F.lit(h).cast("bigint").alias("high_growth_years"),
+                     F.col(f"implied_growth_{h}y_pct").alias("growth_rate_pct"))
+        used = u if used is None else used.unionByName(u)
+    s = b["dim_dcf_surface"].filter((F.col("discount_rate_pct") == DEFAULT.valuation_discount_pct)
+                                    & (F.col("terminal_growth_rate_pct") == DEFAULT.valuation_terminal_pct))
+    return s.join(used.dropna().distinct(), ["high_growth_years", "growth_rate_pct"], "left_semi")
+
+
 def _stack_duplicates(spark, sf_dir):
     return Q.duplicate_keys(_build(spark, sf_dir)["int_vbt_stack"])
 
@@ -148,6 +163,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forward_eps": _model("mart_expectation_features"),
     "expectation_dataset": _model("mart_expectation_dataset"),
     "dcf_lookup": _dcf_lookup_used,
+    "dcf_surface": _dcf_surface_used,
     # data quality
     "dq_duplicate_keys": _master_check(Q.duplicate_keys),
     "dq_future_dates": _master_check(Q.future_dates),
