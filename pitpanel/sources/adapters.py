@@ -163,7 +163,11 @@ def dividends(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def corporate_actions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CORPORATE_ACTION_ROWS, schemas.CORPORATE_ACTIONS)
+    """The fixture seed as a JVM-side literal relation (no Python workers)."""
+    names = schemas.CORPORATE_ACTIONS.names
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in CORPORATE_ACTION_ROWS]
+    lit_rows = spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return lit_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.CORPORATE_ACTIONS.fields])
 
 
 def sources_from_lineitem(spark: SparkSession, sf_dir: str) -> Sources:
