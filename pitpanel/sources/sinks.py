@@ -44,3 +44,23 @@ def read_panel(spark: SparkSession, path: str, date_from: dt.date | None = None,
         df = df.filter((F.col(MONTH_COL) <= F.lit(date_to.replace(day=1)))
                        & (F.col(date_col) <= F.lit(date_to)))
     return df
+
+
+def register_tables(spark: SparkSession, out_dir: str, names=None) -> list[str]:
+    """Expose built tables under ``out_dir`` as temp views named after the
+    models, so they can be queried with Spark SQL (``SELECT ... FROM
+    mart_factor_dataset WHERE date_month >= DATE'2012-01-01' ...``)."""
+    import os
+
+    from pyspark.errors import AnalysisException
+
+    if names is None:
+        names = sorted(n for n in os.listdir(out_dir) if not n.startswith((".", "_")))
+    done = []
+    for name in names:
+        try:
+            spark.read.parquet(f"{out_dir}/{name}").createOrReplaceTempView(name)
+            done.append(name)
+        except AnalysisException:
+            continue
+    return done

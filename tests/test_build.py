@@ -51,3 +51,17 @@ def test_cli_demo_builds_and_checks(spark):
     out = f"{ensure_checkpoint_dir(spark)}/test-cli-{uuid.uuid4().hex[:8]}"
     assert main(["demo", "--sf", SF, "--out", out]) == 0
     assert spark.read.parquet(f"{out}/mart_expectation_dataset").count() > 0
+
+
+def test_register_tables_for_sql(spark):
+    from pitpanel.plans.dag import Build
+    from pitpanel.sources.sinks import register_tables
+    out = f"{ensure_checkpoint_dir(spark)}/test-views-{uuid.uuid4().hex[:8]}"
+    b = Build(spark, sources_from_lineitem(spark, SF), out_dir=out)
+    b["mart_factor_dataset"]
+    names = register_tables(spark, out)
+    assert {"int_daily_prices_adjusted", "mart_vbt_master_dataset", "mart_factor_dataset"} <= set(names)
+    q = spark.sql("SELECT ticker, count(*) AS n FROM mart_factor_dataset "
+                  "WHERE date_month >= DATE'2012-01-01' AND date >= DATE'2012-01-15' GROUP BY ticker")
+    assert q.count() > 0
+    assert "PartitionFilters: [isnotnull(date_month" in q._jdf.queryExecution().executedPlan().toString()
