@@ -94,10 +94,10 @@ FIN_BOX_COLS = [n for n, _ in schemas.FIN_BOX_FIELDS]
 BS_BOX_COLS = [n for n, _ in schemas.BS_BOX_FIELDS]
 
 
-def revenue_deadline(ym) -> F.Column:
+def revenue_deadline(ym, cfg: PanelConfig = DEFAULT) -> F.Column:
     """11th of the following month (strict parse of ``YYYY-MM``)."""
-    return F.date_add(F.add_months(F.to_date(ym, "yyyy-MM"), DEFAULT.revenue_deadline_months),
-                      DEFAULT.revenue_deadline_days)
+    return F.date_add(F.add_months(F.to_date(ym, "yyyy-MM"), cfg.revenue_deadline_months),
+                      cfg.revenue_deadline_days)
 
 
 def int_monthly_revenue_shifter(features: DataFrame, days: TradingDayMap,
@@ -105,7 +105,7 @@ def int_monthly_revenue_shifter(features: DataFrame, days: TradingDayMap,
     """M9: each month's rev_box dated at the first trading day on or after its
     deadline (a box with a NULL field keeps the raw deadline, trap T1)."""
     box = F.struct(*[F.col(c) for c in REV_BOX_COLS[:-1]], F.col("year_month").alias("data_month_label"))
-    ev = features.select(revenue_deadline("year_month").alias("deadline_date"), "ticker", box.alias("rev_box"))
+    ev = features.select(revenue_deadline("year_month", cfg).alias("deadline_date"), "ticker", box.alias("rev_box"))
     return align_to_calendar(ev, days, "rev_box", REV_BOX_COLS)
 
 
