@@ -168,3 +168,15 @@ def test_copies_and_distinct_factors_on_one_ex_date(spark):
     # one row per dividend row (join fan-out); ordered by factor inside the reverse product
     assert got == [(D(2020, 1, 2), 64.8), (D(2020, 1, 3), 64.8), (D(2020, 1, 3), 72.0), (D(2020, 1, 3), 80.0),
                    (D(2020, 1, 6), 100.0)]
+
+
+def test_integer_dates_and_text_ex_dates(spark):
+    p = spark.createDataFrame([("A", 20200102, 100.0, 1), ("A", 20200103, 100.0, 1), (None, None, 1.0, 1)],
+                              "ticker string, date bigint, close double, volume bigint") \
+             .withColumn("open", F.col("close")).withColumn("high", F.col("close")).withColumn("low", F.col("close"))
+    d = spark.createDataFrame([("A", "2020-01-03", "90", "100")],
+                              "ticker string, ex_dividend_date string, reference_price_ex_dividend string, "
+                              "close_price_pre_adjust string")
+    b = Build(spark, fx.sources(spark, daily_prices=p, sii_dividend=d))
+    got = sorted((r.date, round(r.adj_close, 9)) for r in b["int_daily_prices_adjusted"].collect())
+    assert got == [(D(2020, 1, 2), 90.0), (D(2020, 1, 3), 90.0)]
