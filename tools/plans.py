@@ -48,7 +48,7 @@ def main() -> None:
         for p in pre:
             b[p]
         df = getattr(b, f"_{model}")()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
         ops = re.findall(OPS, plan)
         cnt = Counter(o.split("(")[0] if o.startswith("Exchange") else o for o in ops)
         print(f"## {model}\n")
