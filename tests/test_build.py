@@ -45,6 +45,12 @@ def test_build_from_written_sources_matches_in_memory(spark, tmp_path):
     factor = spark.read.parquet(f"{root}/out/mart_factor_dataset")
     assert "date_month" in factor.columns and factor.filter(F.col("date") < "2010-01-01").count() == 0
 
+    from pitpanel.__main__ import main
+    assert main(["build", "--sources", f"{root}/src", "--seed", str(seed), "--out", f"{root}/cli",
+                 "--as-of", "2030-01-01"]) == 0
+    cli = stabilize(spark.read.parquet(f"{root}/cli/mart_vbt_master_dataset").drop("date_month"))
+    assert cli.exceptAll(written).count() == 0 and cli.count() == written.count()
+
 
 def test_cli_demo_builds_and_checks(spark):
     from pitpanel.__main__ import main
