@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
+# --- fixed values: source column names as the models read them ---
+
 
 def _st(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
@@ -39,7 +41,7 @@ BALANCE_SHEET = _st(("ticker", S), ("company_name", S), *[(m, S) for m in BALANC
 CORPORATE_ACTIONS = _st(("ticker", S), ("effective_date", T.DateType()), ("price_factor", D),
                         ("per_share_factor", D), ("share_factor", D), ("note", S))
 
-# Report boxes: field order and types are part of the contract.
+# --- fixed values: report boxes (field order and types are part of the contract) ---
 REV_BOX_FIELDS = (("revenue", L), ("yoy_growth_pct", D), ("mom_growth_pct", D),
                   ("ytd_growth_pct", D), ("yoy_triple_increase_signal", L),
                   ("yoy_positive_streak_count", L), ("data_month_label", S))
@@ -62,7 +64,7 @@ REV_BOX = _st(*REV_BOX_FIELDS)
 FIN_BOX = _st(*FIN_BOX_FIELDS)
 BS_BOX = _st(*BS_BOX_FIELDS)
 
-# Master-panel column names of each box field after the forward fill.
+# --- fixed values: master-panel column name of each box field after the forward fill ---
 REV_FILL_NAMES = {"revenue": "revenue", "yoy_growth_pct": "yoy_growth",
                   "mom_growth_pct": "mom_growth_pct", "ytd_growth_pct": "ytd_growth_pct",
                   "yoy_positive_streak_count": "yoy_positive_streak_count",
