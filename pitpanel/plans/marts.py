@@ -32,7 +32,11 @@ def _collapse(s: DataFrame) -> DataFrame:
         Window.unboundedPreceding, Window.unboundedFollowing)
     day_rn = Window.partitionBy("ticker", "date").orderBy("_kind")
     cols = [F.max(src).over(day).alias(dst) for src, dst in PRICE_MAX.items()]
-    cols += [F.max_by(box, F.col(box).getField(label)).over(day).alias(alias)
+    # latest label wins; identical labels (duplicated statements) fall back to
+    # the largest box, so reruns pick the same one whatever the row order
+    cols += [F.max(F.when(F.col(box).isNotNull(),
+                          F.struct(F.col(box).getField(label).alias("l"), F.col(box).alias("b"))))
+              .over(day).getField("b").alias(alias)
              for box, label, alias, _ in BOXES]
     out = s.select("date", "ticker", *cols, F.row_number().over(day_rn).alias("_rn"))
     return out.filter(F.col("_rn") == 1).drop("_rn")
@@ -40,7 +44,8 @@ def _collapse(s: DataFrame) -> DataFrame:
 
 def collapse_stack(stack: DataFrame) -> DataFrame:
     """A1/A2: one row per (date, ticker): MAX of the price columns and, per box
-    kind, one non-NULL box (on a collision the latest label wins, Quirk 4).
+    kind, one non-NULL box (on a collision the latest label wins, Quirk 4;
+    equal labels: the largest box, for deterministic reruns).
 
     Done with window aggregates over (ticker, date) on data hash-partitioned
     by ticker, which the forward fill that follows reuses: a single shuffle,

@@ -180,3 +180,14 @@ def test_integer_dates_and_text_ex_dates(spark):
     b = Build(spark, fx.sources(spark, daily_prices=p, sii_dividend=d))
     got = sorted((r.date, round(r.adj_close, 9)) for r in b["int_daily_prices_adjusted"].collect())
     assert got == [(D(2020, 1, 2), 90.0), (D(2020, 1, 3), 90.0)]
+
+
+def test_duplicate_statements_collapse_deterministically(spark):
+    p = fx.prices(spark, [("A", "2010-05-17", 1.0), ("A", "2010-05-18", 1.0)])
+    rows = []
+    for te in ("2000", "1000", "3000"):           # three copies of 2010-1 with different equity
+        rows.append(("A", "co", "50", "50", "100", "10", "10", "20", "20", "5", "5", te, "10", "2010-1"))
+    bs = spark.createDataFrame(rows, schemas.BALANCE_SHEET)
+    m = Build(spark, fx.sources(spark, daily_prices=p, balance_sheet=bs))["mart_vbt_master_dataset"]
+    got = {r.date: r.total_equity for r in m.collect()}
+    assert got[D(2010, 5, 17)] == 3000.0          # deadline Sun 05-16 is a phantom row before it
