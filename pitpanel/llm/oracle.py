@@ -19,4 +19,17 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": OP10}
+OP5 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * k >= 75 * (s.n + t.n - k)),
+twoway AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, b.y FROM reach r JOIN twoway b ON r.y = b.x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(y) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op5_ngram_join": OP5, "op10_decontamination": OP10}

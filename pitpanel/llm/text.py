@@ -132,14 +132,11 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def column(values: np.ndarray | list, kind: pa.DataType) -> pa.Array:
-    return pa.array(values, kind)
-
-
-def store(df: DataFrame) -> DataFrame:
-    """The same rows from a reliable checkpoint: lineage ends and losing an executor loses nothing."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder: lineage ends there, and losing an executor loses nothing."""
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
