@@ -32,4 +32,14 @@ reach(doc_id, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, b.y FRO
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(y) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op5_ngram_join": OP5, "op10_decontamination": OP10}
+OP7 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+wins AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM wins) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op5_ngram_join": OP5, "op7_substring_dedup": OP7, "op10_decontamination": OP10}
