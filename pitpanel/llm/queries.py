@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, substring_dedup
+from pitpanel.llm import decontaminate, ngram_join, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -28,6 +34,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_decontamination": op10_decontamination,
