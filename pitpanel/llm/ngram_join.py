@@ -7,9 +7,9 @@
    meet in a block.  A block's sets are stored in a trie whose edges carry runs of shingles in the block's global order;
    a probe walks it level by level, sharing the overlap of common paths, and leaves subtrees whose remaining length (or
    sizes) cannot reach the threshold, or that hold only sets already connected to it.
-4. A block too large for a task is first compared with its pivot.  What links to the pivot is connected; the others
-   (strays) are compared with the sets that the triangle inequality of the Jaccard distance leaves possible, in
-   bounded pieces.
+4. A block too large for a task is dealt in pieces, each with the pivot.  What links to the pivot is connected; the
+   others (strays) are compared with the sets of all pieces that the triangle inequality of the Jaccard distance leaves
+   possible, piece by piece.
 5. Links become components (``graph``).
 
 Sets and shingles are known by 64-bit hashes (shingles in the trie by at least 50 bits): chance collisions are possible
@@ -228,8 +228,9 @@ def _edges(group: pa.Table, percent: int, probes: np.ndarray | None = None) -> l
     return block_links(group["class"].to_numpy(), group["n"].to_numpy(), sets, percent, probes)
 
 
-def _as_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+def _found(pairs: list[tuple[int, int]], far) -> pa.RecordBatch:
+    """far: 0 for edges."""
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.array(np.broadcast_to(np.asarray(far, float), len(pairs)), pa.float64())], names=["a", "b", "far"])
 
 
 def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -251,47 +252,51 @@ def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Da
     prefix = sets.mapInArrow(prefixes, "token long, class long")
     pivots = prefix.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("top")).where("pivot != top").drop("top")
     pairs = stored(prefix.join(pivots, "token").where("class != pivot").select("pivot", "class").distinct(), "pairs")
-    members = pairs.unionByName(pairs.select("pivot", F.col("pivot").alias("class")).distinct())
-    sizes = pairs.groupBy("pivot").count()
-    big = stored(sizes.where(F.col("count") >= block).select("pivot", F.col("count").alias("members")), "big")
-
-    small = members.join(big, "pivot", "left_anti").join(sets, "class").select("pivot", "class", "n", "tokens")
+    pieces = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("pieces"))
+    # the pivot goes to every piece of its block
+    others = pairs.join(pieces, "pivot").select("pivot", F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int").alias("piece"), "pieces", "class")
+    cores = pieces.select("pivot", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "pieces", F.col("pivot").alias("class"))
+    met = others.unionByName(cores).join(sets, "class").select("pivot", "piece", "pieces", "class", "n", "tokens")
 
     def within(batches):
-        for group in _grouped(batches, ["pivot"]):
-            yield _as_batch(_edges(group, percent))
-
-    edges = small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(within, "a long, b long")
-    if big.isEmpty():
+        for group in _grouped(batches, ["pivot", "piece"]):
+            edges = _edges(group, percent)
+            yield _found(edges, 0)
+            if group["pieces"][0].as_py() > 1:
+                yield _found(*_distances(group))
+
+    found = stored(met.repartition("pivot", "piece").sortWithinPartitions("pivot", "piece").mapInArrow(within, "a long, b long, far double"), "links")
+    edges = found.where("far = 0").select("a", "b")
+    reach = 1 - percent / 100 + 1e-9
+    star = found.where("far > 0").select(F.col("a").alias("pivot"), F.col("b").alias("class"), "far")
+    if star.where(F.col("far") > reach).isEmpty():
         return edges
-    return edges.unionByName(_big_links(pairs, sets, big, percent, block))
+    return edges.unionByName(_stray_links(star, sets, reach, percent, block))
+
+
+def _distances(group: pa.Table) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(pivot, class) and Jaccard distance of a block's sets from its pivot."""
+    pivot, marks, n = group["pivot"][0].as_py(), group["class"].to_pylist(), group["n"].to_pylist()
+    sets = [np.frombuffer(x.as_py(), U64) for x in group["tokens"]]
+    core = marks.index(pivot)
+    own = [k for k in range(len(marks)) if marks[k] != pivot]
+    same = [len(np.intersect1d(sets[core], sets[k], assume_unique=True)) for k in own]
+    return [(pivot, marks[k]) for k in own], np.array([1 - s / (n[core] + n[k] - s) for s, k in zip(same, own, strict=True)])
 
 
 def _floor_need(n: int, percent: int) -> int:
     return 1 - -(-percent * n // 100)
 
 
-def _big_links(pairs: DataFrame, sets: DataFrame, big: DataFrame, percent: int, block: int) -> DataFrame:
-    own = pairs.join(big, "pivot").join(sets, "class").select("pivot", "members", "class", "n", "tokens")
-    core = sets.select(F.col("class").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens"))
-
-    def compare(batches):
-        for batch in batches:
-            far = []
-            for a, b, x, y in zip(batch.column("n").to_pylist(), batch.column("pivot_n").to_pylist(), batch.column("tokens"), batch.column("pivot_tokens"), strict=True):
-                same = len(np.intersect1d(np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64), assume_unique=True))
-                far.append(1 - same / (a + b - same))
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("class"), pa.array(far, pa.float64())], names=["pivot", "class", "far"])
-
-    star = stored(own.join(core, "pivot").select("pivot", "class", "n", "tokens", "pivot_n", "pivot_tokens").mapInArrow(compare, "pivot long, class long, far double"), "star")
-    reach = 1 - percent / 100
-    near = F.col("far") <= reach + 1e-12
-    edges = star.where(near).select(F.col("pivot").alias("a"), F.col("class").alias("b"))
-    strays = star.where(~near)
-    about = stored(strays.groupBy("pivot").agg(F.min("far").alias("nearest"), F.count("*").alias("strays")).join(star.groupBy("pivot").count().withColumnRenamed("count", "members"), "pivot"), "strays")
-    pieces = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
-    about = about.select("pivot", "nearest", pieces("strays").alias("rows"), pieces("members").alias("columns"))
-    all_of = star.join(about, "pivot").where(F.col("far") >= F.col("nearest") - reach - 1e-9)
+def _stray_links(star: DataFrame, sets: DataFrame, reach: float, percent: int, block: int) -> DataFrame:
+    """Links of the sets that their pivot does not link to, in bounded pieces; ``star``: ``pivot, class, far``."""
+    near = F.col("far") <= reach
+    # a set so near the pivot that no stray can be within reach of it is left out
+    about = star.groupBy("pivot").agg(F.min(F.when(~near, F.col("far"))).alias("nearest"), F.count(F.when(~near, 1)).alias("rows")).where("rows > 0")
+    all_of = star.join(about, "pivot").where(F.col("far") >= F.col("nearest") - reach)
+    counts = all_of.groupBy("pivot").agg(F.count("*").alias("columns"))
+    count = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    all_of = all_of.join(counts, "pivot").select("pivot", "class", "far", count("rows").alias("rows"), count("columns").alias("columns"))
     own_piece = lambda c: F.pmod(F.xxhash64("class"), F.col(c)).cast("int")
     # every piece of strays meets every piece of members; a stray is a member too
     as_probe = all_of.where(~near).select("pivot", "class", F.lit(True).alias("probe"), own_piece("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
@@ -302,9 +307,9 @@ def _big_links(pairs: DataFrame, sets: DataFrame, big: DataFrame, percent: int,
         for group in _grouped(batches, ["pivot", "i", "j"]):
             ask = group["probe"].to_numpy(zero_copy_only=False).astype(bool)
             if ask.any():
-                yield _as_batch(_edges(group, percent, ask))
+                yield _found(_edges(group, percent, ask), 0)
 
-    return edges.unionByName(met.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(between, "a long, b long"))
+    return met.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(between, "a long, b long, far double").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, substring_dedup, token_files, toxicity
+from pitpanel.llm import decontaminate, ngram_join, substring_dedup, token_files, toxicity, warc
+from pitpanel.llm.text import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +21,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
@@ -39,6 +45,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op7_substring_dedup": op7_substring_dedup,

@@ -6,8 +6,12 @@ the longest text, never the number of rows.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -146,14 +150,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
         folder = context.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='pitpanel-checkpoint-')}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, unless their path has it (PYTHONPATH, or the folder a local master runs in)."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        known.append(Path.cwd())
+    if package.parent in known:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="pitpanel-")) / f"{package.name}.zip"  # Spark fetches it from the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
