@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, substring_dedup, token_files, toxicity, warc
+from pitpanel.llm import decontaminate, ngram_join, sketches, substring_dedup, token_files, toxicity, warc
 from pitpanel.llm.text import ship
 
 
@@ -35,6 +35,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op5_ngram_join": op5_ngram_join,
+    "op6_fingerprints": op6_fingerprints,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_files": op8_token_files,
     "op10_decontamination": op10_decontamination,
