@@ -4,7 +4,7 @@ Features are the distinct 3-, 4- and 5-grams of a lower-cased text (UTF-8 bytes,
 at either end), hashed into ``2**BITS`` buckets.  The log-count ratios are corpus statistics over all training rows:
 each task counts the documents of either class for each bucket and Spark adds the counts.  Logistic regression on the
 present features times their ratios is then fitted to a bounded sample of the training rows: at most
-``SAMPLE_ROWS`` rows of each class, taken by a hash of id and text, whole texts, in at most ``SAMPLE_FEATURES`` features
+``SAMPLE_ROWS`` rows of each class, taken by a hash of the text, whole texts, and at most ``SAMPLE_FEATURES`` features
 together.  Scoring is one pass without a shuffle.
 
 Defined cases: null and empty texts have only the bias (and the n-grams of a lone space: none), so they score the same
@@ -93,8 +93,9 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return totals, counts
 
 
-def _sample(rows: DataFrame, most: int, most_features: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and labels of the sampled rows."""
+def _sample(rows: DataFrame, most: int, most_features: int, ratio: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Telling features and labels of the sampled rows."""
+    sent = rows.sparkSession.sparkContext.broadcast(np.abs(ratio) >= LEAST_RATIO)  # 2**BITS bytes
     order = F.xxhash64("text", "label")
     chosen = None
     for label in (0, 1):
@@ -102,9 +103,10 @@ def _sample(rows: DataFrame, most: int, most_features: int) -> tuple[list[np.nda
         chosen = part if chosen is None else chosen.unionByName(part)
 
     def encode(batches):
-        features = Features()
+        features, telling = Features(), sent.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("order"), pa.array([features.of(t).astype(np.int32).tobytes() for t in _texts(batch.column("text"))], pa.binary())], names=["label", "order", "at"])
+            found = (features.of(t) for t in _texts(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("order"), pa.array([at[telling[at]].astype(np.int32).tobytes() for at in found], pa.binary())], names=["label", "order", "at"])
 
     xs, ys, used = [], [], 0
     found = chosen.mapInArrow(encode, "label int, order long, at binary").orderBy("order")
@@ -139,8 +141,7 @@ def fit(rows: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_features: int
         return Model(bias, np.zeros(1 << BITS))
     share = (counts + smooth) / (totals[:, None] + 2 * smooth)
     ratio = np.log(share[1]) - np.log(share[0])
-    xs, y = _sample(rows, sample_rows, sample_features)
-    xs = [x[np.abs(ratio[x]) >= LEAST_RATIO] for x in xs]
+    xs, y = _sample(rows, sample_rows, sample_features, ratio)
     used, at = np.unique(np.concatenate(xs) if xs else np.zeros(0, np.int32), return_inverse=True)
     row = np.repeat(np.arange(len(xs)), [len(x) for x in xs])
     weight = np.where(y == 1, prior * len(y) / max(1, y.sum()), (1 - prior) * len(y) / max(1, len(y) - y.sum()))
