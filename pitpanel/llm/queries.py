@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, sketches, substring_dedup, token_files, toxicity, warc
+from pitpanel.llm import decontaminate, ngram_join, sketches, substring_dedup, token_files, toxicity, url_filter, warc
 from pitpanel.llm.text import ship
 
 
@@ -31,6 +31,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -51,6 +55,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op5_ngram_join": op5_ngram_join,
     "op6_fingerprints": op6_fingerprints,
     "op7_substring_dedup": op7_substring_dedup,
