@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, sketches, substring_dedup, token_files, toxicity, url_filter, warc
+from pitpanel.llm import decontaminate, ngram_join, pieces, sketches, substring_dedup, token_files, toxicity, url_filter, warc
 from pitpanel.llm.text import ship
 
 
@@ -52,6 +52,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segment(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -60,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_files": op8_token_files,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_decontamination": op10_decontamination,
 }
