@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, ngram_join, pieces, sketches, substring_dedup, token_files, toxicity, url_filter, warc
+from pitpanel.llm import decontaminate, licenses, ngram_join, pieces, sketches, substring_dedup, token_files, toxicity, url_filter, warc
 from pitpanel.llm.text import ship
 
 
@@ -35,6 +35,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op4_license_scan": op4_license_scan,
     "op5_ngram_join": op5_ngram_join,
     "op6_fingerprints": op6_fingerprints,
     "op7_substring_dedup": op7_substring_dedup,

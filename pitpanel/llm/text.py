@@ -136,6 +136,18 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest of every ``width`` consecutive numbers and its (first) place."""
+    low, at, have = values, np.arange(len(values)), 1
+    while have < width and len(low):
+        step = min(have, width - have)
+        left, right = low[:-step], low[step:]
+        first = left <= right
+        low, at = np.where(first, left, right), np.where(first, at[:-step], at[step:])
+        have += step
+    return low, at
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: lineage ends there, and losing an executor loses nothing."""
     folder = fresh_folder(df.sparkSession, name)
