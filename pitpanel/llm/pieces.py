@@ -452,8 +452,12 @@ def segment(docs: DataFrame, model: str, *, keep: tuple[str, ...] = ("doc_id",),
     schema = StructType([*rows.schema.fields[: len(keep)], *StructType.fromDDL(f"{one}{', exact boolean' if digest else ''}, samples array<struct<{one.replace(' ', ':').replace(',:', ', ')}, log_prob:double, inclusion:double>>").fields])
     target = to_arrow_schema(schema)
 
-    def shown(ids: np.ndarray) -> dict:
-        return {"n_pieces": len(ids), "ids_crc32": zlib.crc32(ids.astype("<i4"))} if digest else {"ids": ids}
+    def shown(many: list[np.ndarray]) -> list[pa.Array]:
+        """Columns of id sequences."""
+        sizes = np.array([len(x) for x in many], np.int64)
+        if digest:
+            return [pa.array(sizes), pa.array([zlib.crc32(x.astype("<i4")) for x in many], pa.int64())]
+        return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *many]), pa.int32()))]
 
     def run(batches):
         words = vocabulary(model, alpha)
@@ -464,17 +468,24 @@ def segment(docs: DataFrame, model: str, *, keep: tuple[str, ...] = ("doc_id",),
                 texts = batch.column("_text").slice(i, j - i).to_pylist()
                 numbers, per_text = words.cut(texts)
                 parts, exact = Parts(words, numbers), words.exact[numbers]
-                out, at = [], 0
+                ends = np.cumsum(per_text)
+                encoded, decodes, drawn, logs, inclusions, counts = [], [], [], [], [], []
                 for r in range(j - i):
-                    own = parts[at : at + per_text[r]]
-                    at += per_text[r]
+                    which = slice(ends[r] - per_text[r], ends[r])
+                    own = parts[which]
                     random = np.random.Generator(np.random.Philox(key=[keys[i + r] & 0xFFFFFFFFFFFFFFFF, seed]))
-                    row = shown(own.encoded()) | {"samples": [shown(s.ids(own)) | {"log_prob": log, "inclusion": q} for s, log, q in sample(own, samples, random)]}
-                    if digest:
-                        row["exact"] = bool(exact[at - per_text[r] : at].all()) and SPACE not in texts[r]
-                    out.append(row)
-                made = pa.Table.from_pylist(out, schema=pa.schema(list(target)[len(keep) :])).combine_chunks()
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(len(keep))), *(c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in made.columns)], schema=target)
+                    encoded.append(own.encoded())
+                    decodes.append(bool(exact[which].all()) and SPACE not in texts[r])
+                    got = sample(own, samples, random)
+                    drawn += [s.ids(own) for s, _, _ in got]
+                    logs += [log for _, log, _ in got]
+                    inclusions += [q for _, _, q in got]
+                    counts.append(len(got))
+                inner = pa.StructArray.from_arrays([*shown(drawn), pa.array(logs, pa.float64()), pa.array(inclusions, pa.float64())], fields=list(target.field("samples").type.value_type))
+                listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), inner).cast(target.field("samples").type)
+                made = [*shown(encoded), *([pa.array(decodes)] if digest else []), listed]
+                made = [x.cast(f.type) for x, f in zip(made, list(target)[len(keep) :], strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(len(keep))), *made], schema=target)
 
     out = rows.mapInArrow(run, schema)
     return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(keep)), *out.columns[len(keep) :])
