@@ -182,6 +182,6 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """``text, label`` of the labelled documents that are not held out."""
+    """``text, label`` of the labelled documents that are not held out; the labels grow with the corpus, so the join shuffles at every size."""
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label")).distinct()
-    return docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(known, "_id").select("text", "label")
+    return docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(known.hint("merge"), "_id").select("text", "label")
