@@ -50,7 +50,8 @@ class Block:
                 starts.append(np.arange(len(view)))
         self.names = [name or "" for name, _ in items]
         if not keys:
-            self.keys = np.zeros(0, f"S{4 * window}")
+            self.keys, self.lengths, self.use_item, self.use_start = np.zeros(0, f"S{4 * window}"), *(np.zeros(0, np.int64) for _ in range(3))
+            self.use_from = np.zeros(1, np.int64)
             return
         key, length = sortable(np.concatenate(keys)), np.concatenate(lengths)
         both = key.astype(f"S{4 * window}")

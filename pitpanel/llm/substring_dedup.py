@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm.recurrence import SCHEMA, Packer, bins_for, recurring
-from pitpanel.llm.text import U64, Words, grams, slices, utf8, white_space_words
+from pitpanel.llm.text import U64, Words, grams, slices, sliding_min, utf8, white_space_words
 
 SIZE = 20
 ANCHOR = 6
@@ -45,14 +45,7 @@ OCCURRENCE = np.dtype([("id", "<i8"), ("text", "<i8"), ("start", "<i4")])
 
 def anchors(words: Words, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every window: its first word, its anchor's hash, its anchor's place."""
-    every = grams(words.hash, k)
-    low, at, have, want = every, np.arange(len(every)), 1, size - k + 1
-    while have < want and len(low):
-        step = min(have, want - have)
-        left, right = low[:-step], low[step:]
-        first = left <= right
-        low, at = np.where(first, left, right), np.where(first, at[:-step], at[step:])
-        have += step
+    low, at = sliding_min(grams(words.hash, k), size - k + 1)
     n = max(0, len(words.hash) - size + 1)
     start = np.flatnonzero(words.row[:n] == words.row[size - 1 : size - 1 + n])
     return start, low[start], at[start]
@@ -218,15 +211,15 @@ def _located(rows: list[tuple], size: int) -> pa.RecordBatch:
             source = np.flatnonzero(lead)[np.cumsum(lead) - 1]
             late = (at["id"] != at["id"][source]) | (at["text"] != at["text"][source]) | (place != place[source])
             more.append([np.zeros(late.sum(), np.int64), np.zeros(late.sum(), np.int64), at["id"][late], at["text"][late], place[late], np.ones(late.sum(), np.int64)])
-    best: dict[bytes, tuple] = {}
+    best: dict[tuple, tuple] = {}  # of each shard of a hot anchor and phrase
     for n, v in enumerate(names):
         if v[2]:
             for k in range(len(v[3]) - size + 1):
-                mark = hashlib.blake2b(b" ".join(v[3][k : k + size]), digest_size=16).digest()
+                mark = (v[1], hashlib.blake2b(b" ".join(v[3][k : k + size]), digest_size=16).digest())
                 here = (int(first["id"][n]), int(first["text"][n]), int(first["start"][n]) + k)
                 best[mark] = min(best.get(mark, here), here)
     if best:
-        marks = np.frombuffer(b"".join(best), np.int64).reshape(-1, 2)
+        marks = np.frombuffer(b"".join([m for _, m in best]), np.int64).reshape(-1, 2)
         where = np.array(list(best.values()), np.int64)
         more.append([marks[:, 0], marks[:, 1], where[:, 0], where[:, 1], where[:, 2], np.zeros(len(where), np.int64)])
     kinds = (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32)

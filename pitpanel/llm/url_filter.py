@@ -81,7 +81,8 @@ def templates(urls: DataFrame, *, wide: int = WIDE, rare: float = RARE, z: float
     pooled = F.col("all_bad") / F.col("all_labelled")
     spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_labelled))
     score = F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest_labelled) / spread
-    alike = F.when((F.col("labelled") == 0) & (F.col("all_labelled") == 0), True).when((F.col("labelled") == 0) | (rest_labelled == 0), False).when(spread == 0, True).otherwise(score < z)
+    # nothing tells an unlabelled child from the rest; a labelled child among unlabelled ones stays apart
+    alike = F.when(F.col("labelled") == 0, True).when(rest_labelled == 0, False).when(spread == 0, True).otherwise(score < z)
     general = children.join(nodes, ["host", "node"]).where((F.col("width") >= wide) & (F.col("n") <= rare * F.col("all_n")) & alike).select("host", "node", "child", F.lit("*").alias("wild"))
     named = under.join(general, ["host", "node", "child"], "left").groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("depth", F.coalesce("wild", "child").alias("name")))).alias("path"))
     named = named.select("host", "shape", F.concat(F.lit("/"), F.array_join("path.name", "/")).alias("template"))
