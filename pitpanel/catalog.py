@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pitpanel.config import DEFAULT
 from pitpanel.operators import quality as Q
 from pitpanel.operators.actions import with_action_factors
+from pitpanel.operators.dcf import LOOKUP_GROUP
+from pitpanel.operators.nearest import NearestIndex
 from pitpanel.plans import marts as M
 from pitpanel.plans.dag import Build
 from pitpanel.sources.adapters import sources_from_lineitem
@@ -66,31 +68,32 @@ def _master_check(check):
     return q
 
 
-def _dcf_lookup_used(spark, sf_dir):
-    """M17 rows (all parameter sets) for the PE buckets the panel actually hits
-    (the expectation universe: 2010 on, eps_ttm > 0, 0 < pe <= 300)."""
+def _dcf_lookup(spark, sf_dir):
+    """The whole M17 grid (all parameter sets), each row with the number of
+    panel rows of the expectation universe (2010 on, eps_ttm > 0, 0 < pe <= 300)
+    whose PE falls into its bucket."""
     b = _build(spark, sf_dir)
     m = b["mart_vbt_master_dataset"]
     used = (m.filter((F.col("date") >= F.lit(DEFAULT.panel_floor)) & F.col("d_close").isNotNull()
                      & (F.col("eps_ttm") > 0) & (F.col("pe_ttm") > 0)
                      & (F.col("pe_ttm") <= DEFAULT.expectation_pe_max))
-             .select(F.round(F.col("pe_ttm") * F.lit(10.0)).cast("bigint").alias("pe_x10")).distinct())
-    return b["dim_dcf_lookup"].join(used, "pe_x10", "left_semi")
+             .groupBy(F.round(F.col("pe_ttm") * F.lit(10.0)).cast("bigint").alias("pe_x10"))
+             .agg(F.count(F.lit(1)).alias("panel_rows")))
+    return b["dim_dcf_lookup"].join(used, "pe_x10", "left").fillna(0, "panel_rows")
 
 
-def _dcf_surface_used(spark, sf_dir):
-    """M16 rows (all columns) that the valuation of the panel selects: for each
-    horizon, the surface rows whose growth is some row's implied growth."""
+def _dcf_surface(spark, sf_dir):
+    """The whole M16 grid (all parameter sets, all columns), each row with the
+    number of valuation rows (eps_ttm > 0, d_close > 0) whose PE is nearest to
+    its implied PE within its parameter set; one pass over the panel."""
     b = _build(spark, sf_dir)
-    v = b["mart_vbt_valuation_dataset"]
-    used = None
-    for h in DEFAULT.valuation_years:
-        u = v.select(F.lit(h).cast("bigint").alias("high_growth_years"),
-                     F.col(f"implied_growth_{h}y_pct").alias("growth_rate_pct"))
-        used = u if used is None else used.unionByName(u)
-    s = b["dim_dcf_surface"].filter((F.col("discount_rate_pct") == DEFAULT.valuation_discount_pct)
-                                    & (F.col("terminal_growth_rate_pct") == DEFAULT.valuation_terminal_pct))
-    return s.join(used.dropna().distinct(), ["high_growth_years", "growth_rate_pct"], "left_semi")
+    s = b["dim_dcf_surface"]
+    index = NearestIndex(s, "implied_pe", LOOKUP_GROUP, ["growth_rate_pct"], ["growth_rate_pct"])
+    pe = M.valuation_base(b["mart_vbt_master_dataset"]).select("pe_ttm")
+    keys = [*LOOKUP_GROUP, "growth_rate_pct"]
+    hits = (index.probe(pe, "pe_ttm", {"growth_rate_pct": "growth_rate_pct"}, how="inner")
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("panel_rows")))
+    return s.join(hits, keys, "left").select(*s.columns, F.coalesce("panel_rows", F.lit(0)).cast("bigint").alias("panel_rows"))
 
 
 def _stack_duplicates(spark, sf_dir):
@@ -162,8 +165,8 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_momentum": _revenue_momentum,
     "forward_eps": _model("mart_expectation_features"),
     "expectation_dataset": _model("mart_expectation_dataset"),
-    "dcf_lookup": _dcf_lookup_used,
-    "dcf_surface": _dcf_surface_used,
+    "dcf_lookup": _dcf_lookup,
+    "dcf_surface": _dcf_surface,
     # data quality
     "dq_duplicate_keys": _master_check(Q.duplicate_keys),
     "dq_future_dates": _master_check(Q.future_dates),

@@ -85,8 +85,6 @@ class PanelConfig:
     market_time_zone: str = "Asia/Taipei"
 
     # --- execution knobs (not semantics) ------------------------------------------------
-    # Row caps below which a side is broadcast; above them the join shuffles.
-    max_broadcast_rows: int = 500_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 

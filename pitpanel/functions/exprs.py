@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "safe_div", "nullif", "safe_double", "safe_bigint", "strict_bigint",
-    "parse_date_two_formats", "flag", "bool_flag", "clamp_or_null",
+    "safe_div", "greater", "nullif", "safe_double", "safe_bigint", "strict_bigint",
+    "parse_date_two_formats", "month_start", "flag", "bool_flag", "clamp_or_null",
     "strip_commas", "make_date_or_null", "year_quarter_parts",
     "month_to_quarter", "three_way_signal",
 ]
@@ -21,6 +21,7 @@ __all__ = [
 _FLOAT_TEXT = r"^\s*[+-]?((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?\s*$"
 _SPECIAL_FLOAT_TEXT = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
+_INF = float("inf")
 
 
 def _c(x) -> Column:
@@ -32,8 +33,18 @@ def nullif(x, value) -> Column:
 
 
 def safe_div(a, b) -> Column:
-    """SAFE_DIVIDE: NULL when the divisor is 0 or NULL (never raises)."""
-    return F.try_divide(_c(a).cast("double"), _c(b).cast("double"))
+    """SAFE_DIVIDE: NULL when the divisor is 0 or NULL, and when finite numbers
+    overflow (never raises)."""
+    a, b = _c(a).cast("double"), _c(b).cast("double")
+    q = F.try_divide(a, b)
+    return F.when((F.abs(q) == _INF) & (F.abs(a) < _INF), F.lit(None)).otherwise(q)
+
+
+def greater(a, b) -> Column:
+    """``a > b`` of doubles where a NaN on either side compares as false (Spark
+    orders NaN above every number); NULL stays NULL."""
+    a, b = _c(a), b if isinstance(b, Column) else F.lit(b)
+    return (a > b) & ~F.isnan(a.cast("double")) & ~F.isnan(b.cast("double"))
 
 
 def safe_double(x, dtype: T.DataType | None = None) -> Column:
@@ -80,10 +91,19 @@ def strip_commas(x) -> Column:
 def parse_date_two_formats(x) -> Column:
     """COALESCE(SAFE.PARSE_DATE('%Y-%m-%d', s), SAFE.PARSE_DATE('%Y%m%d', s)).
 
-    ``y-M-d`` (not ``yyyy-MM-dd``) so one-digit months/days parse as well.
+    ``y-M-d`` (not ``yyyy-MM-dd``) so one-digit months/days parse as well; the
+    text is checked first, as that pattern also takes signs, year 0 and longer years.
     """
     s = _c(x).cast("string")
-    return F.coalesce(F.try_to_date(s, "y-M-d"), F.try_to_date(s, "yyyyMMdd"))
+    dashed = F.when(s.rlike(r"^(?!0+-)\d{1,4}-\d{1,2}-\d{1,2}\z"), s)
+    plain = F.when(s.rlike(r"^(?!0000)\d{8}\z"), s)
+    return F.coalesce(F.try_to_date(dashed, "y-M-d"), F.try_to_date(plain, "yyyyMMdd"))
+
+
+def month_start(x) -> Column:
+    """PARSE_DATE('%Y-%m', s): one-digit months parse; anything else fails the job."""
+    s = _c(x)
+    return F.to_date(F.when(s.rlike(r"^(?!0+-)\d{1,4}-\d{1,2}\z"), s).otherwise(F.concat(F.lit("not a month: "), s)), "y-M")
 
 
 def flag(cond: Column) -> Column:

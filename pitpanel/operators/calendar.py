@@ -2,10 +2,13 @@
 
 A report becomes visible on the first trading date on or after its
 publication deadline.  That depends on the deadline only, so instead of the
-literal inequality join + MIN per report, the calendar is expanded once into a
-dense day -> next-trading-day map (one row per calendar day, bounded by the
-calendar, never by the fact volume) and reports find their date through an
-equi join on the deadline against the broadcast map.
+literal inequality join + MIN per report, the calendar is expanded into a
+dense day -> next-trading-day map and reports find their date through an
+equi join on the deadline against the broadcast map.  The map has one row per
+day: dates lie in the years 1 to 9999, so it never exceeds 3.7 million rows of
+two dates, however many facts there are; this bound is what allows the
+broadcast (reports crowd on a few deadline days, so a shuffle on the day would
+put nearly all of them into a few tasks).
 """
 
 from __future__ import annotations
@@ -13,44 +16,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import broadcast_if_bounded, materialize_small
-
 
 def trading_calendar(daily: DataFrame, date_col: str = "date") -> DataFrame:
     """SELECT DISTINCT date (partial aggregation map-side)."""
     return daily.select(F.col(date_col).alias("date")).distinct()
 
 
-def materialized_calendar(daily: DataFrame, date_col: str = "date") -> DataFrame:
-    """The calendar computed once and checkpointed: it is read by both the
-    revenue and the financial alignment and by its own size check.  Its size
-    is bounded by the number of calendar days (<= 366 per year)."""
-    return materialize_small(trading_calendar(daily, date_col))
-
-
 class TradingDayMap:
     """Every calendar day between the first and last trading date mapped to
     the first trading date on or after it.
 
-    Built once from the checkpointed trading calendar: consecutive trading
-    dates ``(prev, date]`` expand into the days they cover.  The ordering
-    window has no partition key, which is deliberate and bounded: the input is
-    the distinct-date calendar (<= 366 rows per year of history), never the
-    facts.  The map itself has one row per calendar day, is checkpointed, and
-    is size-checked before it is broadcast.
+    Consecutive trading dates ``(prev, date]`` expand into the days they cover.
+    The ordering window has no partition key: its input is the distinct-date
+    calendar (<= 366 rows per year of history), never the facts.  Nothing is
+    computed before the query that uses the map runs.
     """
 
-    def __init__(self, calendar: DataFrame, cap: int = 500_000):
+    def __init__(self, calendar: DataFrame):
         steps = calendar.select("date", F.lag("date").over(Window.orderBy("date")).alias("_prev"))
         start = F.coalesce(F.date_add("_prev", 1), F.col("date"))
-        dense = steps.select(F.explode(F.sequence(start, F.col("date"))).alias("_day"),
-                             F.col("date").alias("aligned_date"))
-        self.table = materialize_small(dense)
-        self.first_day = calendar.agg(F.min("date")).first()[0]
-        self.cap = cap
+        self.table = steps.select(F.explode(F.sequence(start, F.col("date"))).alias("_day"),
+                                  F.col("date").alias("aligned_date"))
+        self.first = calendar.agg(F.min("date").alias("_first_day"))
 
     def lookup(self) -> DataFrame:
-        return broadcast_if_bounded(self.table, self.cap)
+        return F.broadcast(self.table)
+
+    def first_day(self) -> Column:
+        """The first trading date, as a scalar subquery (NULL without one)."""
+        return self.first.scalar()
 
 
 def align_to_calendar(events: DataFrame, days: TradingDayMap, box_col: str,
@@ -59,19 +53,21 @@ def align_to_calendar(events: DataFrame, days: TradingDayMap, box_col: str,
 
     The first trading date on or after the deadline, found by an equi join on
     the day (deadlines before the first trading date map to it, Quirk 4; past
-    the last one there is none).  Rows whose box has a NULL field (or a NULL
-    ticker) never match in the reference's struct-equality self join, so they
+    the last one there is none).  Rows whose box has a NULL or NaN field (or a
+    NULL ticker) never match in the reference's struct-equality self join, so they
     keep the raw deadline (trap T1), as do unmatched deadlines.
     """
     complete: Column = F.col("ticker").isNotNull()
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema[box_col].dataType}
     for f in box_fields:
-        complete = complete & F.col(box_col).getField(f).isNotNull()
+        value = F.col(box_col).getField(f)
+        complete = complete & value.isNotNull()
+        if kinds[f] in ("double", "float"):
+            complete = complete & ~F.isnan(value)
     lk = days.lookup()
-    key = F.col("deadline_date")
-    if days.first_day is not None:
-        # (greatest() skips NULLs: a NULL deadline must stay unmatched)
-        key = F.when(key.isNotNull(), F.greatest(key, F.lit(days.first_day)))
-    joined = events.join(lk, key == lk["_day"], "left")
+    # (greatest() skips NULLs: a NULL deadline must stay unmatched)
+    key = F.when(F.col("deadline_date").isNotNull(), F.greatest(F.col("deadline_date"), days.first_day()))
+    joined = events.withColumn("_key", key).join(lk, F.col("_key") == F.col("_day"), "left")
     date = F.when(complete, F.coalesce(F.col("aligned_date"), F.col("deadline_date"))) \
             .otherwise(F.col("deadline_date"))
     return joined.select(date.alias("date"), "ticker", box_col)

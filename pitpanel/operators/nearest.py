@@ -14,20 +14,20 @@ one or two intervals overlapping its bucket.  The winner is then confirmed
 exactly among the interval's candidate and its two neighbours with the real
 ``|x - v|`` arithmetic, so rounding at a midpoint cannot change the answer.
 
-The candidate table is a parameter grid (its size is fixed by configuration,
-not by data); it is still size-checked before being broadcast.
+The candidates must be a parameter grid whose size configuration fixes, as the
+interval table is broadcast; its rows are at most ``groups * (BUCKETS + 4 *
+candidates of a group)``.  No job runs before the query itself.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.operators.sizing import bounded_row_count, materialize_small
-
-BUCKETS_PER_INTERVAL = 4
+#: Buckets per unit of the transformed value, and the largest one (asinh of about 4.4 million); what lies beyond
+#: shares the outermost buckets.
+SCALE = 64
+LAST = 16 * SCALE
 
 
 def _g(x):
@@ -37,8 +37,7 @@ def _g(x):
 
 def interval_table(candidates: DataFrame, value_col: str, group_cols: list[str],
                    tiebreak_cols: list[str], payload_cols: list[str]):
-    """One row per (group, bucket, candidate interval), plus the bucket scale
-    ``k`` and the clamp range ``[bmin, bmax]`` (one tiny aggregate job)."""
+    """One row per (group, bucket, candidate interval)."""
     keep = list(dict.fromkeys([value_col, *tiebreak_cols, *payload_cols]))
     c = candidates.filter(F.col(value_col).isNotNull()).select(*group_cols, *keep)
     # equal values: only the smallest tiebreak can ever win
@@ -52,40 +51,21 @@ def interval_table(candidates: DataFrame, value_col: str, group_cols: list[str],
     v = F.col(value_col)
     lo = (F.col("_prev").getField(value_col) + v) / F.lit(2.0)
     hi = (v + F.col("_next").getField(value_col)) / F.lit(2.0)
-    c = materialize_small(c.select(*group_cols, "_prev", "_cur", "_next", lo.alias("_lo"), hi.alias("_hi"),
-                                   _g(v).alias("_gv")))
-    span = Window.partitionBy(*group_cols)
-    c = (c.withColumn("_gmin", F.min("_gv").over(span))
-          .withColumn("_gmax", F.max("_gv").over(span))
-          .withColumn("_n", F.count(F.lit(1)).over(span)))
-    stats = c.agg(F.max(F.col("_n") * BUCKETS_PER_INTERVAL / F.greatest(
-        F.col("_gmax") - F.col("_gmin"), F.lit(1e-9))).alias("k"),
-        F.min("_gmin").alias("gmin"), F.max("_gmax").alias("gmax")).first()
-    k, gmin, gmax = float(stats["k"] or 1.0), stats["gmin"], stats["gmax"]
-    bmin = math.floor(gmin * k) - 2 if gmin is not None else 0
-    bmax = math.floor(gmax * k) + 2 if gmax is not None else 0
-    b_lo = F.when(F.col("_lo").isNull(), F.lit(bmin)).otherwise(
-        F.greatest(F.lit(bmin), F.floor(_g(F.col("_lo")) * k) - 1))
-    b_hi = F.when(F.col("_hi").isNull(), F.lit(bmax)).otherwise(
-        F.least(F.lit(bmax), F.floor(_g(F.col("_hi")) * k) + 1))
-    out = c.select(*group_cols, "_prev", "_cur", "_next", "_lo", "_hi",
-                   F.explode(F.sequence(b_lo.cast("bigint"), b_hi.cast("bigint"))).alias("_bucket"))
-    return out, k, bmin, bmax
+    edge = lambda x, slack: F.least(F.lit(LAST), F.greatest(F.lit(-LAST), F.floor(_g(x) * SCALE) + slack))
+    b_lo = F.when(lo.isNull(), F.lit(-LAST)).otherwise(edge(lo, -1))
+    b_hi = F.when(hi.isNull(), F.lit(LAST)).otherwise(edge(hi, 1))
+    return c.select(*group_cols, "_prev", "_cur", "_next", lo.alias("_lo"), hi.alias("_hi"),
+                    F.explode(F.sequence(b_lo.cast("bigint"), b_hi.cast("bigint"))).alias("_bucket"))
 
 
 class NearestIndex:
-    """Broadcastable interval table plus its bucket scale and clamp range."""
+    """Interval table of a parameter grid, broadcast to every probe."""
 
     def __init__(self, candidates: DataFrame, value_col: str, group_cols: list[str],
-                 tiebreak_cols: list[str], payload_cols: list[str], cap: int = 500_000):
+                 tiebreak_cols: list[str], payload_cols: list[str]):
         self.value_col, self.group_cols = value_col, list(group_cols)
         self.tiebreak_cols, self.payload_cols = list(tiebreak_cols), list(payload_cols)
-        iv, self.k, self.bmin, self.bmax = interval_table(
-            candidates, value_col, group_cols, tiebreak_cols, payload_cols)
-        self.cap = cap
-        self.table = materialize_small(iv)
-        # size-checked once; every probe then broadcasts (a slice of) it
-        self.small = bounded_row_count(self.table, cap) <= cap
+        self.table = interval_table(candidates, value_col, group_cols, tiebreak_cols, payload_cols)
 
     def probe(self, probe: DataFrame, x, payload: dict[str, str], how: str = "left",
               where=None, keep_groups: bool = True) -> DataFrame:
@@ -93,12 +73,11 @@ class NearestIndex:
 
         ``where`` restricts the candidate groups (e.g. one pivot value); with a
         single group the result maps probe rows 1:1 (no shuffle, no agg)."""
-        iv = self.table if where is None else self.table.filter(where)
-        iv = F.broadcast(iv) if self.small else iv
+        iv = F.broadcast(self.table if where is None else self.table.filter(where))
         xcol = F.col(x) if isinstance(x, str) else x
         p = probe.withColumn("_x", xcol.cast("double"))
-        bucket = F.floor(_g(F.col("_x")) * F.lit(self.k))
-        p = p.withColumn("_pb", F.least(F.lit(self.bmax), F.greatest(F.lit(self.bmin), bucket)).cast("bigint"))
+        bucket = F.floor(_g(F.col("_x")) * F.lit(SCALE))
+        p = p.withColumn("_pb", F.least(F.lit(LAST), F.greatest(F.lit(-LAST), bucket)).cast("bigint"))
         cond = ((p["_pb"] == iv["_bucket"])
                 & (iv["_lo"].isNull() | (p["_x"] > iv["_lo"]))
                 & (iv["_hi"].isNull() | (p["_x"] <= iv["_hi"])))
@@ -121,9 +100,9 @@ class NearestIndex:
 
 def nearest_match(probe: DataFrame, x, candidates: DataFrame, value_col: str,
                   group_cols: list[str], tiebreak_cols: list[str], payload: dict[str, str],
-                  how: str = "left", cap: int = 500_000) -> DataFrame:
+                  how: str = "left") -> DataFrame:
     """Per probe row and candidate group, the payload of the nearest candidate
     (``payload`` maps output column -> candidate column)."""
     idx = NearestIndex(candidates, value_col, group_cols, tiebreak_cols,
-                       list(dict.fromkeys(payload.values())), cap)
+                       list(dict.fromkeys(payload.values())))
     return idx.probe(probe, x, payload, how)

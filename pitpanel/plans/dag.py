@@ -9,11 +9,12 @@ executor recomputes from the last table rather than from the raw sources.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import dcf
-from pitpanel.operators.actions import materialized_steps
-from pitpanel.operators.calendar import TradingDayMap, materialized_calendar
+from pitpanel.operators.actions import all_steps
+from pitpanel.operators.calendar import TradingDayMap, trading_calendar
 from pitpanel.plans import intermediate as I
 from pitpanel.plans import marts as M
 from pitpanel.plans import staging as S
@@ -47,14 +48,14 @@ class Build:
     def trading_days(self) -> TradingDayMap:
         """day -> first trading date on or after it, computed once per build."""
         if self._days is None:
-            self._days = TradingDayMap(self["trading_calendar"], self.cfg.max_broadcast_rows)
+            self._days = TradingDayMap(self["trading_calendar"])
         return self._days
 
     @property
     def actions(self) -> DataFrame:
         """Corporate-action step table, computed once per build."""
         if self._steps is None:
-            self._steps = materialized_steps(self.src.corporate_actions)
+            self._steps = all_steps(self.src.corporate_actions)
         return self._steps
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
@@ -88,7 +89,10 @@ class Build:
                                            self.actions, self.cfg)
 
     def _int_daily_indicators(self): return I.int_daily_indicators(self["int_daily_prices_adjusted"], self.cfg)
-    def _trading_calendar(self): return materialized_calendar(self["int_daily_indicators"])
+    def _trading_calendar(self):
+        # the dates of the daily indicators: neither the dividend join nor the windows drop a price row
+        floor = max(self.cfg.price_floor, self.cfg.indicator_floor)
+        return trading_calendar(self["stg_daily_prices_raw"].filter(F.col("date") >= F.lit(floor)))
     def _int_monthly_revenue_features(self): return I.int_monthly_revenue_features(self["stg_monthly_revenue"])
 
     def _int_monthly_revenue_shifter(self):

@@ -29,7 +29,7 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
     repeated ex-date (Quirk 1; no factor -> 1.0).  So prices shuffle once
     whatever the size of the dividend table (a sort-merge join would shuffle
     them twice once dividends outgrow a broadcast).  Split factors come from a
-    broadcast step table."""
+    step table joined on the ticker."""
     p = prices.filter(F.col("date") >= F.lit(cfg.price_floor)).withColumn("_is_price", F.lit(True))
     # identical dividend copies are pre-aggregated (partial aggregation before
     # the shuffle), so the per-day list below holds distinct factors only and
@@ -50,7 +50,7 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
     # ties on date only arise from duplicated dividends; break them by factor
     j = j.withColumn("_rev_cum", W.reverse_cumulative_product(
         "daily_factor", [F.col("date").desc(), F.col("daily_factor").asc()]))
-    j = with_action_factors(j, actions, "date", {"_split": "price_factor"}, cfg.max_broadcast_rows)
+    j = with_action_factors(j, actions, "date", {"_split": "price_factor"})
     return j.select(*prices.columns, (F.col("close") * F.col("_rev_cum") * F.col("_split")).alias("adj_close"))
 
 
@@ -75,7 +75,7 @@ def int_monthly_revenue_features(rev: DataFrame) -> DataFrame:
     signal, two YoY lags and the month -> last published quarter label."""
     w = W.by_key("year_month")
     yoy = F.col("yoy_growth_pct")
-    b = rev.withColumn("_pos", X.flag(yoy > 0))
+    b = rev.withColumn("_pos", X.flag(X.greater(yoy, 0)))
     b = (b.withColumn("_chg", X.flag(F.col("_pos") != F.lag("_pos").over(w)))
           .withColumn("yoy_lag1", F.lag(yoy, 1).over(w))
           .withColumn("yoy_lag2", F.lag(yoy, 2).over(w)))
@@ -84,7 +84,7 @@ def int_monthly_revenue_features(rev: DataFrame) -> DataFrame:
     b = b.withColumn("yoy_positive_streak_count",
                      F.when(F.col("_pos") == 1, F.row_number().over(in_streak)).otherwise(0).cast("bigint"))
     b = b.withColumn("yoy_triple_increase_signal",
-                     X.flag((yoy > F.col("yoy_lag1")) & (F.col("yoy_lag1") > F.col("yoy_lag2"))))
+                     X.flag(X.greater(yoy, F.col("yoy_lag1")) & X.greater("yoy_lag1", F.col("yoy_lag2"))))
     return b.drop("_pos", "_chg", "_streak").withColumn("map_to_quarter", X.month_to_quarter("year_month"))
 
 
@@ -95,8 +95,8 @@ BS_BOX_COLS = [n for n, _ in schemas.BS_BOX_FIELDS]
 
 
 def revenue_deadline(ym, cfg: PanelConfig = DEFAULT) -> F.Column:
-    """11th of the following month (strict parse of ``YYYY-MM``)."""
-    return F.date_add(F.add_months(F.to_date(ym, "yyyy-MM"), cfg.revenue_deadline_months),
+    """11th of the following month (strict parse of year and month)."""
+    return F.date_add(F.add_months(X.month_start(ym), cfg.revenue_deadline_months),
                       cfg.revenue_deadline_days)
 
 
@@ -123,7 +123,7 @@ def int_financial_features(income: DataFrame, actions: DataFrame, cfg: PanelConf
     b = income.select("ticker", "year_quarter", F.substring(yq, 1, 4).alias("_year"),
                       F.substring(yq, -1, 1).alias("_q"), "revenue", "operating_income",
                       "net_income", "eps", qdate.alias("_qdate"))
-    b = with_action_factors(b, actions, "_qdate", {"_psf": "per_share_factor"}, cfg.max_broadcast_rows)
+    b = with_action_factors(b, actions, "_qdate", {"_psf": "per_share_factor"})
     b = b.withColumn("eps", F.col("eps") * F.col("_psf"))
     # LAG within (ticker, year) == ticker-wide LAG when the previous row is of
     # the same year, else NULL; written that way so every window of this model
@@ -164,11 +164,11 @@ def int_financial_features(income: DataFrame, actions: DataFrame, cfg: PanelConf
         "ebit_volatility", "net_margin_volatility",
         F.col("q_eps").alias("eps"), "eps_ttm",
         (X.safe_div("q_eps", X.nullif("_eps_ly", 0)) - F.lit(1.0)).alias("eps_yoy_growth"),
-        X.flag(F.col("_min_op") > 0).alias("EBIT_signal"),
-        X.flag(F.col("_min_net") > 0).alias("net_income_signal"),
-        X.flag(F.col("q_eps") > 0).alias("EPS_signal"),
-        X.flag(F.col("operating_margin") > F.col("_prev_op")).alias("EBIT_diff_signal"),
-        X.flag(F.col("net_margin") > F.col("_prev_net")).alias("net_margin_diff_signal"),
+        X.flag(X.greater("_min_op", 0)).alias("EBIT_signal"),
+        X.flag(X.greater("_min_net", 0)).alias("net_income_signal"),
+        X.flag(X.greater("q_eps", 0)).alias("EPS_signal"),
+        X.flag(X.greater("operating_margin", F.col("_prev_op"))).alias("EBIT_diff_signal"),
+        X.flag(X.greater("net_margin", F.col("_prev_net"))).alias("net_margin_diff_signal"),
         X.flag(F.col("ebit_volatility") < th).alias("EBIT_vol_signal"),
         X.flag(F.col("net_margin_volatility") < th).alias("net_margin_vol_signal"))
 
@@ -210,8 +210,7 @@ def int_balance_sheet_features(bs: DataFrame, actions: DataFrame, cfg: PanelConf
         F.col("year"),
         F.when(q == 1, 3).when(q == 2, 6).when(q == 3, 9).when(q == 4, 12),
         F.when(q == 1, 31).when(q == 2, 30).when(q == 3, 30).when(q == 4, 31))
-    b = with_action_factors(b, actions, qend, {"_psf": "per_share_factor", "_sf": "share_factor"},
-                            cfg.max_broadcast_rows)
+    b = with_action_factors(b, actions, qend, {"_psf": "per_share_factor", "_sf": "share_factor"})
     unit = F.lit(float(cfg.unit_ntd))
     c = F.col
     adj_bvps = c("book_value_per_share") * c("_psf")
@@ -252,11 +251,11 @@ def int_balance_sheet_features(bs: DataFrame, actions: DataFrame, cfg: PanelConf
         X.safe_div(c("total_liabilities") * unit, "_sh_bvps").alias("liabilities_per_share"),
         X.safe_div(c("total_equity") * unit, "_sh_bvps").alias("equity_per_share_calc"),
         X.safe_div(c("retained_earnings") * unit, "_sh_bvps").alias("retained_earnings_per_share"),
-        X.bool_flag((c("total_assets") > 0) & (c("total_liabilities") >= 0) & (c("total_equity") > 0)
-                    & (c("share_capital") > 0)).alias("is_valid_balance_sheet"),
+        X.bool_flag(X.greater("total_assets", 0) & ((c("total_liabilities") == 0) | X.greater("total_liabilities", 0))
+                    & X.greater("total_equity", 0) & X.greater("share_capital", 0)).alias("is_valid_balance_sheet"),
         X.bool_flag(F.abs(c("total_assets") - c("total_liabilities") - c("total_equity"))
                     <= c("total_assets") * F.lit(cfg.balance_tolerance)).alias("is_balance_equation_roughly_valid"),
-        X.bool_flag((c("_adj_bvps") > 0) & (c("_sh_bvps") > 0)
+        X.bool_flag(X.greater("_adj_bvps", 0) & X.greater("_sh_bvps", 0)
                     & ratio.between(F.lit(cfg.share_ratio_low), F.lit(cfg.share_ratio_high))
                     ).alias("is_share_count_reasonable"))
 

@@ -9,7 +9,6 @@ from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.functions import exprs as X
 from pitpanel.operators import windows as W
 from pitpanel.operators.nearest import NearestIndex
-from pitpanel.operators.sizing import broadcast_if_bounded
 from pitpanel.sources import schemas
 
 PRICE_MAX = {"open": "d_open", "high": "d_high", "low": "d_low", "adj_close": "d_close",
@@ -110,7 +109,7 @@ def valuation_index(surface: DataFrame, cfg: PanelConfig = DEFAULT) -> NearestIn
                            & (F.col("terminal_growth_rate_pct") == cfg.valuation_terminal_pct)
                            & F.col("high_growth_years").isin(*cfg.valuation_years))
     return NearestIndex(cands, "implied_pe", ["high_growth_years"], ["growth_rate_pct"],
-                        ["growth_rate_pct", "implied_pe"], cfg.max_broadcast_rows)
+                        ["growth_rate_pct", "implied_pe"])
 
 
 def with_implied_growth(df: DataFrame, x, surface: DataFrame, cfg: PanelConfig = DEFAULT,
@@ -127,14 +126,18 @@ def with_implied_growth(df: DataFrame, x, surface: DataFrame, cfg: PanelConfig =
     return out
 
 
+def valuation_base(master: DataFrame) -> DataFrame:
+    """The valuation universe (eps_ttm > 0, d_close > 0) with its PE."""
+    return (master.filter(F.col("eps_ttm").isNotNull() & (F.col("eps_ttm") > 0) & (F.col("d_close") > 0))
+            .select("date", "ticker", "d_close", "eps_ttm",
+                    X.safe_div("d_close", X.nullif("eps_ttm", 0)).alias("pe_ttm")))
+
+
 def mart_vbt_valuation_dataset(master: DataFrame, surface: DataFrame, cfg: PanelConfig = DEFAULT,
                                index: NearestIndex | None = None) -> DataFrame:
     """Valuation universe (eps_ttm > 0, d_close > 0) with implied growth
     and implied PE for 3/5/10 high-growth years."""
-    base = (master.filter(F.col("eps_ttm").isNotNull() & (F.col("eps_ttm") > 0) & (F.col("d_close") > 0))
-            .select("date", "ticker", "d_close", "eps_ttm",
-                    X.safe_div("d_close", X.nullif("eps_ttm", 0)).alias("pe_ttm")))
-    return with_implied_growth(base, "pe_ttm", surface, cfg, index)
+    return with_implied_growth(valuation_base(master), "pe_ttm", surface, cfg, index)
 
 
 FACTOR_BASE = ["date", "ticker", "d_open", "d_high", "d_low", "d_close", "d_vol", "ma20", "ma60",
@@ -244,7 +247,7 @@ def mart_expectation_dataset(features: DataFrame, lookup: DataFrame, cfg: PanelC
                .select(F.col("pe_x10").alias("_lk_pe_x10"), "implied_growth_pct", "implied_growth",
                        "implied_pe", "pe_diff", "discount_rate_pct", "terminal_growth_rate_pct",
                        "high_growth_years", "estimate_years")
-    lk = broadcast_if_bounded(lk, cfg.max_broadcast_rows)
+    lk = F.broadcast(lk)   # one row per PE bucket of the configured grid
     j = b.join(lk, b["pe_x10"] == lk["_lk_pe_x10"], "left").drop("_lk_pe_x10")
     gap = F.col("forward_constant_growth") - F.col("implied_growth")
     return j.select(

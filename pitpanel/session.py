@@ -22,14 +22,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset and the
+    master runs in this process (tests) fall back to a fresh scratch folder."""
     try:
         sc = spark.sparkContext
     except Exception:   # a remote (Connect) session: the server's spark.checkpoint.dir applies
         return spark.conf.get("spark.checkpoint.dir", None) or ""
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pitpanel-ckpt-")
     sc.setCheckpointDir(d)
     return d

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH_COL = "date_month"
+#: Ticker pieces of a month before AQE joins small ones.
+CLUSTERS = 16
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -19,15 +21,16 @@ def write_month_partitioned(df: DataFrame, path: str, date_col: str = "date",
                             cluster_col: str = "ticker") -> None:
     """Partition by month of ``date_col``, cluster by ``cluster_col``.
 
-    ``rebalance`` on the month: a hash exchange whose partitions AQE then
-    right-sizes -- a large month is split into advisory-size tasks (no
-    month-sized hot task at scale), small ones are coalesced -- so each month
-    gets few files.  Unlike a range repartition it needs no sampling pass,
-    which would compute the whole input twice.  Rows are sorted by
-    (ticker, date) inside each file (clustering).
+    ``rebalance`` on the month and a hash bucket of the cluster column: a month
+    spreads over ``CLUSTERS`` pieces at most, each with its own tickers, which
+    AQE splits when large and joins when small.  So a large month is never one
+    task, and its files still hold few tickers each, sorted by (ticker, date):
+    a ticker filter skips files.  Unlike a range repartition it needs no
+    sampling pass, which would compute the whole input twice.
     """
     out = df.withColumn(MONTH_COL, F.trunc(F.col(date_col), "MM"))
-    (out.hint("rebalance", MONTH_COL)
+    bucket = F.pmod(F.hash(cluster_col), F.lit(CLUSTERS))
+    (out.withColumn("_bucket", bucket).hint("rebalance", MONTH_COL, "_bucket").drop("_bucket")
         .sortWithinPartitions(MONTH_COL, cluster_col, date_col)
         .write.mode("overwrite").partitionBy(MONTH_COL).parquet(path))
 
@@ -50,17 +53,12 @@ def register_tables(spark: SparkSession, out_dir: str, names=None) -> list[str]:
     """Expose built tables under ``out_dir`` as temp views named after the
     models, so they can be queried with Spark SQL (``SELECT ... FROM
     mart_factor_dataset WHERE date_month >= DATE'2012-01-01' ...``)."""
-    import os
-
-    from pyspark.errors import AnalysisException
-
     if names is None:
-        names = sorted(n for n in os.listdir(out_dir) if not n.startswith((".", "_")))
-    done = []
+        jvm = spark._jvm  # the folder may be on any file system that Spark reads
+        path = jvm.org.apache.hadoop.fs.Path(out_dir)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        names = sorted(f.getPath().getName() for f in found if f.isDirectory())
+        names = [n for n in names if not n.startswith((".", "_"))]
     for name in names:
-        try:
-            spark.read.parquet(f"{out_dir}/{name}").createOrReplaceTempView(name)
-            done.append(name)
-        except AnalysisException:
-            continue
-    return done
+        spark.read.parquet(f"{out_dir}/{name}").createOrReplaceTempView(name)
+    return list(names)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,3 +65,19 @@ def test_month_to_quarter(spark):
 def test_three_way_signal(spark):
     out = _one(spark, [None, 0.3, 0.1, 0.0999], lambda c: X.three_way_signal(c, 0.3, 0.1), T.DoubleType())
     assert out == [None, 1, 0, -1]
+
+
+def test_dirty_numbers_and_dates(spark):
+    rows = [("2020-1-3",), ("20200103",), ("12345-01-01",), ("-5-1-1",), ("0000-01-01",), ("99-1-1",), ("123450101",), ("2020-13-01",), (None,)]
+    got = {r.s: r.d for r in spark.createDataFrame(rows, "s string").select("s", X.parse_date_two_formats("s").alias("d")).collect()}
+    assert got == {"2020-1-3": dt.date(2020, 1, 3), "20200103": dt.date(2020, 1, 3), "12345-01-01": None, "-5-1-1": None,
+                   "0000-01-01": None, "99-1-1": dt.date(99, 1, 1), "123450101": None, "2020-13-01": None, None: None}
+    months = spark.createDataFrame([("2020-1",), ("2020-11",), (None,)], "m string").select(X.month_start("m").alias("d")).collect()
+    assert [r.d for r in months] == [dt.date(2020, 1, 1), dt.date(2020, 11, 1), None]
+    for bad in ("2020", "12345-01", "2020-13", "x"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "m string").select(X.month_start("m")).collect()
+    big = spark.createDataFrame([(1e300, 1e-300), (float("inf"), 2.0), (1.0, 0.0), (6.0, 3.0)], "a double, b double")
+    assert [r[0] for r in big.select(X.safe_div("a", "b")).collect()] == [None, float("inf"), None, 2.0]
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (-1.0,), (None,)], "a double")
+    assert [r[0] for r in nan.select(X.flag(X.greater("a", 0))).collect()] == [0, 1, 0, 0]

@@ -1,13 +1,13 @@
-"""Operator edge cases: trading-day map, size-checked broadcast, step table."""
+"""Operator edge cases: trading-day map, dirty input, step table."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitpanel.operators.actions import action_steps, with_action_factors
 from pitpanel.operators.calendar import TradingDayMap, align_to_calendar
-from pitpanel.operators.sizing import bounded_row_count, broadcast_if_bounded
 from tests import fixtures as fx
 
 D = dt.date
@@ -35,14 +35,18 @@ def test_day_map_edges(spark):
     assert days.table.count() == 5            # 01-03, 01-04..06, 01-07
 
 
-def test_broadcast_only_below_cap(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert bounded_row_count(big, 100) == 101            # the check scans at most cap + 1 rows
-    j_small = spark.range(5).join(broadcast_if_bounded(small, 100), "id")
-    j_big = spark.range(5).join(broadcast_if_bounded(big, 100), "id")
-    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+def test_nan_field_keeps_the_raw_deadline(spark):
+    days = TradingDayMap(spark.createDataFrame([(D(2020, 1, 6),)], "date date"))
+    ev = spark.createDataFrame([(D(2020, 1, 4), "A", (1.0,)), (D(2020, 1, 4), "B", (float("nan"),))],
+                               "deadline_date date, ticker string, box struct<v: double>")
+    got = {r.ticker: r.date for r in align_to_calendar(ev, days, "box", ["v"]).collect()}
+    assert got == {"A": D(2020, 1, 6), "B": D(2020, 1, 4)}
+
+
+def test_non_positive_factor_stops_the_job(spark):
+    acts = fx.actions(spark, [("A", D(2020, 1, 3), 0.0, 0.5, 2.0)])
+    with pytest.raises(Exception, match="must be positive"):
+        action_steps(acts, ["price_factor"]).collect()
 
 
 def test_action_steps_same_day_actions_multiply(spark):
