@@ -16,10 +16,10 @@ SF = "/root/testdata/sf0.001"
 def test_seed_csv_keeps_text_tickers(spark, tmp_path):
     p = tmp_path / "actions.csv"
     p.write_text("ticker,effective_date,price_factor,per_share_factor,share_factor,note\n"
-                 "0050,2025-06-18,0.25,0.25,4,split four\n", encoding="utf-8")
+                 "0071,2014-02-09,0.2,0.2,5,one into five\n", encoding="utf-8")
     df = read_corporate_actions(spark, str(p))
     r = df.collect()[0]
-    assert r.ticker == "0050" and str(r.effective_date) == "2025-06-18" and r.share_factor == 4.0
+    assert r.ticker == "0071" and str(r.effective_date) == "2014-02-09" and r.share_factor == 5.0
     assert dict(df.dtypes)["price_factor"] == "double"
 
 

@@ -40,7 +40,7 @@ def test_nearest_matches_brute_force_with_ties(spark):
 def _twin(name):
     con = duckdb.connect()
     with_clause = "WITH " + ",\n".join(f"{n} AS ({b.strip()})" for n, b in CTES if n in (
-        "params", "cmp", "summ", "surface", "lookup"))
+        "multiples", "surface", "lookup"))
     return con.sql(f"{with_clause} SELECT * FROM {name}")
 
 
