@@ -39,7 +39,8 @@ def interval_table(candidates: DataFrame, value_col: str, group_cols: list[str],
                    tiebreak_cols: list[str], payload_cols: list[str]):
     """One row per (group, bucket, candidate interval)."""
     keep = list(dict.fromkeys([value_col, *tiebreak_cols, *payload_cols]))
-    c = candidates.filter(F.col(value_col).isNotNull()).select(*group_cols, *keep)
+    # a configured grid: in one partition its windows need no exchange
+    c = candidates.filter(F.col(value_col).isNotNull()).select(*group_cols, *keep).coalesce(1)
     # equal values: only the smallest tiebreak can ever win
     first = Window.partitionBy(*group_cols, value_col).orderBy(*tiebreak_cols)
     c = c.withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
