@@ -35,7 +35,7 @@ LONGEST = 16
 #: Segmentations beyond the best ones that together have a smaller share of a part count as none.
 TINY = 1e-9
 #: Distinct parts a worker keeps.
-CACHE = 300_000
+CACHE = 1_000_000
 SAMPLES = 2
 SEED = 0
 
@@ -80,6 +80,8 @@ class Vocabulary:
         keys = self._keys([p for p in self.pieces])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(list(self.pieces.values()))[order]
+        self.likely = np.zeros(1 << 20, bool)  # a quick no for most substrings
+        self.likely[(self.keys >> U64(44)).astype(np.int64)] = True
         self.clear()
 
     def clear(self) -> None:
@@ -88,12 +90,10 @@ class Vocabulary:
         self.lattices: dict[int, tuple] = {}
         self.rows = 0
         size = 1 << 12
-        self.share = np.zeros((size, BEST))  # of the best segmentations
-        self.logs = np.zeros((size, BEST))
-        self.other = np.zeros(size)  # of all others
-        self.up_to = np.zeros((size, BEST))
+        self.logs = np.zeros((size, BEST))  # log-probabilities of the best segmentations
+        self.other = np.zeros(size)  # share of all others
         self.exact = np.zeros(size, bool)  # the library's encoding decodes to the part
-        self.start, self.size = np.zeros((size, BEST + 1), np.int64), np.zeros((size, BEST + 1), np.int64)
+        self.start, self.size = np.zeros((size, BEST + 1), np.int32), np.zeros((size, BEST + 1), np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
 
     @staticmethod
@@ -144,7 +144,7 @@ class Vocabulary:
         self.rows += len(parts)
         self.parts += parts
         while self.rows > len(self.other):
-            for name in ("share", "logs", "other", "up_to", "exact", "start", "size"):
+            for name in ("logs", "other", "exact", "start", "size"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         by_length: dict[int, list[int]] = {}
@@ -191,40 +191,41 @@ class Vocabulary:
         bytes_of = np.where(codes < 0x80, 1, np.where(codes < 0x800, 2, np.where(codes < 0x10000, 3, 4)))
         mass = np.full((length + 1, n), -np.inf)
         mass[0] = 0
+        every = np.arange(n)
         score = np.full((length + 1, n, BEST), -np.inf)
         score[0, :, 0] = 0
         back = np.zeros((length + 1, n, BEST), np.int16)
         piece = np.full((length + 1, n, reach), -2, np.int32)  # -1: bytes of one letter
         for j in range(1, length + 1):
-            options, masses = [], []
+            options = np.full((n, min(j, reach), BEST), -np.inf)
+            masses = np.full((min(j, reach), n), -np.inf)
             for k in range(min(j, reach)):
                 i = j - 1 - k
                 key = mix((total[:, j] - total[:, i]) * inverse[i] + U64(j - i))
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = self.keys[at] == key
-                ids = np.where(found, self.ids[at], -2)
-                weight = np.where(found, self.weight[ids], -np.inf)
-                if k == 0:
-                    weight = np.where(found, weight, bytes_of[:, i] * self.byte_weight)
-                    ids = np.where(found, ids, -1)
-                piece[j, :, k] = ids
-                options.append(score[i] + weight[:, None])
-                masses.append(mass[i] + weight)
-            every = np.concatenate(options, axis=1)
-            top = np.argsort(-every, axis=1, kind="stable")[:, :BEST]
-            score[j, :, : top.shape[1]] = np.take_along_axis(every, top, axis=1)
+                rows = np.flatnonzero(self.likely[(key >> U64(44)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(self.keys, key[rows]), len(self.keys) - 1)
+                same = self.keys[at] == key[rows]
+                rows, ids = rows[same], self.ids[at[same]]
+                if k and not len(rows):
+                    continue
+                weight = self.weight[ids]
+                if k == 0 and len(rows) < n:  # a letter without a piece is its bytes
+                    found = np.full(n, -1)
+                    found[rows] = ids
+                    weight = np.where(found < 0, bytes_of[:, i] * self.byte_weight, self.weight[found])
+                    rows, ids = every, found
+                piece[j, rows, k] = ids
+                options[rows, k] = score[i, rows] + weight[:, None]
+                masses[k, rows] = mass[i, rows] + weight
+            options = options.reshape(n, -1)
+            top = np.argsort(-options, axis=1, kind="stable")[:, :BEST]
+            score[j, :, : top.shape[1]] = np.take_along_axis(options, top, axis=1)
             back[j, :, : top.shape[1]] = top
-            mass[j] = np.logaddexp.reduce(np.stack(masses), axis=0)
+            most = masses.max(axis=0)
+            mass[j] = most + np.log(np.exp(masses - most).sum(axis=0))
         self.logs[row] = score[length] - mass[length][:, None]
-        share = self.share[row] = np.exp(self.logs[row])
-        other = 1 - share.sum(axis=1)
-        other = self.other[row] = np.where(np.isneginf(score[length, :, BEST - 1]) | (other < TINY), 0, other)
-        up_to = np.cumsum(share, axis=1)
-        # without others, the last segmentation there is takes the rounding
-        last = np.where(other == 0, np.maximum(1, (share > 0).sum(axis=1)) - 1, BEST)
-        up_to[np.arange(BEST) >= last[:, None]] = np.inf
-        self.up_to[row] = up_to
-        every = np.arange(n)
+        other = 1 - np.exp(self.logs[row]).sum(axis=1)
+        self.other[row] = np.where(np.isneginf(score[length, :, BEST - 1]) | (other < TINY), 0, other)
         for s in range(BEST):
             live = ~np.isneginf(score[length, :, s])
             at, state, steps = np.full(n, length), np.full(n, s), []
@@ -331,8 +332,16 @@ class Parts:
 
     def __init__(self, words: Vocabulary, parts: np.ndarray, **known: np.ndarray):
         self.words, self.parts = words, parts
+        if not known:
+            logs, other = words.logs[parts], words.other[parts]
+            share = np.exp(logs)
+            up_to = np.cumsum(share, axis=1)
+            # without others, the last segmentation there is takes the rounding
+            last = np.where(other == 0, np.maximum(1, (share > 0).sum(axis=1)) - 1, BEST)
+            up_to[np.arange(BEST) >= last[:, None]] = np.inf
+            known = {"share": share, "logs": logs, "other": other, "up_to": up_to, "start": words.start[parts].astype(np.int64), "size": words.size[parts].astype(np.int64)}
         for name in self.FIELDS:
-            setattr(self, name, known[name] if known else getattr(words, name)[parts])
+            setattr(self, name, known[name])
 
     def __getitem__(self, which: slice) -> Parts:
         return Parts(self.words, self.parts[which], **{name: getattr(self, name)[which] for name in self.FIELDS})
