@@ -35,7 +35,7 @@ LONGEST = 16
 #: Segmentations beyond the best ones that together have a smaller share of a part count as none.
 TINY = 1e-9
 #: Distinct parts a worker keeps.
-CACHE = 1_000_000
+CACHE = 500_000
 SAMPLES = 2
 SEED = 0
 
