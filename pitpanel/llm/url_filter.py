@@ -4,19 +4,24 @@
    or allows are the labelled urls of the tree (or give a table of labels).
 2. A path becomes a shape: its segments, where numbers, hexadecimal ids and dates stand for their kind.  Shapes are
    counted per host, so the tree is as large as the shapes, not the urls.
-3. At each node the children (next segments) are looked at.  A child generalises into the wildcard ``*`` if its parent
-   branches widely, the child is rare, and its labelled share of bad urls does not differ statistically (two-proportion
-   z-test) from the rest of the branch; such similar branches merge, others keep their segment.
+3. The tree is gone down level by level.  At each node (host and generalised segments so far) the children (next
+   segments) are looked at.  A child generalises into the wildcard ``*`` if its parent branches widely, the child is rare,
+   and its labelled share of bad urls does not differ statistically (two-proportion z-test) from the rest of the branch;
+   such similar branches merge and are counted as one on the next level, others keep their segment.
 4. Urls of equal host and generalised path are a template.  Its purity is the share of bad among its labelled urls,
-   smoothed to the share of its host and that to a fixed prior; templates of at least ``REJECT`` are blocked.
+   smoothed to that of the node above, and so on up to the host, whose share is smoothed to a fixed prior; each counts as
+   one labelled url.  So a template without labels has the share of its nearest labelled node above.  Templates of at
+   least ``REJECT`` are blocked.
 
 Defined cases: a null url or one without ``://`` has empty host and path and is allowed by the method; empty segments
-count; repeated rows count each; without labels nothing is blocked; an empty table gives no rows; extra columns are
-ignored.
+count; repeated rows count each; without labels nothing is blocked; a segment that is a plain ``*`` counts with the
+wildcard; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,28 +75,45 @@ def shape(path: Column) -> Column:
 def templates(urls: DataFrame, *, wide: int = WIDE, rare: float = RARE, z: float = Z, prior: float = PRIOR, weight: float = WEIGHT) -> DataFrame:
     """``host, shape, template, n, labelled, bad, purity`` of every shape; ``urls``: ``host, path, bad`` (0, 1 or null)."""
     shapes = urls.groupBy("host", F.to_json(shape(F.col("path"))).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    shapes = stored(shapes.withColumn("parts", F.from_json("shape", "array<string>")), "shapes")
-    # every shape under each of its nodes: the node is known by the hash of the segments before
-    before = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda k: F.struct(F.xxhash64(F.slice("parts", 1, k - 1), k).alias("node"), F.element_at(F.col("parts"), k).alias("child"), k.alias("depth")))
-    under = shapes.select("host", "shape", "n", "labelled", "bad", F.explode(before).alias("at")).select("host", "shape", "n", "labelled", "bad", "at.*")
-    children = under.groupBy("host", "node", "child").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    children = stored(children, "children")
-    nodes = children.groupBy("host", "node").agg(F.count("*").alias("width"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
-    rest_labelled, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
-    pooled = F.col("all_bad") / F.col("all_labelled")
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_labelled))
-    score = F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest_labelled) / spread
-    # nothing tells an unlabelled child from the rest; a labelled child among unlabelled ones stays apart
-    alike = F.when(F.col("labelled") == 0, True).when(rest_labelled == 0, False).when(spread == 0, True).otherwise(score < z)
-    general = children.join(nodes, ["host", "node"]).where((F.col("width") >= wide) & (F.col("n") <= rare * F.col("all_n")) & alike).select("host", "node", "child", F.lit("*").alias("wild"))
-    named = under.join(general, ["host", "node", "child"], "left").groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("depth", F.coalesce("wild", "child").alias("name")))).alias("path"))
-    named = named.select("host", "shape", F.concat(F.lit("/"), F.array_join("path.name", "/")).alias("template"))
-    own = named.join(shapes.drop("parts"), ["host", "shape"])
-    total = own.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
-    hosts = total.groupBy("host").agg(((F.sum("bad") + prior * weight) / (F.sum("labelled") + weight)).alias("host_share"))
-    # a host whose labels disagree tells less about its other templates: its share counts as one labelled url
-    judged = total.join(hosts, "host").withColumn("purity", F.when(F.col("labelled") > 0, (F.col("bad") + F.col("host_share")) / (F.col("labelled") + 1)).otherwise((F.col("host_share") + prior * weight) / (1 + weight)))
-    return named.join(judged.drop("host_share"), ["host", "template"])
+    shapes = stored(shapes.withColumn("parts", F.from_json("shape", "array<string>")).withColumn("prefix", F.lit("")), "shapes")
+    at, done, level = shapes, [], 0
+    while not at.isEmpty():
+        # one level of the tree: a node is its host and the generalised segments before
+        level += 1
+        at = at.withColumn("child", F.element_at("parts", level))
+        children = at.groupBy("host", "prefix", "child").agg(F.count("*").alias("shapes"), F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+        nodes = children.groupBy("host", "prefix").agg(F.count("*").alias("width"), F.sum("shapes").alias("all_shapes"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+        rest_labelled, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
+        pooled = F.col("all_bad") / F.col("all_labelled")
+        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_labelled))
+        score = F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest_labelled) / spread
+        # nothing tells an unlabelled child from the rest; a labelled child among unlabelled ones stays apart
+        alike = F.when(F.col("labelled") == 0, True).when(rest_labelled == 0, False).when(spread == 0, True).otherwise(score < z)
+        merges = (F.col("width") >= wide) & (F.col("n") <= rare * F.col("all_n")) & alike
+        # below a node of fewer shapes than a wide branch has children, nothing generalises any more
+        step = children.join(nodes.where(F.col("all_shapes") >= wide), ["host", "prefix"]).select("host", "prefix", "child", merges.alias("merges"))
+        moved = at.join(step, ["host", "prefix", "child"], "left")
+        prefix = F.concat("prefix", F.lit("/"), F.when(F.col("merges"), "*").otherwise(F.col("child")))
+        moved = moved.select("host", "shape", "n", "labelled", "bad", "parts", prefix.alias("prefix"), (F.col("merges").isNotNull() & (F.size("parts") > level)).alias("open"))
+        moved = stored(moved, "level")
+        rest = F.transform(F.slice("parts", level + 1, F.size("parts")), lambda s: F.concat(F.lit("/"), s))
+        done.append(moved.where(~F.col("open")).select("host", "shape", F.concat("prefix", F.array_join(rest, "")).alias("template"), "n", "labelled", "bad"))
+        at = moved.where("open").drop("open")
+    named = reduce(DataFrame.union, done) if done else shapes.select("host", "shape", F.col("prefix").alias("template"), "n", "labelled", "bad")
+    total = stored(named.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad"))), "totals")
+    # the nodes above a template: its host (depth 1) and its shorter prefixes
+    above = F.transform(F.sequence(F.lit(1), F.size(F.split("template", "/")) - 1), lambda k: F.struct(k.alias("depth"), F.xxhash64(F.call_function("substring_index", F.col("template"), F.lit("/"), k)).alias("node")))
+    above = total.select("host", "template", "labelled", "bad", F.explode(above).alias("at")).select("host", "template", "labelled", "bad", "at.*")
+    known = above.where("labelled > 0").groupBy("host", "depth", "node").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    chain = above.drop("labelled", "bad").join(known, ["host", "depth", "node"]).groupBy("host", "template").agg(F.sort_array(F.collect_list(F.struct("depth", "labelled", "bad"))).alias("chain"))
+
+    def smoothed(share: Column, node: Column) -> Column:
+        own = F.when(node["depth"] == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
+        return (node["bad"] + share * own) / (node["labelled"] + own)
+
+    share = F.coalesce(F.aggregate("chain", F.lit(float(prior)), smoothed), F.lit(float(prior)))
+    judged = total.join(chain, ["host", "template"], "left").withColumn("purity", (F.col("bad") + share) / (F.col("labelled") + 1)).drop("chain")
+    return named.select("host", "shape", "template").join(judged, ["host", "template"])
 
 
 def judge(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", rules: dict[str, str] | None = None, labels: DataFrame | None = None, reject: float = REJECT, **options) -> DataFrame:

@@ -120,3 +120,27 @@ def test_url_branches_that_differ_stay(spark):
     got = {rows[r.page_id]: r for r in url_filter.judge(df, rules={}, labels=labels).collect()}
     assert {u for u in rows if got[u].verdict == "block"} == {u for u in rows if "/uc/" in u}
     assert {got[u].template for u in rows if "/ud/" in u} == {"/*/{number}"}
+
+
+def test_url_templates_with_two_variable_segments(spark):
+    # 30 shops of 30 goods, each pair once: the shops merge first, then the goods of all of them
+    rows = [f"http://h.test/shop/s{chr(97 + a % 26)}{a}/g{chr(97 + b % 26)}{b}/view" for a in range(30) for b in range(30)]
+    rows += ["http://h.test/shop/sx/only/here", "http://h.test/shop/sy/*/view"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(rows)], "page_id long, url string")
+    got = {rows[r.page_id]: r for r in url_filter.judge(df, rules={}).collect()}
+    assert {got[u].template for u in rows[:900]} == {"/shop/*/*/view"}
+    assert got[rows[900]].template == "/shop/*/*/here" and got[rows[901]].template == "/shop/*/*/view"
+
+
+def test_unlabelled_url_templates_take_the_share_of_the_nearest_labelled_node(spark):
+    bad, good = [f"http://h.test/x/ads/{k}" for k in range(6)], [f"http://h.test/news/{k}" for k in range(6)]
+    rest = ["http://h.test/x/ads/a/b", "http://h.test/x/more", "http://h.test/news/a", "http://h.test/other", "http://new.test/x/more", "http://one.test/a"]
+    rows = [*bad, *good, *rest, "http://one.test/b"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(u, 1) for u in bad] + [(u, 0) for u in good] + [("http://one.test/b", 1)], "url string, bad int")
+    got = {rows[r.page_id]: r for r in url_filter.judge(df, rules={}, labels=labels).collect()}
+    host = (6 + 0.1 * 2) / (12 + 2)
+    x, news = (6 + host) / 7, host / 7
+    want = dict(zip(rest, [((6 + x) / 7), x, news, host, 0.1, 1.2 / 3], strict=True))
+    assert all(abs(got[u].purity - want[u]) < 1e-9 for u in rest)
+    assert [got[u].verdict for u in rest] == ["block", "block", "allow", "allow", "allow", "allow"]
