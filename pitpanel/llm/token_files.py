@@ -9,7 +9,8 @@ Files are written by one range-partitioned, sorted pass, each under a name of it
 successful attempts wrote, so retried or lost tasks leave at most unlisted files.
 
 Texts are cut where a letter or ASCII sign is followed by ASCII white space, which the byte-level pre-tokenizer never
-joins; each distinct piece goes through the tokenizers library once per worker (bounded cache).
+joins; each distinct piece goes through the tokenizers library once per worker (bounded cache).  Added tokens in a text
+(such as ``<|endoftext|>``) become their own id, as in the library's ``encode``.
 
 Defined cases: null and empty texts have only the end id; a null id sorts first and is read back as null; equal ids are
 ordered by their text's hash; an empty table makes no file; extra columns are ignored.
@@ -89,9 +90,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or not _WHITE.isdisjoint(t.content.encode()) for t in added.values()):
+            raise ValueError("cuts at white space could part an added token from what it takes in")
+        self.added = [t.content.encode() for t in added.values()]
         size = self.tokenizer.get_vocab_size()
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(k) or "") for k in range(size)])  # one letter a byte
+        for k, t in added.items():
+            self.bytes_of[k] = len(t.content.encode())  # stands for itself
         self.clear()
 
     def clear(self) -> None:
@@ -102,8 +108,9 @@ class Encoder:
     def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
         plain, alone = [], []
         for k, p in enumerate(pieces):
-            # a piece between cuts begins with white space and ends in a letter or sign
-            (plain if p[0] in _WHITE and (0x20 < p[-1] < 0x7F or (len(p) > 1 and p[-2] == 0xC3)) else alone).append(k)
+            # a piece between cuts begins with white space and ends in a letter or sign; added tokens hold no white space
+            joins = p[0] in _WHITE and (0x20 < p[-1] < 0x7F or (len(p) > 1 and p[-2] == 0xC3))
+            (plain if joins and not any(t in p for t in self.added) else alone).append(k)
         groups, held, total = [], [], 0
         for k in plain:
             held.append(k)

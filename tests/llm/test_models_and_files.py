@@ -191,6 +191,27 @@ def test_token_files_equal_whole_text_encoding(spark):
         assert (got[d.doc_id].n_tokens, got[d.doc_id].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4")))
 
 
+def test_token_files_equal_a_fresh_tokenizer_with_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    assert tokenizer.encode("a b <|endoftext|> c", add_special_tokens=False).ids == [64, 275, 220, 50256, 269]
+    end = "<|endoftext|>"
+    texts = [*TEXTS, f"a b {end} c", end, f"a{end}b", f"{end}{end}", f" {end}  x", f"x \n {end}\n\ny {end}", f"é{end} é", f"日本{end}語", f"< {end}> <|endoftext |>", f"w {end} " * 5_000]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in token_files.round_trip(table(spark, rows), path, partitions=3).collect()}
+    start = 0
+    for k, text in rows:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert tuple(got[k]) == (k, start, len(ids), zlib.crc32(np.array(ids, "<u4"))), text[:40]
+        start += len(ids)
+    coder = token_files.Encoder(path)
+    assert coder.bytes_of[50256] == len(end)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    assert coder.encode(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode("".join(texts), add_special_tokens=False).ids
+
+
 # -- 9
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
