@@ -48,3 +48,38 @@ NOTICES = {
         "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
 }
+
+_MIT = NOTICES["MIT permission"].partition(", subject to")[0]
+_AS_IS = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+    "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+    "OR OTHER DEALINGS IN THE SOFTWARE."
+)
+NOTICES |= {
+    "MIT text": NOTICES["MIT permission"] + _AS_IS,
+    "MIT-0 text": _MIT + "." + _AS_IS,
+    "BSD-2-Clause conditions": NOTICES["BSD-3-Clause conditions"].partition(" Neither the name")[0],
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "Zlib permission": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+        "from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "CC0-1.0 line": "Licensed under CC0 1.0.",
+    "ISC line": "Released under the ISC License.",
+    "MPL-2.0 line": "Licensed under the Mozilla Public License, Version 2.0.",
+    "EPL-2.0 line": "Licensed under the Eclipse Public License, Version 2.0.",
+}
+for _v in ("2.0", "2.5", "3.0", "4.0"):
+    for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        NOTICES.setdefault(f"CC-{_kind}-{_v} line", f"Licensed under CC {_kind} {_v}.")
+for _kind, _name in {"BY-SA": "ShareAlike", "BY-NC": "NonCommercial", "BY-ND": "NoDerivatives", "BY-NC-SA": "NonCommercial-ShareAlike", "BY-NC-ND": "NonCommercial-NoDerivatives"}.items():
+    NOTICES[f"CC-{_kind}-4.0 notice"] = f"This work is licensed under a Creative Commons Attribution-{_name} 4.0 International License."
+for _id, _name, _version in (("GPL-2.0", "General", "2"), ("LGPL-2.0", "Library General", "2"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3")):
+    NOTICES[f"{_id} line"] = NOTICES["GPL-3.0 line"].replace("General", _name).replace("version 3", f"version {_version}")
+    if _id != "GPL-2.0":
+        NOTICES[f"{_id}+ notice"] = NOTICES["GPL-3.0+ notice"].replace("General", _name).replace("version 3", f"version {_version}")

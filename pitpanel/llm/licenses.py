@@ -7,6 +7,10 @@ place) candidates; hits on nearby diagonals form one candidate region, which a l
 gap -1) of template and text inside a band around these diagonals turns into matched words and a span.  The templates
 are configuration, bounded by ``MOST_TEMPLATE_WORDS``, and go to every task; the corpus is scanned once, unshuffled.
 
+A match needs every deciding word of its template: numbers, the words of ``DECIDING``, and those in which it differs from
+a near template; and holds no such word besides (numbers excepted).  In templates of up to ``SHORT`` words, other words
+between the matched ones count as missed.  So near licenses without a template are left out and not misnamed.
+
 Reported are matches that cover at least ``COVERAGE`` of their template; of overlapping spans the one with most matched
 words stays (then larger coverage, then name).  Defined cases: null and empty texts match nothing; templates without
 words are ignored; shorter templates than a fingerprint needs are one run of all their words; repeated rows are scanned
@@ -27,6 +31,13 @@ GRAM, WINDOW = 3, 2
 BAND = 8
 COVERAGE = 0.75
 MOST_TEMPLATE_WORDS = 2_000_000
+#: In templates of at most so many words, other words between the matched ones count against the coverage.
+SHORT = 16
+#: Words that tell licenses apart, also from such as no template knows.
+DECIDING = (
+    "affero agpl apache artistic boost bsd cc0 cddl eclipse epl eupl fdl gfdl gpl isc lesser lgpl mit mozilla mpl unlicense zlib "
+    "nc nd sa noncommercial noderivatives noderivs sharealike derivatives"
+).split()
 
 
 def fingerprints(words: Words, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +56,7 @@ def fingerprints(words: Words, gram: int, window: int) -> tuple[np.ndarray, np.n
 class Index:
     """Inverted index of the fingerprints of templates."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW):
+    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW, coverage: float = COVERAGE):
         self.names = sorted(templates)
         data, offs = utf8(pa.array([templates[k] for k in self.names], pa.large_string()))
         words = Words(data, offs, 0, len(self.names), alphanumeric_words(), lower=True)
@@ -61,6 +72,42 @@ class Index:
         order = np.argsort(marks, kind="stable")
         self.marks, self.template, self.place = marks[order], template[order], place[order]
         self.tiny = bool(tiny)
+        self._tell_apart(data, words, coverage)
+
+    def _tell_apart(self, data: np.ndarray, words: Words, coverage: float) -> None:
+        """Places that a match of each template needs (``needed``), and words that it must not hold besides (``strange``)."""
+        known, offs = utf8(pa.array([" ".join(DECIDING)], pa.large_string()))
+        deciding = Words(known, offs, 0, 1, alphanumeric_words(), lower=True).hash
+        number = np.array([data[x:y].tobytes().isdigit() for x, y in zip(words.starts.tolist(), words.ends.tolist(), strict=True)], bool)
+        self.needed, self.strange = [], []
+        for k, own in enumerate(self.words):
+            needed = np.isin(own, deciding) | number[words.first[k] : words.first[k + 1]]
+            strange = [deciding]
+            for j, other in enumerate(self.words):  # templates whose text would pass as this one
+                if j == k or not len(own) or np.isin(own, other).sum() < coverage * len(own):
+                    continue
+                got = pairs(own, other, -len(own), len(other))
+                if len(got) >= coverage * len(own):
+                    inside = np.ones(len(own), bool)
+                    inside[[x for x, _ in got]] = False
+                    needed |= inside
+                    between = np.delete(other, [y for _, y in got if y >= 0])[got[0][1] : got[-1][1] + 1 - len(got)]
+                    strange.append(np.setdiff1d(between, own))
+            self.needed.append(needed)
+            self.strange.append(np.unique(np.concatenate(strange)))
+
+    def fits(self, k: int, text: np.ndarray, got: list[tuple[int, int]], coverage: float) -> bool:
+        """Whether matched places (template, text) are a match of template k."""
+        own, place = np.array(got).T
+        start, end = int(place[0]), int(place[-1]) + 1
+        size = len(self.words[k])
+        if len(got) < coverage * (max(size, end - start) if size <= SHORT else size):
+            return False
+        left = np.ones(size, bool)
+        left[own] = False
+        if (left & self.needed[k]).any():
+            return False
+        return not np.isin(np.delete(text[start:end], place - start), self.strange[k]).any()
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first word, template, place in it) of every shared fingerprint."""
@@ -74,8 +121,8 @@ class Index:
         return np.repeat(at[found], size), self.template[entry], self.place[entry]
 
 
-def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """Matched words, first and end word (of the text) of the best local alignment with diagonals (text - template place) low..high."""
+def pairs(template: np.ndarray, text: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
+    """Places (template, text) of the words matched by the best local alignment with diagonals (text - template place) low..high."""
     m, width = len(template), high - low + 1
     score = np.zeros((m + 1, width + 2), np.int32)  # column c + 1: text place i + low + c before word i of the template
     bias = np.arange(width, dtype=np.int32)
@@ -91,17 +138,15 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
         score[i + 1, 1:-1] = np.maximum(best, np.maximum.accumulate(best + bias) - bias)
     i, c = np.unravel_index(int(np.argmax(score)), score.shape)
     if not score[i, c]:
-        return 0, 0, 0
-    matched, end, start = 0, 0, 0
+        return []
+    out = []
     while score[i, c] > 0:
         place = i - 1 + low + c - 1  # the text's word of this cell
         here = score[i, c]
         hit = 0 <= place < len(text) and text[place] == template[i - 1]
         if here == score[i - 1, c] + (1 if hit else -1):
             if hit:
-                matched += 1
-                start = place
-                end = end or place + 1
+                out.append((i - 1, int(place)))
             i -= 1
         elif c + 1 <= width and here == score[i - 1, c + 1] - 1:
             i, c = i - 1, c + 1
@@ -111,7 +156,13 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
             break
         if i == 0:
             break
-    return matched, int(start), int(end)
+    return out[::-1]
+
+
+def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """Matched words, first and end word (of the text) of that alignment."""
+    got = pairs(template, text, low, high)
+    return (len(got), got[0][1], got[-1][1] + 1) if got else (0, 0, 0)
 
 
 def scan_row(index: Index, text: np.ndarray, at: np.ndarray, template: np.ndarray, place: np.ndarray, band: int, coverage: float) -> list[tuple[int, int, int, int]]:
@@ -130,9 +181,11 @@ def scan_row(index: Index, text: np.ndarray, at: np.ndarray, template: np.ndarra
         low, high = int(diagonal[a] - bands[a]), int(diagonal[b] + bands[a])
         begin = max(0, low)
         own = text[begin : high + len(words) + 1]
-        matched, start, end = align(words, own, low - begin, high - begin)
-        if matched >= coverage * len(words) and matched:
-            found.append((int(template[a]), matched, start + begin, end + begin))
+        if np.isin(words, own).sum() < coverage * len(words):  # as many can match at most
+            continue
+        got = pairs(words, own, low - begin, high - begin)
+        if got and index.fits(int(template[a]), own, got, coverage):
+            found.append((int(template[a]), len(got), got[0][1] + begin, got[-1][1] + 1 + begin))
     found.sort(key=lambda x: (-x[1], -x[1] / len(index.words[x[0]]), index.names[x[0]], x[2]))
     kept: list[tuple[int, int, int, int]] = []
     for x in found:
@@ -143,7 +196,7 @@ def scan_row(index: Index, text: np.ndarray, at: np.ndarray, template: np.ndarra
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, doc_id: str = "doc_id", text: str = "text", band: int = BAND, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, license, n_matched, coverage, start_word, end_word, start_char, end_char`` of every match (ends exclusive)."""
-    index = Index(NOTICES if templates is None else templates)
+    index = Index(NOTICES if templates is None else templates, coverage=coverage)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     names = ["doc_id", "license", "n_matched", "coverage", "start_word", "end_word", "start_char", "end_char"]
 

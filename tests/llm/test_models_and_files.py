@@ -82,6 +82,31 @@ def test_license_scan(spark):
     assert licenses.scan(table(spark, [])).count() == 0
 
 
+def test_license_scan_does_not_misname_near_licenses(spark):
+    gpl = license_texts.NOTICES["GPL-3.0+ notice"]
+    wanted = {
+        "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0 line"],
+        "Licensed under CC BY-NC-ND 4.0.": ["CC-BY-NC-ND-4.0 line"],
+        "This work is licensed under the GNU General Public License, version 2.": ["GPL-2.0 line"],
+        gpl.replace("GNU General", "GNU Lesser General"): ["LGPL-3.0+ notice"],
+        gpl.replace("GNU General", "GNU Affero General"): ["AGPL-3.0+ notice"],
+        # without a template
+        "Licensed under CC BY 1.0.": [],
+        "Licensed under the Apache License, Version 1.1.": [],
+        "Released under the Artistic License.": [],
+        gpl.replace("version 3", "version 4"): [],
+        gpl.replace("GNU General Public", "GNU Library General Public"): [],
+        "Licensed under some terms that are much like CC and not by far 4.0.": [],
+        # numbered conditions stay what they are
+        license_texts.NOTICES["BSD-2-Clause conditions"].replace("Redistributions of", "1. Redistributions of").replace("Redistributions in", "2. Redistributions in"): ["BSD-2-Clause conditions"],
+    }
+    rows = list(enumerate(wanted))
+    got = licenses.scan(table(spark, rows)).collect()
+    assert {text: [r.license for r in got if r.doc_id == k] for k, text in rows} == wanted
+    own = licenses.scan(table(spark, rows[:1]), {"BY": "Licensed under CC BY 4.0."}).collect()
+    assert own == []
+
+
 def test_license_alignment_is_the_best_local_one():
     rng = np.random.default_rng(3)
 
