@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import decontaminate, licenses, ngram_join, pieces, sketches, substring_dedup, token_files, toxicity, url_filter, warc
+from pitpanel.llm import decontaminate, licenses, merkle, minhash, ngram_join, pieces, sketches, substring_dedup, token_files, toxicity, url_filter, warc, whitening
 from pitpanel.llm.text import ship
 
 
@@ -21,6 +21,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(table(spark, sf_dir, "documents"), tampered=merkle.without_line_feeds())
+    proof = F.sha2(F.col("siblings").cast("binary"), 256)
+    return out.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -71,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_whitening": op13_whitening,
 }

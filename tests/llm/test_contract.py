@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = E.queries()[name](spark, SF)
     rel = con.sql(E.oracle_sql()[name])
@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registered_names_and_stages():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_join", "substring_dedup", "decontamination", "sentencepiece"]
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()
 
