@@ -46,16 +46,15 @@ def shingle_sets(column: pa.Array, n: int):
     """(first row, sizes, distinct sorted shingle hashes one text after the other) of slices of a text column."""
     data, offs = utf8(column)
     table = white_space_words()
-    for i, j in slices(offs):
-        for i, j in ((a, min(a + 1024, j)) for a in range(i, j, 1024)):
-            words = Words(data, offs, i, j, table, lower=True)
+    for start, end in slices(offs):
+        for i in range(start, end, 1024):
+            words = Words(data, offs, i, min(i + 1024, end), table, lower=True)
             every = grams(words.hash, n)
             parts = []
             for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
                 own = np.sort(every[a : b - n + 1] if b - a >= n else grams(words.hash[a:b], b - a) if b > a else every[:0])
                 parts.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own)
-            sizes = np.array([len(p) for p in parts])
-            yield i, sizes, np.concatenate(parts) if len(parts) else every[:0]
+            yield i, np.array([len(p) for p in parts], np.int64), np.concatenate(parts)
 
 
 def signatures(sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:

@@ -150,6 +150,13 @@ def test_minhash_components(spark, piece):
     assert sorted(map(tuple, got), key=str) == sorted(near_duplicates(rows), key=str)
 
 
+def test_minhash_of_many_short_texts(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 2, 4, 5, 6, 9])))) for k in range(6000)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(near_duplicates(rows))
+
+
 def test_minhash_of_nothing(spark):
     docs = table(spark, near_copies(1)[:5])
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
