@@ -2,8 +2,8 @@
 
 A file holds, in ascending document order: ids (little-endian, ``width`` bytes each), the documents' own ids (64-bit),
 and the end offsets of the documents as an Elias-Fano sequence: about ``2 + log2(mean length)`` bits a document.  Its
-select structure (the place of every 256th high bit) answers the i-th offset from a few bytes; no table of 64-bit
-offsets exists.  A JSON footer tells the places of the parts.
+select structure (the place of every 256th high bit) answers the i-th offset, or those of a run of documents, from the
+bytes near its marks; no table of 64-bit offsets exists, neither in the file nor while it is read.  A JSON footer tells the places of the parts.
 
 Files are written by one range-partitioned, sorted pass, each under a name of its task attempt; the manifest lists what
 successful attempts wrote, so retried or lost tasks leave at most unlisted files.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from pitpanel.llm.text import SLICE, U64, _BYTES, _powers, file_system, fresh_fo
 MAGIC = b"EFIDS01\n"
 NO_ID = -(1 << 63)
 STEP = 256
+#: Bytes of new pieces that go through the library as one text.
+GROUP = 20_000
 #: Distinct pieces that a worker remembers.
 CACHE = 1 << 20
 
@@ -75,6 +78,17 @@ class EliasFano:
             byte += 64
         return (high - i << self.low_bits) | int(self._low(i, i + 1)[0])
 
+    def between(self, a: int, b: int) -> np.ndarray:
+        """Numbers a to b - 1: the bits from the last mark before a to the first after b, and no others."""
+        if a >= b:
+            return np.zeros(0, np.int64)
+        mark, after = a // STEP, -(-b // STEP)
+        byte = int(self.marks[mark]) // 8
+        end = int(self.marks[after]) // 8 + 1 if after < len(self.marks) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[byte:end])) + 8 * byte
+        ones = ones[np.searchsorted(ones, self.marks[mark]) + a - STEP * mark :][: b - a]
+        return ((ones - np.arange(a, b)) << self.low_bits) | self._low(a, b)
+
     def all(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.high))[: self.n]
         return ((ones - np.arange(self.n)) << self.low_bits) | self._low(0, self.n)
@@ -105,30 +119,28 @@ class Encoder:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
-        plain, alone = [], []
-        for k, p in enumerate(pieces):
-            # a piece between cuts begins with white space and ends in a letter or sign; added tokens hold no white space
-            joins = p[0] in _WHITE and (0x20 < p[-1] < 0x7F or (len(p) > 1 and p[-2] == 0xC3))
-            (plain if joins and not any(t in p for t in self.added) else alone).append(k)
-        groups, held, total = [], [], 0
-        for k in plain:
-            held.append(k)
-            total += len(pieces[k])
-            if total > 20_000:
-                groups.append(held)
-                held, total = [], 0
-        groups += [held] * bool(held) + [[k] for k in alone]
+    def _learn(self, keys: list[int], data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Keeps the ids of the pieces data[begin:end]; those that begin and end as cuts do go through the library joined."""
+        sizes = end - begin
+        # a piece between cuts begins with white space and ends in a letter or sign; added tokens hold no white space
+        last = data[end - 1]
+        joins = _WHITE_TABLE[data[begin]] & (((last > 0x20) & (last < 0x7F)) | ((sizes > 1) & (data[end - 2] == 0xC3)))
+        raw = data.tobytes()
+        if any(t in raw for t in self.added):
+            joins &= np.array([not any(t in raw[a:b] for t in self.added) for a, b in zip(begin.tolist(), end.tolist(), strict=True)])
+        plain = np.flatnonzero(joins)
+        ends = np.cumsum(sizes[plain])
+        joined = data[np.arange(ends[-1]) + np.repeat(begin[plain] - (ends - sizes[plain]), sizes[plain])].tobytes() if len(plain) else b""
+        edges = [0, *(np.flatnonzero(np.diff((ends - 1) // GROUP)) + 1).tolist(), len(plain)]
+        groups = [(plain[i:j], joined[ends[i] - sizes[plain[i]] : ends[j - 1]]) for i, j in zip(edges[:-1], edges[1:], strict=True) if j > i]
+        groups += [(np.array([k]), raw[begin[k] : end[k]]) for k in np.flatnonzero(~joins).tolist()]
         for i in range(0, len(groups), 64):
             some = groups[i : i + 64]
-            got = self.tokenizer.encode_batch_fast([b"".join([pieces[k] for k in g]).decode() for g in some], add_special_tokens=False)
-            for g, e in zip(some, got, strict=True):
+            got = self.tokenizer.encode_batch_fast([text.decode() for _, text in some], add_special_tokens=False)
+            for (own, _), e in zip(some, got, strict=True):
                 ids = np.array(e.ids, np.uint32)
-                ends = np.cumsum([len(pieces[k]) for k in g])
-                cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-                if len(g) == 1:
-                    cuts = np.array([len(ids)])
-                self._keep([keys[k] for k in g], ids, cuts)
+                cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes[own])) + 1 if len(own) > 1 else np.array([len(ids)])
+                self._keep([keys[k] for k in own.tolist()], ids, cuts)
 
     def _keep(self, keys: list[int], ids: np.ndarray, cuts: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
@@ -145,9 +157,8 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, and the number of ids of each."""
-        counts = np.zeros(len(offs) - 1, np.int64)
         if not len(data):
-            return np.zeros(0, np.uint32), counts
+            return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
         white = _WHITE_TABLE[data]
         sure = (data > 0x20) & (data < 0x7F)
         sure[1:] |= data[:-1] == 0xC3
@@ -164,17 +175,18 @@ class Encoder:
         if len(self.place) + len(distinct) > CACHE:
             self.clear()
         wanted = distinct.tolist()
-        fresh = [k for k, key in enumerate(wanted) if key not in self.place]
-        if fresh:
-            raw = data.tobytes()
-            self._learn([wanted[k] for k in fresh], [raw[a:b] for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)])
-        slot = np.array([self.place[k] for k in wanted], np.int64)[which]
+        slots = np.fromiter(map(self.place.get, wanted, repeat(-1)), np.int64, len(wanted))
+        fresh = np.flatnonzero(slots < 0)
+        if len(fresh):
+            at, unknown = first[fresh], [wanted[k] for k in fresh.tolist()]
+            self._learn(unknown, data, starts[at], ends[at])
+            slots[fresh] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
+        slot = slots[which]
         size = self.size[slot]
         after = np.cumsum(size)
         ids = self.flat[np.arange(after[-1]) + np.repeat(self.start[slot] - (after - size), size)]
-        row = np.searchsorted(offs, starts, "right") - 1
-        np.add.at(counts, row, size)
-        return ids, counts
+        before = np.concatenate([[0], after])[np.searchsorted(starts, offs)]  # ids before each text
+        return ids, np.diff(before)
 
 
 _WHITE = frozenset([0x20, *range(0x09, 0x0E)])
@@ -279,10 +291,9 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 file = TokenFile(path)
-                ends = file.ends.all()
                 for i in range(0, file.n_docs, 4096):
-                    own = ends[i : i + 4096]
-                    first = int(ends[i - 1]) if i else 0
+                    own = file.ends.between(i, min(i + 4096, file.n_docs))
+                    first = file.ends.select(i - 1) if i else 0
                     sums, begin = [], np.concatenate([[first], own[:-1]])
                     for a, b in _blocks(begin, own):
                         ids = file.range(int(begin[a]), int(own[b - 1])).astype("<u4")
