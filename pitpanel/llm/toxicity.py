@@ -2,14 +2,22 @@
 
 Features are the distinct 3-, 4- and 5-grams of a lower-cased text (UTF-8 bytes, white space runs as one space, a space
 at either end), hashed into ``2**BITS`` buckets.  The log-count ratios are corpus statistics over all training rows:
-each task counts the documents of either class for each bucket and Spark adds the counts.  Logistic regression on the
-present features times their ratios is then fitted to a bounded sample of the training rows: at most
-``SAMPLE_ROWS`` rows of each class, taken by a hash of the text, whole texts, and at most ``SAMPLE_FEATURES`` features
-together.  Scoring is one pass without a shuffle.
+each task counts the documents of either class for each bucket and Spark adds the counts.
+
+Labels are noisy, and with as many n-grams as there are, any text can be told from all others by n-grams of its own: a
+model of all features learns wrong labels by heart.  So a feature has a weight only where its counts are no chance: the
+likelihood ratio (G) of its 2 x 2 table of documents must reach ``least_g`` (15: one in 9,000 by chance, so about a
+hundred of ``2**BITS`` buckets).  Words that tell the classes apart pass with few documents; n-grams of single texts never do.
+
+Logistic regression on the present features times their ratios is then fitted to a bounded sample of the training rows:
+the ``sample_rows`` distinct (text, label) of each class with the smallest hashes, whole texts, each with the number of
+its rows as weight, and at most ``sample_features`` features together.  The sample is chosen by hashes and counts alone;
+the chosen texts become features where they are.  Scoring is one pass without a shuffle.
 
 Defined cases: null and empty texts have only the bias (and the n-grams of a lone space: none), so they score the same
 low prior; without training rows of both classes every score is the smoothed share of label 1; several labels of a
-document with the same value count as one training row each; null labels are ignored; extra columns are ignored.
+document with the same value count as one training row each; equal texts with equal labels are one sampled row (ties of
+the hash cannot split them); null labels are ignored; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +35,8 @@ BITS = 20
 SIZES = (3, 4, 5)
 SAMPLE_ROWS = 5000
 SAMPLE_FEATURES = 10_000_000
-#: Features with a smaller log-count ratio tell nothing and get no weight.
-LEAST_RATIO = 0.7
+#: Features whose counts have a smaller likelihood ratio may be chance and get no weight.
+LEAST_G = 15.0
 THRESHOLD = 0.3
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -93,30 +101,48 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return totals, counts
 
 
-def _sample(rows: DataFrame, most: int, most_features: int, ratio: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Telling features and labels of the sampled rows."""
-    sent = rows.sparkSession.sparkContext.broadcast(np.abs(ratio) >= LEAST_RATIO)  # 2**BITS bytes
-    order = F.xxhash64("text", "label")
+def likelihood_ratio(totals: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """G of each bucket: twice the log-likelihood gained by counting it by class instead of alike in both."""
+    here, n = counts.sum(axis=0), totals.sum()
+    g = np.zeros(counts.shape[1])
+    for k in (0, 1):
+        for seen, expected in ((counts[k], here * totals[k] / n), (totals[k] - counts[k], (n - here) * totals[k] / n)):
+            some = seen > 0
+            g[some] += 2 * seen[some] * np.log(seen[some] / expected[some])
+    return g
+
+
+def _sample(rows: DataFrame, most: int, most_features: int, telling: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Telling features, labels and weights (rows) of the sampled texts; ``rows``: ``text, label, mark``."""
+    sent = rows.sparkSession.sparkContext.broadcast(telling)  # 2**BITS bytes
     chosen = None
-    for label in (0, 1):
-        part = rows.where(F.col("label") == label).select("label", "text", order.alias("order")).orderBy("order").limit(most)
+    for label in (0, 1):  # hashes and counts only
+        part = rows.where(F.col("label") == label).groupBy("label", "mark").agg(F.count("*").alias("weight")).orderBy("mark").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
+    taken = rows.join(F.broadcast(chosen), ["label", "mark"]).select("label", "mark", "weight", "text")  # 2 * most rows
 
     def encode(batches):
-        features, telling = Features(), sent.value
+        features, telling, met = Features(), sent.value, set()
         for batch in batches:
-            found = (features.of(t) for t in _texts(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("order"), pa.array([at[telling[at]].astype(np.int32).tobytes() for at in found], pa.binary())], names=["label", "order", "at"])
-
-    xs, ys, used = [], [], 0
-    found = chosen.mapInArrow(encode, "label int, order long, at binary").orderBy("order")
+            keys = list(zip(batch.column("label").to_pylist(), batch.column("mark").to_pylist(), strict=True))
+            keep = [k for k, key in enumerate(keys) if key not in met and not met.add(key)]  # at most 2 * most
+            some = batch.take(pa.array(keep, pa.int64()))
+            found = (features.of(t) for t in _texts(some.column("text")))
+            yield pa.RecordBatch.from_arrays([some.column("label"), some.column("mark"), some.column("weight"), pa.array([at[telling[at]].astype(np.int32).tobytes() for at in found], pa.binary())], names=["label", "mark", "weight", "at"])
+
+    xs, ys, ws, used, last = [], [], [], 0, None
+    found = taken.mapInArrow(encode, "label int, mark long, weight long, at binary").orderBy("mark", "label")
     for row in found.toLocalIterator():
         if used >= most_features:
             break
+        if last == (row["mark"], row["label"]):  # a copy from another task
+            continue
+        last = row["mark"], row["label"]
         xs.append(np.frombuffer(row["at"], np.int32))
         ys.append(row["label"])
+        ws.append(row["weight"])
         used += len(xs[-1])
-    return xs, np.array(ys, float)
+    return xs, np.array(ys, float), np.array(ws, float)
 
 
 class Model:
@@ -131,9 +157,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(rows: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, smooth: float = 1.0, penalty: float = 1.0, rounds: int = 50) -> Model:
+def fit(rows: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, least_g: float = LEAST_G, smooth: float = 1.0, penalty: float = 1.0, rounds: int = 50) -> Model:
     """A model of rows ``text, label`` (label 0 or 1)."""
-    rows = stored(rows, "training")
+    rows = stored(rows.withColumn("mark", F.xxhash64("text", "label")), "training")
     totals, counts = bucket_counts(rows)
     prior = (totals[1] + smooth) / (totals.sum() + 2 * smooth)
     bias = float(np.log(prior / (1 - prior)))
@@ -141,10 +167,11 @@ def fit(rows: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_features: int
         return Model(bias, np.zeros(1 << BITS))
     share = (counts + smooth) / (totals[:, None] + 2 * smooth)
     ratio = np.log(share[1]) - np.log(share[0])
-    xs, y = _sample(rows, sample_rows, sample_features, ratio)
+    xs, y, weight = _sample(rows, sample_rows, sample_features, likelihood_ratio(totals, counts) >= least_g)
     used, at = np.unique(np.concatenate(xs) if xs else np.zeros(0, np.int32), return_inverse=True)
     row = np.repeat(np.arange(len(xs)), [len(x) for x in xs])
-    weight = np.where(y == 1, prior * len(y) / max(1, y.sum()), (1 - prior) * len(y) / max(1, len(y) - y.sum()))
+    for label, part in ((0, 1 - prior), (1, prior)):  # the classes weigh as in all training rows
+        weight[y == label] *= part * len(y) / max(1.0, weight[y == label].sum())
     value = ratio[used][at]
     v, b = np.zeros(len(used)), bias
     # gradient descent with per-feature steps (AdaGrad) and an L2 penalty, from the prior

@@ -23,17 +23,58 @@ SF = "/root/testdata/sf0.01"
 
 # -- 2
 
+def ranked_right(scores, labels):
+    """Share of pairs of a toxic and a clean text that the scores put in order (area under the curve)."""
+    order = np.argsort(np.argsort(scores))
+    ones = labels == 1
+    return (order[ones].sum() - ones.sum() * (ones.sum() - 1) / 2) / (ones.sum() * (~ones).sum())
+
+
 def test_toxicity_held_out_accuracy(spark):
+    """Some labels are wrong, so held-out rows are judged by order and by a share that noise leaves within reach; rows that were learnt are not judged better."""
     folder = "/root/testdata/sf0.1"
     got = stored(QUERIES["op2_toxicity"](spark, folder), "test")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 10_000
-    rows = got.join(labels, "doc_id").where("held_out").collect()
-    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
-    assert right > 0.98 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    rows = got.join(labels, "doc_id").collect()
+    right = {}
+    for held in (True, False):
+        own = [r for r in rows if r.held_out == held]
+        scores, toxic = np.array([r.score for r in own]), np.array([r.toxic for r in own])
+        assert ranked_right(scores, toxic) > 0.97
+        right[held] = sum(r.predicted == r.toxic for r in own) / len(own)
+    assert right[True] > 0.96 and right[False] - right[True] < 0.02
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.collect())
 
 
+def test_toxicity_does_not_learn_wrong_labels(spark):
+    """A twentieth of the clean training texts is labelled toxic: the model keeps to the words that tell the classes apart."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(3, 9))) for _ in range(4000)]
+    rows = [(k, " ".join(rng.choice(words) for _ in range(40)) + (" vileword" if k % 8 == 0 else "")) for k in range(1600)]
+    wrong = {k for k in range(1600) if k % 8 and rng.random() < 0.05}
+    docs, labels = table(spark, rows), spark.createDataFrame([(k, int(k % 8 == 0 or k in wrong)) for k in range(1600)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.fit(toxicity.training_rows(docs, labels))).collect()}
+    assert all(got[k] == 1 for k in range(0, 1600, 8))
+    assert sum(got[k] for k in wrong) <= 1 and sum(got[k] for k in range(1600) if k % 8) <= 5
+
+
+def test_toxicity_sample_takes_copies_once(spark):
+    """A group of copies is one sampled text with a weight, so it cannot fill a class; ties of the hash stay together."""
+    rng = random.Random(9)
+    rows = [(k, f"good {' '.join(rng.choice('abcdefg') * 3 for _ in range(8))}") for k in range(300)] + [(1000 + k, "one copy vileword") for k in range(400)] + [(2000 + k, f"n{k} vileword") for k in range(60)]
+    train = spark.createDataFrame([(t, int("vile" in t)) for _, t in rows], "text string, label int").withColumn("mark", F.xxhash64("text", "label")).repartition(4)
+    telling = np.ones(1 << toxicity.BITS, bool)
+    xs, y, weight = toxicity._sample(train, 50, 10**7, telling)
+    assert (y == 1).sum() == (y == 0).sum() == 50 and len(xs) == 100
+    assert sorted(weight)[-1] in (1.0, 400.0) and set(weight) <= {1.0, 400.0} | {float(k) for k in range(2, 10)}
+    xs, y, weight = toxicity._sample(train, 61, 10**7, telling)
+    assert weight[y == 1].sum() == 460
+    model = toxicity.fit(train.drop("mark"), sample_rows=61)
+    assert (model.scores(pa.array(["x vileword", "good"])) > 0.3).tolist() == [True, False]
+
+
 def test_toxicity_edges(spark):
     words = ["good", "day", "sun", "tree", "cloud"]
     rng = random.Random(1)
@@ -182,6 +223,9 @@ def test_elias_fano():
             code = token_files.EliasFano.of(values)
             assert (code.all() == values).all()
             assert all(code.select(i) == values[i] for i in {0, n - 1, n // 2, *rng.integers(0, n, 20).tolist()})
+            for a in {0, n // 3, n - 1, *rng.integers(0, n, 8).tolist()}:
+                for b in {a, a + 1, n, min(n, a + 256), int(rng.integers(a, n + 1))}:
+                    assert (code.between(a, b) == values[a:b]).all()
             bits = 8 * sum(p.nbytes for _, p in code.parts())
             assert bits <= n * (2.2 + max(0, math.log2(max(1, values[-1] / n)))) + 64
 
@@ -309,7 +353,9 @@ def test_pipeline_stages_against_brute_force(spark):
         assert all(after[i] == before[i] or name == "substring_dedup" for i in after)
         if name == "toxicity":
             labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-            assert sum((i in after) == (labels[i] == 0) for i in labels) > 0.98 * len(labels)
+            held = {i: t for i, t in labels.items() if zlib.crc32(str(i).encode()) % 4 == 2}  # never learnt
+            clean, toxic = ([i for i, t in held.items() if t == k] for k in (0, 1))
+            assert sum(i in after for i in clean) > 0.97 * len(clean) and sum(i not in after for i in toxic) > 0.5 * len(toxic)
         elif name == "ngram_join":
             assert set(after) == {i for i, _, c in near_duplicates(rows) if i == c}
         elif name == "substring_dedup":
