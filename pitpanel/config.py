@@ -85,6 +85,9 @@ class PanelConfig:
     market_time_zone: str = "Asia/Taipei"
 
     # --- execution knobs (not semantics) ------------------------------------------------
+    # a ticker with more rows (and more than 1 in block_pieces of all rows) is cut into blocks
+    block_rows: int = 1 << 16
+    block_pieces: int = 1 << 14
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 

@@ -1,9 +1,9 @@
 """Per-ticker time-series windows.
 
 Every window here is partitioned by ``ticker`` and ordered by time, so a chain
-of them costs one hash exchange on ticker and shares sorts.  A ticker's group
-holds one row per (date, ticker) (the panel grain), so its size is bounded by
-the number of trading days, not by the data volume.
+of them costs one hash exchange on ticker and shares sorts.  ``key`` names the
+partitioning columns: (ticker, block) where ``operators.segments`` cuts long
+tickers into blocks, with halo rows and summaries for what crosses their edges.
 """
 
 from __future__ import annotations
@@ -50,8 +50,10 @@ def lead_return(price, order, n: int, key="ticker") -> Column:
     return F.try_divide(ahead, F.col(price) if isinstance(price, str) else price) - F.lit(1.0)
 
 
-def reverse_cumulative_product(factor, order_desc, key="ticker") -> Column:
-    """EXP(SUM(LN(f))) over rows from the latest down to the current one."""
-    w = Window.partitionBy(key).orderBy(*order_desc).rowsBetween(
+def reverse_log_sum(factor, order_desc, key="ticker") -> Column:
+    """SUM(LN(f)) over rows from the latest down to the current one; its EXP is
+    the reverse cumulative product."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = Window.partitionBy(*keys).orderBy(*order_desc).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return F.exp(F.sum(F.ln(factor)).over(w))
+    return F.sum(F.ln(factor)).over(w)

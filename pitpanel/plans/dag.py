@@ -8,6 +8,8 @@ executor recomputes from the last table rather than from the raw sources.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import dcf
 from pitpanel.operators.actions import all_steps
 from pitpanel.operators.calendar import TradingDayMap, trading_calendar
+from pitpanel.operators.segments import Blocks
 from pitpanel.plans import intermediate as I
 from pitpanel.plans import marts as M
 from pitpanel.plans import staging as S
@@ -36,6 +39,8 @@ class Build:
         self._steps: DataFrame | None = None
         self._days: TradingDayMap | None = None
         self._val_index = None
+        self._blocks: Blocks | None = None
+        self._months: DataFrame | None = None
 
     @property
     def valuation_index(self):
@@ -51,6 +56,17 @@ class Build:
             self._days = TradingDayMap(self["trading_calendar"])
         return self._days
 
+    @property
+    def blocks(self) -> Blocks:
+        """Where tickers with very many price rows are cut; computed once per build (stored with its tables)."""
+        if self._blocks is None:
+            self._blocks = I.price_blocks(self["stg_daily_prices_raw"], self.cfg)
+            if self.out_dir is not None:
+                path = f"{self.out_dir}/ticker_blocks"
+                sinks.write_table(self._blocks.table, path)
+                self._blocks = Blocks.of(self.spark.read.parquet(path))
+        return self._blocks
+
     @property
     def actions(self) -> DataFrame:
         """Corporate-action step table, computed once per build."""
@@ -58,13 +74,31 @@ class Build:
             self._steps = all_steps(self.src.corporate_actions)
         return self._steps
 
+    @property
+    def month_rows(self) -> DataFrame:
+        """Price rows of each month, by which the panels' months are split; counted once per build."""
+        if self._months is None:
+            self._months = sinks.month_rows(self["stg_daily_prices_raw"])
+            if self.out_dir is not None:
+                path = f"{self.out_dir}/month_rows"
+                sinks.write_table(self._months, path)
+                self._months = self.spark.read.parquet(path)
+        return self._months
+
+    def since(self, name: str, floor: dt.date) -> DataFrame:
+        """A panel from a date on; a stored one opens the months from there only."""
+        df = self[name]
+        if self.out_dir is None or name not in PARTITIONED:
+            return df.filter(F.col("date") >= F.lit(floor))
+        return sinks.read_panel(self.spark, f"{self.out_dir}/{name}", date_from=floor).drop(sinks.MONTH_COL)
+
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         if self.out_dir is None:
             return df
         path = f"{self.out_dir}/{name}"
         if name in PARTITIONED:
-            sinks.write_month_partitioned(df, path)
-            return self.spark.read.parquet(path).drop(sinks.MONTH_COL)
+            sinks.write_month_partitioned(df, path, months=self.month_rows)
+            return sinks.read_panel(self.spark, path).drop(sinks.MONTH_COL)
         sinks.write_table(df, path)
         return self.spark.read.parquet(path)
 
@@ -86,9 +120,11 @@ class Build:
     # intermediate
     def _int_daily_prices_adjusted(self):
         return I.int_daily_prices_adjusted(self["stg_daily_prices_raw"], self["stg_dividend_factor"],
-                                           self.actions, self.cfg)
+                                           self.actions, self.cfg, self.blocks)
+
+    def _int_daily_indicators(self):
+        return I.int_daily_indicators(self.since("int_daily_prices_adjusted", self.cfg.indicator_floor), self.cfg, self.blocks)
 
-    def _int_daily_indicators(self): return I.int_daily_indicators(self["int_daily_prices_adjusted"], self.cfg)
     def _trading_calendar(self):
         # the dates of the daily indicators: neither the dividend join nor the windows drop a price row
         floor = max(self.cfg.price_floor, self.cfg.indicator_floor)
@@ -116,8 +152,11 @@ class Build:
     # marts
     def _mart_vbt_master_dataset(self):
         # fused form (one shuffle of the daily rows); equal to M15 over the M14 stack
-        return M.mart_vbt_master_from_parts(self["int_daily_prices_adjusted"], self["int_monthly_revenue_shifter"],
-                                            self["int_financial_shifter"], self["int_balance_sheet_shifter"], self.cfg)
+        return M.mart_vbt_master_from_parts(self.since("int_daily_prices_adjusted", self.cfg.indicator_floor),
+                                            self["int_monthly_revenue_shifter"],
+                                            self["int_financial_shifter"], self["int_balance_sheet_shifter"], self.cfg,
+                                            self.blocks)
+
     def _dim_dcf_surface(self): return dcf.dcf_surface(self.spark, self.cfg)
     def _dim_dcf_lookup(self): return dcf.dcf_lookup(self.spark, self["dim_dcf_surface"], self.cfg)
 
@@ -126,10 +165,11 @@ class Build:
                                             self.valuation_index)
 
     def _mart_factor_dataset(self):
-        return M.mart_factor_dataset(self["mart_vbt_master_dataset"], self["dim_dcf_surface"], self.cfg,
+        return M.mart_factor_dataset(self.since("mart_vbt_master_dataset", self.cfg.panel_floor), self["dim_dcf_surface"], self.cfg,
                                      self.valuation_index)
 
-    def _mart_expectation_features(self): return M.mart_expectation_features(self["mart_vbt_master_dataset"], self.cfg)
+    def _mart_expectation_features(self):
+        return M.mart_expectation_features(self.since("mart_vbt_master_dataset", self.cfg.panel_floor), self.cfg)
 
     def _mart_expectation_dataset(self):
         return M.mart_expectation_dataset(self["mart_expectation_features"], self["dim_dcf_lookup"], self.cfg)

@@ -11,25 +11,42 @@ from pitpanel.functions import exprs as X
 from pitpanel.operators import windows as W
 from pitpanel.operators.actions import with_action_factors
 from pitpanel.operators.calendar import TradingDayMap, align_to_calendar
+from pitpanel.operators.segments import BLOCK, Blocks
 from pitpanel.sources import schemas
 
 
 # --------------------------------------------------------------------------- M6
+def price_blocks(prices: DataFrame, cfg: PanelConfig = DEFAULT) -> Blocks:
+    """Blocks of the tickers with very many price rows (none in usual data)."""
+    return Blocks(prices.filter(F.col("date") >= F.lit(cfg.price_floor)), cfg.ma_long, cfg.block_rows, cfg.block_pieces)
+
+
+def _tag(df: DataFrame, blocks: Blocks | None) -> DataFrame:
+    return df.withColumn(BLOCK, F.lit(0)) if blocks is None else blocks.tag(df)
+
+
+KEYS = ["ticker", BLOCK]
+
+
 def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions: DataFrame,
-                              cfg: PanelConfig = DEFAULT) -> DataFrame:
+                              cfg: PanelConfig = DEFAULT, blocks: Blocks | None = None) -> DataFrame:
     """M6: adj_close = close x (product of dividend factors on this and later
     ex-dates) x (product of split price factors effective strictly later).
 
     The left join prices x dividends on (ticker, date) is done inside the
-    single hash exchange on ticker that the reverse product needs anyway:
-    dividend rows (identical copies pre-aggregated with a count) are unioned
-    with the price rows, each day's distinct factors are collected over a
-    (ticker, date) window (satisfied by the ticker partitioning) and
+    single hash exchange on (ticker, block) that the reverse product needs
+    anyway: dividend rows (identical copies pre-aggregated with a count) are
+    unioned with the price rows, each day's distinct factors are collected over
+    a (ticker, date) window (satisfied by the partitioning) and
     ``explode_outer`` + the copy count reproduce the join's fan-out for a
     repeated ex-date (Quirk 1; no factor -> 1.0).  So prices shuffle once
     whatever the size of the dividend table (a sort-merge join would shuffle
     them twice once dividends outgrow a broadcast).  Split factors come from a
-    step table joined on the ticker."""
+    step table joined on the ticker.
+
+    The product runs within blocks; the log sums of the blocks after it (one
+    row a block, combined before their shuffle) complete it for tickers that
+    ``blocks`` cuts."""
     p = prices.filter(F.col("date") >= F.lit(cfg.price_floor)).withColumn("_is_price", F.lit(True))
     # identical dividend copies are pre-aggregated (partial aggregation before
     # the shuffle), so the per-day list below holds distinct factors only and
@@ -39,8 +56,8 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
          .select("ticker", F.col("ex_date").alias("date"),
                  F.struct(F.col("daily_factor").alias("f"), F.col("_n").alias("n")).alias("_div"),
                  F.lit(False).alias("_is_price")))
-    u = p.unionByName(d, allowMissingColumns=True).repartition("ticker")
-    u = u.withColumn("_divs", F.collect_list("_div").over(Window.partitionBy("ticker", "date")))
+    u = _tag(p.unionByName(d, allowMissingColumns=True), blocks).repartition(*KEYS)
+    u = u.withColumn("_divs", F.collect_list("_div").over(Window.partitionBy(*KEYS, "date")))
     j = u.filter(F.col("_is_price")).withColumn("_d", F.explode_outer("_divs"))
     # one row per dividend copy, as the join fans out (copies of one factor are
     # interchangeable, so they are regenerated from the count)
@@ -48,25 +65,58 @@ def int_daily_prices_adjusted(prices: DataFrame, dividends: DataFrame, actions:
                                                    F.coalesce(F.col("_d.n"), F.lit(1).cast("bigint")))))
     j = j.withColumn("daily_factor", F.coalesce(F.col("_d.f"), F.lit(1.0)))
     # ties on date only arise from duplicated dividends; break them by factor
-    j = j.withColumn("_rev_cum", W.reverse_cumulative_product(
-        "daily_factor", [F.col("date").desc(), F.col("daily_factor").asc()]))
+    j = j.withColumn("_ln", W.reverse_log_sum("daily_factor", [F.col("date").desc(), F.col("daily_factor").asc()], KEYS))
+    if blocks is not None:
+        j = blocks.with_summary(j, _later_log_sums(p, d, blocks))
+        # NULL where no row so far has a logarithm, as in one sum over all of them
+        j = j.withColumn("_ln", F.coalesce(F.col("_ln") + F.col("_later"), F.col("_ln"), F.col("_later")))
     j = with_action_factors(j, actions, "date", {"_split": "price_factor"})
-    return j.select(*prices.columns, (F.col("close") * F.col("_rev_cum") * F.col("_split")).alias("adj_close"))
+    return j.select(*prices.columns, (F.col("close") * F.exp("_ln") * F.col("_split")).alias("adj_close"))
+
+
+def _later_log_sums(prices: DataFrame, dividends: DataFrame, blocks: Blocks) -> DataFrame:
+    """``ticker, _block, _later``: log sums of all joined rows after a block.
+
+    A day's joined rows are its price rows times its dividend rows, so counts
+    and sums by day suffice; both combine before the shuffle."""
+    logs = dividends.select("ticker", "date", F.lit(0).cast("bigint").alias("_c"), F.col("_div.n").alias("_m"),
+                            (F.col("_div.n") * F.ln(F.col("_div.f"))).alias("_l"))
+    bars = prices.select("ticker", "date", F.lit(1).cast("bigint").alias("_c"), F.lit(0).cast("bigint").alias("_m"),
+                         F.lit(None).cast("double").alias("_l"))
+    days = (blocks.tag(blocks.only(bars).unionByName(blocks.only(logs))).groupBy(*KEYS, "date")
+            .agg(F.sum("_c").alias("_c"), F.sum("_m").alias("_m"), F.sum("_l").alias("_l")))
+    day = F.when(F.col("_m") == 0, F.lit(0.0)).otherwise(F.col("_c") * F.col("_l"))   # no dividend: factor 1.0
+    sums = days.filter("_c > 0").groupBy(*KEYS).agg(F.sum(day).alias("_sum"))
+    return blocks.later_sum(sums, "_sum", "_later")
 
 
 # --------------------------------------------------------------------------- M7
-def int_daily_indicators(adjusted: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
+def int_daily_indicators(adjusted: DataFrame, cfg: PanelConfig = DEFAULT, blocks: Blocks | None = None) -> DataFrame:
     """M7: ma20, ma60, bias20 and day amplitude from the indicator floor on
-    (the floor is applied before the windows, so warm-up starts there)."""
+    (the floor is applied before the windows, so warm-up starts there).
+
+    A block that ``blocks`` cuts off takes the last 59 rows before it along."""
     a = adjusted.filter(F.col("date") >= F.lit(cfg.indicator_floor))
+    own = _tag(a, blocks).withColumn("_own", F.lit(True))
+    if blocks is not None:
+        own = own.unionByName(halo_rows(a.select("date", "ticker", "adj_close"), blocks, cfg), allowMissingColumns=True)
+    a = own.repartition(*KEYS)
     order = [F.col("date"), F.col("adj_close")]
-    ma20 = W.rolling_mean("adj_close", order, cfg.ma_short)
-    return a.select(
+    ma20 = W.rolling_mean("adj_close", order, cfg.ma_short, KEYS)
+    out = a.select(
         "date", "ticker", "open", "high", "low", "adj_close", "volume",
         ma20.alias("ma20"),
-        W.rolling_mean("adj_close", order, cfg.ma_long).alias("ma60"),
+        W.rolling_mean("adj_close", order, cfg.ma_long, KEYS).alias("ma60"),
         X.safe_div(F.col("adj_close") - ma20, ma20).alias("bias20"),
-        X.safe_div(F.col("high") - F.col("low"), "low").alias("day_amplitude"))
+        X.safe_div(F.col("high") - F.col("low"), "low").alias("day_amplitude"), "_own")
+    return out.filter("_own").drop("_own")
+
+
+def halo_rows(daily: DataFrame, blocks: Blocks, cfg: PanelConfig = DEFAULT) -> DataFrame:
+    """The daily rows that the longest rolling mean looks back to from the next block."""
+    tagged = blocks.tag(blocks.only(daily))
+    rows = blocks.last_rows(tagged, cfg.ma_long - 1, [F.col("date").desc(), F.col("adj_close").desc()])
+    return rows.withColumn("_own", F.lit(False))
 
 
 # --------------------------------------------------------------------------- M8

@@ -9,6 +9,8 @@ from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.functions import exprs as X
 from pitpanel.operators import windows as W
 from pitpanel.operators.nearest import NearestIndex
+from pitpanel.operators.segments import BLOCK, Blocks
+from pitpanel.plans import intermediate as I
 from pitpanel.sources import schemas
 
 PRICE_MAX = {"open": "d_open", "high": "d_high", "low": "d_low", "adj_close": "d_close",
@@ -26,18 +28,20 @@ def _with_kind(stack: DataFrame) -> DataFrame:
     return stack.withColumn("_kind", kind)
 
 
-def _collapse(s: DataFrame) -> DataFrame:
-    day = Window.partitionBy("ticker", "date").orderBy("_kind").rowsBetween(
+def _best_box(box: str, label: str) -> F.Column:
+    """The box with the latest label; identical labels (duplicated statements)
+    fall back to the largest box, so reruns pick the same one whatever the row order."""
+    return F.max(F.when(F.col(box).isNotNull(), F.struct(F.col(box).getField(label).alias("l"), F.col(box).alias("b"))))
+
+
+def _collapse(s: DataFrame, keys: list[str], kept: list[str] | None = None) -> DataFrame:
+    """A1/A2 within data partitioned by ``keys``; ``kept``: columns that are the same in all rows of a day."""
+    day = Window.partitionBy(*keys, "date").orderBy("_kind").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    day_rn = Window.partitionBy("ticker", "date").orderBy("_kind")
+    day_rn = Window.partitionBy(*keys, "date").orderBy("_kind")
     cols = [F.max(src).over(day).alias(dst) for src, dst in PRICE_MAX.items()]
-    # latest label wins; identical labels (duplicated statements) fall back to
-    # the largest box, so reruns pick the same one whatever the row order
-    cols += [F.max(F.when(F.col(box).isNotNull(),
-                          F.struct(F.col(box).getField(label).alias("l"), F.col(box).alias("b"))))
-              .over(day).getField("b").alias(alias)
-             for box, label, alias, _ in BOXES]
-    out = s.select("date", "ticker", *cols, F.row_number().over(day_rn).alias("_rn"))
+    cols += [_best_box(box, label).over(day).getField("b").alias(alias) for box, label, alias, _ in BOXES]
+    out = s.select("date", *keys, *(kept or []), *cols, F.row_number().over(day_rn).alias("_rn"))
     return out.filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -46,57 +50,101 @@ def collapse_stack(stack: DataFrame) -> DataFrame:
     kind, one non-NULL box (on a collision the latest label wins, Quirk 4;
     equal labels: the largest box, for deterministic reruns).
 
-    Done with window aggregates over (ticker, date) on data hash-partitioned
-    by ticker, which the forward fill that follows reuses: a single shuffle,
-    and no struct-typed aggregation buffers (which would force a sort-based
-    aggregate)."""
-    return _collapse(_with_kind(stack).repartition("ticker"))
+    An aggregate that combines before the shuffle: however many copies a
+    (date, ticker) has, a task sends one row for it.  (The master panel below
+    collapses inside its windows' partitioning instead, as its rolling means
+    count every copy.)"""
+    boxes = [_best_box(box, label).alias(alias) for box, label, alias, _ in BOXES]
+    out = stack.groupBy("date", "ticker").agg(*[F.max(src).alias(dst) for src, dst in PRICE_MAX.items()], *boxes)
+    return out.select("date", "ticker", *PRICE_MAX.values(), *[F.col(a).getField("b").alias(a) for *_, a, _ in BOXES])
 
 
-def _fill_and_returns(c: DataFrame, cfg: PanelConfig) -> DataFrame:
+def _fill_and_returns(c: DataFrame, cfg: PanelConfig, keys: list[str], kept: list[str] | None = None) -> DataFrame:
+    kept = kept or []
     fill = []
     for _, _, alias, names in BOXES:
         for field, dst in names.items():
-            fill.append(W.forward_fill(F.col(alias).getField(field), "date").alias(dst))
-    filled = c.select("date", "ticker", *PRICE_MAX.values(), *fill)
+            fill.append(W.forward_fill(F.col(alias).getField(field), "date", keys).alias(dst))
+    filled = c.select("date", *keys, *kept, *PRICE_MAX.values(), *fill)
     filled = filled.filter(F.col("date") >= F.lit(cfg.panel_floor))
     return filled.select(
-        "*",
+        "date", "ticker", *kept, *PRICE_MAX.values(), *FILL_COLUMNS,
         X.safe_div("d_close", X.nullif("eps_ttm", 0)).alias("pe_ttm"),
         X.safe_div("d_close", X.nullif("book_value_per_share", 0)).alias("pb_ratio"),
-        *[W.lead_return("d_close", "date", n).alias(f"ret_{n}d") for n in cfg.lead_days])
+        *[W.lead_return("d_close", "date", n, keys).alias(f"ret_{n}d") for n in cfg.lead_days])
 
 
 def mart_vbt_master_dataset(stack: DataFrame, cfg: PanelConfig = DEFAULT) -> DataFrame:
     """Collapse, per-field forward fill of 47 report fields (Quirk 6),
     panel floor, PE/PB and row-based forward returns (Quirk 5)."""
-    return _fill_and_returns(collapse_stack(stack), cfg)
+    return _fill_and_returns(collapse_stack(stack), cfg, ["ticker"])
 
 
 def mart_vbt_master_from_parts(adjusted: DataFrame, rev: DataFrame, fin: DataFrame, bal: DataFrame,
-                               cfg: PanelConfig = DEFAULT) -> DataFrame:
+                               cfg: PanelConfig = DEFAULT, blocks: Blocks | None = None) -> DataFrame:
     """M15 fused with M7/M14 so the daily rows are shuffled once.
 
     Adjusted prices (from the indicator floor) and the three dated report
-    kinds are unioned and hash-partitioned by ticker a single time.  The
-    rolling indicators are windows partitioned by (ticker, kind): the same
-    exchange satisfies them, and report rows form their own window partitions
-    so ma20/ma60 see exactly the daily rows, as in the indicator view.  The
-    collapse, forward fill and forward returns then reuse the partitioning."""
+    kinds are unioned and hash-partitioned by (ticker, block) a single time.
+    The rolling indicators are windows partitioned by (ticker, block, kind):
+    the same exchange satisfies them, and report rows form their own window
+    partitions so ma20/ma60 see exactly the daily rows, as in the indicator
+    view.  The collapse, forward fill and forward returns then reuse the
+    partitioning.
+
+    Where ``blocks`` cuts a ticker, a block also gets (and drops at the end)
+    the 59 daily rows before it, the first days after it and one row with the
+    report fields that enter it."""
     daily = adjusted.filter(F.col("date") >= F.lit(cfg.indicator_floor)) \
                     .select("date", "ticker", "open", "high", "low", "adj_close", "volume")
     s = daily
     for part in (rev, fin, bal):
         s = s.unionByName(part, allowMissingColumns=True)
-    s = _with_kind(s).repartition("ticker")
+    s = I._tag(s, blocks).withColumn("_own", F.lit(True))
+    if blocks is not None:
+        for rows in (I.halo_rows(daily.select("date", "ticker", "adj_close"), blocks, cfg),
+                     days_after(daily, (rev, fin, bal), blocks, cfg), entering_reports((rev, fin, bal), blocks)):
+            s = s.unionByName(rows, allowMissingColumns=True)
+    keys = I.KEYS
+    s = _with_kind(s).repartition(*keys)
     is_daily = F.col("_kind") == 0
     order = [F.col("date"), F.col("adj_close")]
-    ma20 = W.rolling_mean("adj_close", order, cfg.ma_short, key=["ticker", "_kind"])
-    ma60 = W.rolling_mean("adj_close", order, cfg.ma_long, key=["ticker", "_kind"])
+    ma20 = W.rolling_mean("adj_close", order, cfg.ma_short, key=[*keys, "_kind"])
+    ma60 = W.rolling_mean("adj_close", order, cfg.ma_long, key=[*keys, "_kind"])
     s = (s.withColumn("ma20", F.when(is_daily, ma20))
           .withColumn("ma60", F.when(is_daily, ma60))
           .withColumn("bias20", X.safe_div(F.col("adj_close") - F.col("ma20"), F.col("ma20"))))
-    return _fill_and_returns(_collapse(s), cfg)
+    out = _fill_and_returns(_collapse(s, keys, ["_own"]), cfg, keys, ["_own"])
+    return out.filter("_own").drop("_own")
+
+
+def days_after(daily: DataFrame, reports: tuple, blocks: Blocks, cfg: PanelConfig = DEFAULT) -> DataFrame:
+    """The first days after each block with their close: as many as the longest forward return looks ahead.
+
+    Days are collapsed rows, so a day with reports only counts (Quirk 5)."""
+    rows = blocks.only(daily.select("ticker", "date", "adj_close"))
+    for part in reports:
+        rows = rows.unionByName(blocks.only(part.select("ticker", "date")), allowMissingColumns=True)
+    days = blocks.tag(rows.filter(F.col("date") >= F.lit(cfg.panel_floor))) \
+                 .groupBy(*I.KEYS, "date").agg(F.max("adj_close").alias("adj_close"))
+    return blocks.next_rows(days, max(cfg.lead_days)).withColumn("_own", F.lit(False))
+
+
+def entering_reports(reports: tuple, blocks: Blocks) -> DataFrame:
+    """One row per block, dated the day before it: each report field's last non-NULL value before the block."""
+    s = None
+    for part in reports:
+        part = blocks.only(part)
+        s = part if s is None else s.unionByName(part, allowMissingColumns=True)
+    s = _with_kind(blocks.tag(s).withColumns({c: F.lit(None).cast("double") for c in PRICE_MAX}))
+    c = _collapse(s, I.KEYS)
+    filled = c.select(*I.KEYS, F.row_number().over(Window.partitionBy(*I.KEYS).orderBy(F.col("date").desc())).alias("_r"),
+                      *[W.forward_fill(F.col(alias).getField(field), "date", I.KEYS).alias(dst)
+                        for _, _, alias, names in BOXES for field, dst in names.items()])
+    state = blocks.entering(filled.filter("_r = 1"), FILL_COLUMNS)
+    kinds = {box: part.schema[box].dataType for (box, *_), part in zip(BOXES, reports, strict=True)}
+    boxes = [F.struct(*[F.col(names[f]).alias(f) for f in kinds[box].names]).alias(box) for box, _, _, names in BOXES]
+    return state.select("ticker", BLOCK, F.date_sub("_start", 1).alias("date"), *boxes, F.lit(False).alias("_own"))
 
 
 # --------------------------------------------------------------------------- M18/M19

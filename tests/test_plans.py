@@ -58,24 +58,39 @@ def _ancestors(plan: str, line_no: int) -> list[str]:
     return out
 
 
+def _main_and_cut(plan: str, table: str) -> tuple[list, list]:
+    """Paths to the root of the scans of a table: those of all rows, and those that meet the tickers cut into blocks
+    (a semi join with the bounded, broadcast table of block starts; empty in usual data)."""
+    scans = [i for i, ln in enumerate(plan.splitlines()) if "FileScan parquet" in ln and table in ln]
+    paths = [_ancestors(plan, i) for i in scans]
+    cut = [p for p in paths if any("LeftSemi" in a for a in p)]
+    return [p for p in paths if p not in cut], cut
+
+
+def _exchanges(path):
+    return [a for a in path if a.startswith("Exchange")]
+
+
 def test_master_shuffles_daily_rows_once(built):
     plan = _plan(built._mart_vbt_master_dataset())
     assert "SortMergeJoin" not in plan
-    lines = plan.splitlines()
-    scans = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "int_daily_prices_adjusted" in ln]
-    assert len(scans) == 1                                   # the daily table is read once
-    exchanges = [a for a in _ancestors(plan, scans[0]) if a.startswith("Exchange")]
+    main, cut = _main_and_cut(plan, "int_daily_prices_adjusted")
+    assert len(main) == 1                                    # the daily table is read once
+    exchanges = _exchanges(main[0])
     assert len(exchanges) == 1 and exchanges[0].startswith("Exchange hashpartitioning(ticker")
+    for path in cut:                                         # halo rows and days ahead: of cut tickers only
+        semi = next(k for k, a in enumerate(path) if "LeftSemi" in a)
+        assert not any(a.startswith("Exchange") for a in path[:semi])
 
 
 def test_adjusted_prices_shuffle_prices_once(built):
     plan = _plan(built._int_daily_prices_adjusted())
-    lines = plan.splitlines()
-    scans = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "lineitem" in ln]
-    price_paths = [[a for a in _ancestors(plan, i) if a.startswith("Exchange")] for i in scans]
+    main, _ = _main_and_cut(plan, "lineitem")
     # every lineitem-derived input (prices, dividends) crosses exactly one ticker exchange after its
     # adapter/staging aggregation; no (ticker, date) co-partitioning exchange for a join
-    for path in price_paths:
+    assert main
+    for path in main:
         assert sum(e.startswith("Exchange hashpartitioning(ticker") and "d#" not in e and "ex_date" not in e
-                   for e in path) == 1
+                   for e in _exchanges(path)) == 1
+    # (below the semi joins stands the adapters' aggregation of lineitem, which a stored source table does not have)
     assert "SortMergeJoin" not in plan
