@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import dcf
+from pitpanel.operators import quality as Q
 from pitpanel.operators.actions import all_steps
 from pitpanel.operators.calendar import TradingDayMap, trading_calendar
 from pitpanel.operators.segments import Blocks
@@ -26,6 +27,8 @@ from pitpanel.sources.readers import Sources
 
 PARTITIONED = ("int_daily_prices_adjusted", "mart_vbt_master_dataset", "mart_factor_dataset",
                "mart_expectation_dataset")
+#: Stored panels whose rows are checked while they are written.
+CHECKED = ("mart_vbt_master_dataset",)
 TABLES = ("dim_dcf_surface", "dim_dcf_lookup", "mart_vbt_valuation_dataset")
 
 
@@ -33,8 +36,9 @@ class Build:
     """Lazily built models; ``t[name]`` returns (and memoises) a model."""
 
     def __init__(self, spark: SparkSession, src: Sources, cfg: PanelConfig = DEFAULT,
-                 out_dir: str | None = None):
-        self.spark, self.src, self.cfg, self.out_dir = spark, src, cfg, out_dir
+                 out_dir: str | None = None, as_of: dt.date | None = None):
+        self.spark, self.src, self.cfg, self.out_dir, self.as_of = spark, src, cfg, out_dir, as_of
+        self.watched: dict[str, Q.Watch] = {}
         self._m: dict[str, DataFrame] = {}
         self._steps: DataFrame | None = None
         self._days: TradingDayMap | None = None
@@ -97,7 +101,9 @@ class Build:
             return df
         path = f"{self.out_dir}/{name}"
         if name in PARTITIONED:
-            sinks.write_month_partitioned(df, path, months=self.month_rows)
+            if name in CHECKED:
+                self.watched[name] = Q.Watch(Q.row_conditions(self.cfg.market_time_zone, self.as_of))
+            sinks.write_month_partitioned(df, path, months=self.month_rows, watch=self.watched.get(name))
             return sinks.read_panel(self.spark, path).drop(sinks.MONTH_COL)
         sinks.write_table(df, path)
         return self.spark.read.parquet(path)

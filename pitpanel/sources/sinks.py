@@ -84,7 +84,8 @@ def month_rows(rows: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def write_month_partitioned(df: DataFrame, path: str, date_col: str = "date", cluster_col: str = "ticker",
-                            months: DataFrame | None = None, rows_per_piece: int = ROWS_PER_PIECE) -> None:
+                            months: DataFrame | None = None, rows_per_piece: int = ROWS_PER_PIECE,
+                            watch=None) -> None:
     """Partition by month of ``date_col``, cluster by ``cluster_col``.
 
     ``rebalance`` on the month and a hash bucket of the cluster column:
@@ -95,7 +96,8 @@ def write_month_partitioned(df: DataFrame, path: str, date_col: str = "date", cl
     task, small ones do not fall apart into many files, and every file is
     sorted by (ticker, date): a ticker filter skips files and row groups.
     Unlike a range repartition it needs no sampling pass, which would compute
-    the whole input twice.
+    the whole input twice.  ``watch`` (of ``operators.quality``) counts rows as
+    they are written.
     """
     out = df.withColumn(MONTH_COL, F.trunc(F.col(date_col), "MM"))
     bucket = F.lit(0)
@@ -106,6 +108,7 @@ def write_month_partitioned(df: DataFrame, path: str, date_col: str = "date", cl
     out = (out.withColumn("_bucket", bucket).select(*df.columns, MONTH_COL, "_bucket")
            .hint("rebalance", MONTH_COL, "_bucket").drop("_bucket")
            .sortWithinPartitions(MONTH_COL, cluster_col, date_col))
+    out = out if watch is None else watch.on(out)
     replace_table(df.sparkSession, path, lambda folder: out.write.partitionBy(MONTH_COL).parquet(folder))
 
 
