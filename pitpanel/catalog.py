@@ -8,6 +8,7 @@ hashes identically to the DuckDB twin in ``twin/sql.py``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,8 @@ def _flat(name: str, boxes: dict[str, str]):
     return q
 
 
+#: Closing date of the check for later rows as of a given day.
+CLOSING_DATE = dt.date(2015, 6, 30)
 FIN_KEYS = ["ticker", "year_quarter"]
 
 
@@ -170,6 +173,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # data quality
     "dq_duplicate_keys": _master_check(Q.duplicate_keys),
     "dq_future_dates": _master_check(Q.future_dates),
+    "dq_future_dates_as_of": _master_check(lambda df: Q.future_dates(df, as_of=CLOSING_DATE)),
     "dq_negative_volume": _master_check(Q.negative_volume),
     "dq_not_null": _master_check(Q.null_keys),
     "dq_stack_duplicate_keys": _stack_duplicates,

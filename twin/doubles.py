@@ -37,6 +37,7 @@ DOUBLE_COLUMNS = {
     'dcf_surface': ['growth_rate', 'discount_rate', 'terminal_growth_rate', 'explicit_pe_multiplier', 'terminal_pe_multiplier', 'implied_pe'],
     'dq_duplicate_keys': [],
     'dq_future_dates': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
+    'dq_future_dates_as_of': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'dq_negative_volume': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'dq_not_null': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'dq_stack_duplicate_keys': [],
