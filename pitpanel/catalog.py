@@ -9,18 +9,22 @@ hashes identically to the DuckDB twin in ``twin/sql.py``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.config import DEFAULT
+from pitpanel.config import DEFAULT, PanelConfig
 from pitpanel.operators import quality as Q
 from pitpanel.operators.actions import with_action_factors
 from pitpanel.operators.dcf import LOOKUP_GROUP
 from pitpanel.operators.nearest import NearestIndex
+from pitpanel.operators.neighbours import nearest_by_merge
 from pitpanel.plans import marts as M
 from pitpanel.plans.dag import Build
+from pitpanel.session import ensure_checkpoint_dir
 from pitpanel.sources.adapters import sources_from_lineitem
 from pitpanel.stable import flatten, stabilize
 
@@ -36,6 +40,22 @@ def _model(name: str, cols: list[str] | None = None):
     return q
 
 
+#: Rows of a ticker beyond which the queries below cut it, so that the driver's tickers are cut.
+FEW_ROWS = 100
+
+
+def _with_tables(spark: SparkSession, sf_dir: str, cfg: PanelConfig) -> Build:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitpanel-build-{uuid.uuid4().hex}"
+    return Build(spark, sources_from_lineitem(spark, sf_dir), cfg, out_dir=folder)
+
+
+def _in_blocks(name: str):
+    """The model as a build with tables makes it, every ticker cut into blocks."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _with_tables(spark, sf_dir, replace(DEFAULT, block_rows=FEW_ROWS, block_pieces=1 << 30))[name]
+    return q
+
+
 def _flat(name: str, boxes: dict[str, str]):
     def q(spark, sf_dir):
         df = _build(spark, sf_dir)[name]
@@ -71,6 +91,18 @@ def _master_check(check):
     return q
 
 
+def _valuation_by_merge(spark, sf_dir):
+    """M18 with the sorted merge in place of the broadcast grid: whatever the number of candidates."""
+    b = _with_tables(spark, sf_dir, DEFAULT)
+    out = M.valuation_base(b["mart_vbt_master_dataset"])
+    s = b["dim_dcf_surface"].filter((F.col("discount_rate_pct") == DEFAULT.valuation_discount_pct)
+                                    & (F.col("terminal_growth_rate_pct") == DEFAULT.valuation_terminal_pct))
+    for h in DEFAULT.valuation_years:
+        out = nearest_by_merge(out, "pe_ttm", s.filter(F.col("high_growth_years") == h), "implied_pe", ["growth_rate_pct", "implied_pe"],
+                               {f"implied_growth_{h}y_pct": "growth_rate_pct", f"implied_pe_{h}y": "implied_pe"}, least=1000)
+    return out.select("date", "ticker", "d_close", "eps_ttm", "pe_ttm", *M.VALUATION_COLS)
+
+
 def _dcf_lookup(spark, sf_dir):
     """The whole M17 grid (all parameter sets), each row with the number of
     panel rows of the expectation universe (2010 on, eps_ttm > 0, 0 < pe <= 300)
@@ -129,6 +161,8 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balance_projection": _model("stg_balance_sheet"),
     # prices
     "adjusted_prices": _model("int_daily_prices_adjusted"),
+    "adjusted_prices_in_blocks": _in_blocks("int_daily_prices_adjusted"),
+    "daily_indicators_in_blocks": _in_blocks("int_daily_indicators"),
     "daily_indicators": _model("int_daily_indicators"),
     "trading_calendar": _model("trading_calendar"),
     "corporate_action_factors": _corporate_action_factors,
@@ -155,12 +189,14 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stack_collapse": _collapse,
     # master panel
     "master_panel": _model("mart_vbt_master_dataset"),
+    "master_panel_in_blocks": _in_blocks("mart_vbt_master_dataset"),
     "forward_returns": _model("mart_vbt_master_dataset", ["date", "ticker", "d_close", "ret_1d", "ret_5d",
                                                           "ret_10d", "ret_20d"]),
     "pe_pb": _model("mart_vbt_master_dataset", ["date", "ticker", "d_close", "eps_ttm",
                                                 "book_value_per_share", "pe_ttm", "pb_ratio"]),
     # valuation and factors
     "valuation_nearest": _model("mart_vbt_valuation_dataset"),
+    "valuation_by_merge": _valuation_by_merge,
     "valuation_pivot": _model("mart_vbt_valuation_dataset", ["date", "ticker", *M.VALUATION_COLS]),
     "factor_dataset": _model("mart_factor_dataset"),
     # expectations

@@ -61,14 +61,14 @@ class Build:
         return self._days
 
     @property
-    def blocks(self) -> Blocks:
-        """Where tickers with very many price rows are cut; computed once per build (stored with its tables)."""
-        if self._blocks is None:
-            self._blocks = I.price_blocks(self["stg_daily_prices_raw"], self.cfg)
-            if self.out_dir is not None:
-                path = f"{self.out_dir}/ticker_blocks"
-                sinks.write_table(self._blocks.table, path)
-                self._blocks = Blocks.of(self.spark.read.parquet(path))
+    def blocks(self) -> Blocks | None:
+        """Where tickers with very many price rows are cut: found once per build and stored with its tables.
+
+        A build without tables keeps whole tickers (its plans would repeat the search for starts in every branch)."""
+        if self._blocks is None and self.out_dir is not None:
+            path = f"{self.out_dir}/ticker_blocks"
+            sinks.write_table(I.price_blocks(self["stg_daily_prices_raw"], self.cfg).table, path)
+            self._blocks = Blocks.of(self.spark.read.parquet(path))
         return self._blocks
 
     @property

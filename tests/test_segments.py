@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pitpanel.config import PanelConfig
 from pitpanel.operators.segments import BLOCK, Blocks
 from pitpanel.plans.dag import Build
+from pitpanel.session import ensure_checkpoint_dir
 from pitpanel.sources import schemas
 from pitpanel.stable import stabilize
 from tests import fixtures as fx
@@ -43,6 +45,10 @@ def long_and_short(spark, days=900, copies=1, seed=3):
         corporate_actions=fx.actions(spark, [("L", dates[90], 0.5, 0.5, 2.0), ("L", dates[-60], 0.25, 0.25, 4.0)]))
 
 
+def folder(spark):
+    return f"{ensure_checkpoint_dir(spark)}/test-segments-{uuid.uuid4().hex[:8]}"
+
+
 def same(a, b):
     a, b = stabilize(a), stabilize(b)
     assert a.columns == b.columns
@@ -56,8 +62,8 @@ def same(a, b):
 def test_cut_tickers_equal_whole_tickers(spark, days, copies, rows, models):
     src = long_and_short(spark, days, copies)
     cut = PanelConfig(block_rows=rows)
-    one, many = Build(spark, src, WHOLE), Build(spark, src, cut)
-    assert one.blocks.table.count() == 0
+    one, many = Build(spark, src, WHOLE), Build(spark, src, cut, out_dir=folder(spark))
+    assert Build(spark, src, WHOLE, out_dir=folder(spark)).blocks.table.count() == 0
     starts = {r._cut: r._starts for r in many.blocks.table.collect()}
     assert set(starts) == {"L"} and len(starts["L"]) >= 5
     for model in models:
@@ -104,8 +110,9 @@ def test_a_hot_ticker_spreads_over_tasks(spark):
     src = long_and_short(spark, 900, 4)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        prices = Build(spark, src, WHOLE)["stg_daily_prices_raw"]
-        blocks = Build(spark, src, PanelConfig(block_rows=64)).blocks
+        build = Build(spark, src, PanelConfig(block_rows=64), out_dir=folder(spark))
+        prices, blocks = build["stg_daily_prices_raw"], build.blocks
+
         def spread(keys, df):
             sizes = sorted(r["count"] for r in df.repartition(8, *keys).groupBy(F.spark_partition_id()).count().collect())
             return sizes[-1] / sizes[len(sizes) // 2]

@@ -7,7 +7,9 @@ DOUBLE_COLUMNS = {
     'revenue_dedup': ['mom_growth_pct', 'yoy_growth_pct', 'ytd_growth_pct'],
     'balance_projection': ['current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share'],
     'adjusted_prices': ['open', 'high', 'low', 'close', 'adj_close'],
+    'adjusted_prices_in_blocks': ['open', 'high', 'low', 'close', 'adj_close'],
     'daily_indicators': ['open', 'high', 'low', 'adj_close', 'ma20', 'ma60', 'bias20', 'day_amplitude'],
+    'daily_indicators_in_blocks': ['open', 'high', 'low', 'adj_close', 'ma20', 'ma60', 'bias20', 'day_amplitude'],
     'trading_calendar': [],
     'corporate_action_factors': ['per_share_factor', 'share_factor', 'eps_per_share_factor'],
     'revenue_streak': ['mom_growth_pct', 'yoy_growth_pct', 'ytd_growth_pct', 'yoy_lag1', 'yoy_lag2'],
@@ -24,9 +26,11 @@ DOUBLE_COLUMNS = {
     'event_stack': ['open', 'high', 'low', 'adj_close', 'ma20', 'ma60', 'bias20', 'day_amplitude', 'rev_yoy_growth_pct', 'rev_mom_growth_pct', 'rev_ytd_growth_pct', 'fin_q_revenue', 'fin_revenue_ttm', 'fin_q_operating_income', 'fin_operating_income_ttm', 'fin_q_net_income', 'fin_net_income_ttm', 'fin_operating_margin', 'fin_operating_margin_ttm', 'fin_net_margin', 'fin_net_margin_ttm', 'fin_ebit_volatility', 'fin_net_margin_volatility', 'fin_eps', 'fin_eps_ttm', 'fin_eps_yoy_growth', 'bs_current_assets', 'bs_non_current_assets', 'bs_total_assets', 'bs_current_liabilities', 'bs_non_current_liabilities', 'bs_total_liabilities', 'bs_share_capital', 'bs_share_capital_ntd', 'bs_shares_outstanding', 'bs_capital_surplus', 'bs_retained_earnings', 'bs_total_equity', 'bs_book_value_per_share', 'bs_debt_ratio', 'bs_equity_ratio', 'bs_current_ratio'],
     'stack_collapse': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'rev_yoy_growth_pct', 'rev_mom_growth_pct', 'rev_ytd_growth_pct', 'fin_q_revenue', 'fin_revenue_ttm', 'fin_q_operating_income', 'fin_operating_income_ttm', 'fin_q_net_income', 'fin_net_income_ttm', 'fin_operating_margin', 'fin_operating_margin_ttm', 'fin_net_margin', 'fin_net_margin_ttm', 'fin_ebit_volatility', 'fin_net_margin_volatility', 'fin_eps', 'fin_eps_ttm', 'fin_eps_yoy_growth', 'bs_current_assets', 'bs_non_current_assets', 'bs_total_assets', 'bs_current_liabilities', 'bs_non_current_liabilities', 'bs_total_liabilities', 'bs_share_capital', 'bs_share_capital_ntd', 'bs_shares_outstanding', 'bs_capital_surplus', 'bs_retained_earnings', 'bs_total_equity', 'bs_book_value_per_share', 'bs_debt_ratio', 'bs_equity_ratio', 'bs_current_ratio'],
     'master_panel': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
+    'master_panel_in_blocks': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'financial_q_revenue', 'financial_revenue_ttm', 'financial_q_operating_income', 'financial_operating_income_ttm', 'financial_q_net_income', 'financial_net_income_ttm', 'op_margin', 'operating_margin_ttm', 'net_margin', 'net_margin_ttm', 'ebit_volatility', 'net_margin_volatility', 'eps', 'eps_ttm', 'eps_yoy_growth', 'current_assets', 'non_current_assets', 'total_assets', 'current_liabilities', 'non_current_liabilities', 'total_liabilities', 'share_capital', 'share_capital_ntd', 'shares_outstanding', 'capital_surplus', 'retained_earnings', 'total_equity', 'book_value_per_share', 'debt_ratio', 'equity_ratio', 'current_ratio', 'pe_ttm', 'pb_ratio', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'forward_returns': ['d_close', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'pe_pb': ['d_close', 'eps_ttm', 'book_value_per_share', 'pe_ttm', 'pb_ratio'],
     'valuation_nearest': ['d_close', 'eps_ttm', 'pe_ttm', 'implied_pe_3y', 'implied_pe_5y', 'implied_pe_10y'],
+    'valuation_by_merge': ['d_close', 'eps_ttm', 'pe_ttm', 'implied_pe_3y', 'implied_pe_5y', 'implied_pe_10y'],
     'valuation_pivot': ['implied_pe_3y', 'implied_pe_5y', 'implied_pe_10y'],
     'factor_dataset': ['d_open', 'd_high', 'd_low', 'd_close', 'ma20', 'ma60', 'bias20', 'price_ma20_gap', 'price_ma60_gap', 'yoy_growth', 'mom_growth_pct', 'ytd_growth_pct', 'eps', 'eps_ttm', 'eps_yoy_growth', 'op_margin', 'pe_ttm', 'implied_pe_3y', 'implied_pe_5y', 'implied_pe_10y', 'ret_1d', 'ret_5d', 'ret_10d', 'ret_20d'],
     'monthly_unfill': ['yoy_growth'],
