@@ -5,9 +5,9 @@ the corpus (smaller document, or earlier in the same one), judged on the input.
 
 1. Every window has an anchor: its smallest hashed 6-word phrase.  Equal windows have equal anchors, so only windows
    whose anchor occurs twice in the corpus can recur (``recurrence`` finds these, a seventh of the positions).
-2. The passages around recurring anchors go to the anchors' shards, equal ones of a task combined.  A shard confirms the
-   phrases (windows) that recur in different passages word by word, compiles Aho-Corasick automata of them and streams
-   every passage through, so every occurrence of every recurring phrase is located, and the earliest is known.
+2. The passages around recurring anchors go to the anchors' shards, equal ones of a task combined.  A shard confirms word
+   by word which phrases (windows) recur, compiles Aho-Corasick automata of them and streams every passage through: where
+   a phrase occurs is known from the automata alone.  Then all places of a phrase but the earliest are late.
 3. An anchor with very many occurrences is spread over several shards; the earliest occurrences that these find for the
    same phrase meet in one more small exchange.
 4. The located occurrences are joined to the documents.
@@ -37,8 +37,8 @@ SIZE = 20
 ANCHOR = 6
 #: Occurrences of an anchor that one shard takes; more are spread.
 HOT = 5000
-#: Passages of one automaton.
-PASSAGES = 20_000
+#: Passages of one automaton (about 2 kB a phrase).
+PASSAGES = 4_000
 NO_ID = -(1 << 63)
 OCCURRENCE = np.dtype([("id", "<i8"), ("text", "<i8"), ("start", "<i4")])
 
@@ -149,27 +149,38 @@ def _letter(k: int) -> str:
     return chr(k + 1 if k < 0xD7FF else k + 0x801)
 
 
-def locate(passages: list[tuple[bytes, ...]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, offset, phrase) of every occurrence of the phrases of ``size`` words that recur in the passages."""
+def confirmed(texts: list[str], repeated: list[bool], size: int) -> set[str]:
+    """The phrases of ``size`` letters that recur: in a text that occurs more than once, or in two places of the texts."""
+    seen, out = set(), set()
+    for text, again in zip(texts, repeated, strict=True):
+        for k in range(len(text) - size + 1):
+            phrase = text[k : k + size]
+            (out if again or phrase in seen else seen).add(phrase)
+    return out
+
+
+def automaton(phrases: set[str]) -> ahocorasick.Automaton:
+    out = ahocorasick.Automaton()
+    for n, p in enumerate(phrases):
+        out.add_word(p, n)
+    if phrases:
+        out.make_automaton()
+    return out
+
+
+def locate(passages: list[tuple[bytes, ...]], repeated: list[bool], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, offset, phrase) of every occurrence of the phrases of ``size`` words that recur, passage by passage."""
     letters: dict[bytes, str] = {}  # every word as one letter
     for words in passages:
         for w in words:
             if w not in letters:
                 letters[w] = _letter(len(letters))
     texts = ["".join([letters[w] for w in words]) for words in passages]
-    seen, confirmed = set(), set()
-    for text in texts:
-        for k in range(len(text) - size + 1):
-            phrase = text[k : k + size]
-            (confirmed if phrase in seen else seen).add(phrase)
+    phrases = automaton(confirmed(texts, repeated, size))
     passage, offset, phrase = [], [], []
-    if confirmed:
-        automaton = ahocorasick.Automaton()
-        for n, p in enumerate(confirmed):
-            automaton.add_word(p, n)
-        automaton.make_automaton()
+    if len(phrases):
         for n, text in enumerate(texts):
-            for end, p in automaton.iter(text):
+            for end, p in phrases.iter(text):
                 passage.append(n)
                 offset.append(end - size + 1)
                 phrase.append(p)
@@ -191,26 +202,36 @@ def _located(rows: list[tuple], size: int) -> pa.RecordBatch:
     head = np.concatenate([[True], variant[1:] != variant[:-1]])
     first = every[head]  # of each variant, in order
     same = (every == first[variant]) & ~head  # a repeated row
-    windows = np.array([len(v[3]) - size + 1 for v in variants])
-    later = ~head & ~same
-    out = [np.zeros(later.sum(), np.int64), np.zeros(later.sum(), np.int64), every["id"][later], every["text"][later], every["start"][later], windows[variant[later]]]
+    later = np.flatnonzero(~head & ~same)  # occurrences of a passage after its first
     names = list(variants)
+    again = np.bincount(variant[later], minlength=len(names)) > 0
     groups: dict[tuple, list[int]] = {}
     for n, v in enumerate(names):
         groups.setdefault(v[:2], []).append(n)
-    several = np.array([n for g in groups.values() if len(g) > 1 for n in g], np.int64)
-    more = [out]
-    if len(several):
-        passage, offset, phrase = locate([names[n][3] for n in several], size)
-        if len(passage):
-            at = first[several[passage]]
-            place = at["start"] + offset
-            order = np.lexsort((place, at["text"], at["id"], phrase))
-            phrase, at, place = phrase[order], at[order], place[order]
-            lead = np.concatenate([[True], phrase[1:] != phrase[:-1]])
-            source = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-            late = (at["id"] != at["id"][source]) | (at["text"] != at["text"][source]) | (place != place[source])
-            more.append([np.zeros(late.sum(), np.int64), np.zeros(late.sum(), np.int64), at["id"][late], at["text"][late], place[late], np.ones(late.sum(), np.int64)])
+    asked = np.array([n for g in groups.values() for n in g if len(g) > 1 or again[n]], np.int64)
+    more = []
+    if len(asked):
+        passage, offset, phrase = locate([names[n][3] for n in asked], again[asked].tolist(), size)
+        passage = asked[passage]
+        # in later occurrences of a passage every located phrase is late: runs of consecutive ones
+        cut = np.flatnonzero(np.concatenate([[True], (passage[1:] != passage[:-1]) | (offset[1:] != offset[:-1] + 1)])) if len(passage) else passage
+        length = np.diff(np.append(cut, len(passage)))
+        by = np.argsort(passage[cut], kind="stable")
+        run_of, run_at, length = passage[cut][by], offset[cut][by], length[by]
+        a, b = np.searchsorted(run_of, variant[later], "left"), np.searchsorted(run_of, variant[later], "right")
+        which = np.repeat(later, b - a)
+        run = np.arange(len(which)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
+        zero = np.zeros(len(which), np.int64)
+        more.append([zero, zero, every["id"][which], every["text"][which], every["start"][which] + run_at[run], length[run]])
+        # of the first occurrences, a phrase's earliest place stays
+        at = first[passage]
+        place = at["start"] + offset
+        order = np.lexsort((place, at["text"], at["id"], phrase))
+        phrase, at, place = phrase[order], at[order], place[order]
+        lead = np.concatenate([[True], phrase[1:] != phrase[:-1]]) if len(phrase) else np.zeros(0, bool)
+        source = np.flatnonzero(lead)[np.cumsum(lead) - 1]
+        late = (at["id"] != at["id"][source]) | (at["text"] != at["text"][source]) | (place != place[source])
+        more.append([np.zeros(late.sum(), np.int64), np.zeros(late.sum(), np.int64), at["id"][late], at["text"][late], place[late], np.ones(late.sum(), np.int64)])
     best: dict[tuple, tuple] = {}  # of each shard of a hot anchor and phrase
     for n, v in enumerate(names):
         if v[2]:
@@ -223,7 +244,8 @@ def _located(rows: list[tuple], size: int) -> pa.RecordBatch:
         where = np.array(list(best.values()), np.int64)
         more.append([marks[:, 0], marks[:, 1], where[:, 0], where[:, 1], where[:, 2], np.zeros(len(where), np.int64)])
     kinds = (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([m[c] for m in more]).astype(kind)) for c, kind in enumerate(kinds)], names=["key", "more", "_id", "_hash", "start", "windows"])
+    none = np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *(m[c] for m in more)]).astype(kind)) for c, kind in enumerate(kinds)], names=["key", "more", "_id", "_hash", "start", "windows"])
 
 
 def repeated_windows(rows: DataFrame, size: int = SIZE, k: int = ANCHOR, hot: int = HOT) -> DataFrame:
