@@ -59,8 +59,8 @@ def _signature(own: np.ndarray) -> int:
 
 
 def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, class`` of each document; equal sets have equal classes (null: the empty set)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """``doc_id, mark, n_shingles, class`` of each document; equal sets have equal classes (null: the empty set); mark: a hash of the text."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -68,9 +68,9 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for _, own in _sets(batch.column("text"), n):
                 sizes.append(len(own))
                 marks.append(_signature(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())], names=["doc_id", "n_shingles", "class"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())], names=["doc_id", "mark", "n_shingles", "class"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark long, n_shingles long, class long")
 
 
 def candidate_sets(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -313,18 +313,39 @@ def _stray_links(star: DataFrame, sets: DataFrame, reach: float, percent: int, b
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, class, component_id`` of each document; component_id: the smallest doc_id reachable by links."""
+    """``doc_id, mark, n_shingles, class, root, component_id`` of each document.
+
+    component_id: the smallest doc_id reachable by links; root: a class that names the component, also where ids repeat
+    or are null (null: the empty set); mark: a hash of the text.
+    """
     sets = stored(candidate_sets(docs, text, n, percent), "sets")
     roots = components(set_links(sets, percent, block))
     classes = stored(shingle_classes(docs, doc_id, text, n), "classes")
     least = classes.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    least = least.join(roots.select(F.col("v").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    best = least.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_class = stored(least.join(best, "root").select("class", "component_id"), "components")
-    return classes.join(by_class, "class", "left").select("doc_id", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = stored(least.join(roots.select(F.col("v").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class")), "classes")
+    best = stored(least.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")  # a table of its own: the join can split a hot root
+    by_class = stored(least.join(best, "root").select("class", "root", "component_id"), "components")
+    return classes.join(by_class, "class", "left").select("doc_id", "mark", "n_shingles", "class", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without the later members of each component: the one with the smallest id stays (of repeated ids, all rows)."""
-    drop = near_duplicates(docs, doc_id, text, **options).where("doc_id != component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(drop, doc_id, "left_anti")
+    """One document of each component: that with the smallest id.
+
+    Documents are told apart by id and text, so a row that only shares its id with a near copy of another stays.  Null
+    ids come last; of equal ids in a component the text decides (by its class and hash), and of fully repeated rows one
+    stays.  Documents without words are in no component and all stay.
+    """
+    near = near_duplicates(docs, doc_id, text, **options).where("class IS NOT NULL")
+    texts = stored(near.groupBy("root", "doc_id", "class", "mark").agg(F.count("*").alias("n")), "texts")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class", "mark", "n")).alias("first")
+    best = stored(texts.groupBy("root").agg(first).select(F.col("root").alias("of"), "first.*"), "best")
+    same = F.col("k.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("k.class") == F.col("b.class")) & (F.col("k.mark") == F.col("b.mark"))
+    rest = texts.alias("k").join(best.alias("b"), F.col("k.root") == F.col("b.of")).where(~same)
+    key = lambda t, q="": t.select(F.col(f"{q}doc_id").alias("_of_id"), F.col(f"{q}mark").alias("_of_mark"))
+    is_of = F.col(f"`{doc_id}`").eqNullSafe(F.col("_of_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_of_mark"))
+    kept = docs.join(key(rest, "k."), is_of, "left_anti")
+    repeated = key(best.where("n > 1"))
+    if repeated.isEmpty():
+        return kept
+    one = kept.join(repeated, is_of, "left_semi").withColumn("_mark_of_text", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([doc_id, "_mark_of_text"])
+    return kept.join(repeated, is_of, "left_anti").unionByName(one.drop("_mark_of_text"))

@@ -75,7 +75,8 @@ def test_ngram_join_keeps_one_and_all_columns(spark):
     docs = table(spark, rows)
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _, c in near_duplicates(rows) if i == c)
+    # repeated rows of a component's first document: one of them stays
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _, c in near_duplicates(rows) if i == c})
 
 
 def test_ngram_join_empty_and_null_ids(spark):
@@ -189,3 +190,37 @@ def test_decontamination_empty(spark):
     docs, none = table(spark, [(1, "a b")]), table(spark, [], "item_id string, text string")
     assert [(r.n_words, r.n_hit) for r in decontaminate.mark(docs, none).collect()] == [(2, 0)]
     assert decontaminate.mark(table(spark, []), none).count() == 0
+
+
+def test_keep_one_decides_by_id_and_text(spark):
+    rng = random.Random(12)
+    text = lambda: " ".join(rng.choice([f"w{k}" for k in range(3000)]) for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (5, a + " x"), (5, b),          # a clean row shares its id with a near copy
+            (7, c), (7, c), (7, c), (8, c),          # repeated rows: one stays
+            (None, d), (None, d + " y"), (None, e), (3, e),   # null ids: one of d, none of e
+            (9, None), (9, ""), (9, None)]           # no words: all stay
+    got = sorted(map(str, ((r.doc_id, r.text) for r in ngram_join.keep_one(table(spark, rows)).collect())))
+    options = [sorted(map(str, [(1, a), (5, b), (7, c), (None, x), (3, e), (9, None), (9, ""), (9, None)])) for x in (d, d + " y")]
+    assert got in options
+    docs = table(spark, corpus(4))
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted({r.doc_id for r in kept.collect()}) == sorted({i for i, _, c in near_duplicates(corpus(4)) if i == c})
+    assert ngram_join.keep_one(docs.limit(0)).count() == 0
+
+
+def test_only_the_automata_locate_passages(monkeypatch):
+    import ahocorasick
+    import numpy as np
+
+    words = " ".join(f"w{k}" for k in range(30)).encode()
+    other = words + b" z"
+    found = lambda *places: np.array(list(places), substring_dedup.OCCURRENCE).tobytes()
+    rows = [(1, 0, False, words, found((1, 5, 0), (2, 6, 3))), (1, 0, False, other, found((3, 7, 0)))]
+    out = substring_dedup._located(rows, 20).to_pylist()
+    got = {(r["_id"], r["start"] + k) for r in out for k in range(r["windows"])}
+    assert got == {(2, 3 + k) for k in range(11)} | {(3, k) for k in range(11)}
+    empty = ahocorasick.Automaton()
+    monkeypatch.setattr(substring_dedup, "automaton", lambda phrases: empty)
+    assert substring_dedup._located(rows, 20).num_rows == 0
