@@ -5,10 +5,10 @@ Parquet and reread as the next one's docs.  All but the last return the columns
 have a column of the same name as an extra one of docs keeps docs' column.
 
 1. toxicity: documents that the classifier rejects go.
-2. ngram_join: of each component of near duplicates the document with the smallest id stays.
+2. ngram_join: of each component of near duplicates one document stays, that with the smallest id.
 3. substring_dedup: words in passages that also start earlier go; untouched texts stay as they are.
 4. decontamination: documents with benchmark passages go.
-5. sentencepiece: the texts as piece ids, and a sampled segmentation.
+5. sentencepiece: the texts as piece ids, and sampled segmentations.
 """
 
 from __future__ import annotations
@@ -51,9 +51,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``ids`` (the library's encoding) and ``samples`` (one sampled segmentation with its inclusion score)."""
+    """``doc_id``, ``ids`` (the library's encoding) and ``samples`` (distinct sampled segmentations with inclusion scores)."""
     ship(spark)
-    return pieces.segment(docs, public_tokenizers.path("piece_bpe_32k.model"), samples=1)
+    return pieces.segment(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [
