@@ -2,16 +2,18 @@
 
 1. Every url is cut into host and path; the longest fitting rule decides it.  Rules also label: urls that a rule blocks
    or allows are the labelled urls of the tree (or give a table of labels).
-2. A path becomes a shape: its segments, where numbers, hexadecimal ids and dates stand for their kind.  Shapes are
-   counted per host, so the tree is as large as the shapes, not the urls.
+2. A path is its segments as they stand.  Equal paths are counted per host, so the tree is as large as the paths, not the
+   urls.
 3. The tree is gone down level by level.  At each node (host and generalised segments so far) the children (next
    segments) are looked at.  A child generalises into the wildcard ``*`` if its parent branches widely, the child is rare,
    and its labelled share of bad urls does not differ statistically (two-proportion z-test) from the rest of the branch;
-   such similar branches merge and are counted as one on the next level, others keep their segment.
+   such similar branches merge and are counted as one on the next level, others keep their segment.  Only a kept segment
+   that is a number, a hexadecimal id or a date stands for its kind.
 4. Urls of equal host and generalised path are a template.  Its purity is the share of bad among its labelled urls,
-   smoothed to that of the node above, and so on up to the host, whose share is smoothed to a fixed prior; each counts as
-   one labelled url.  So a template without labels has the share of its nearest labelled node above.  Templates of at
-   least ``REJECT`` are blocked.
+   smoothed to that of the node above, and so on up to the host, whose share is smoothed to a fixed prior.  A node's
+   share is the mean of its labelled branches, each of which counts once, however many urls it has, and it counts only
+   where two branches at least are labelled: one branch says nothing about its neighbours.  So a template without labels
+   has the share of the nearest nodes above whose branches agree.  Templates of at least ``REJECT`` are blocked.
 
 Defined cases: a null url or one without ``://`` has empty host and path and is allowed by the method; empty segments
 count; repeated rows count each; without labels nothing is blocked; a segment that is a plain ``*`` counts with the
@@ -56,25 +58,26 @@ def longest_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return out
 
 
-def shape(path: Column) -> Column:
-    """The path's segments; numbers, ids and dates by kind (with their file ending)."""
+def segments(path: Column) -> Column:
+    """The path's segments."""
+    return F.split(F.substr(path, F.lit(2)), "/")
 
-    def kind(s: Column) -> Column:
-        stem = F.regexp_extract(s, r"(?s)^(.*?)(\.[A-Za-z][A-Za-z0-9]{0,4})?$", 1)
-        end = F.regexp_extract(s, r"(?s)^(.*?)(\.[A-Za-z][A-Za-z0-9]{0,4})?$", 2)
-        return (
-            F.when(stem.rlike(r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$"), F.concat(F.lit("{date}"), end))
-            .when(stem.rlike(r"^[0-9]+$"), F.concat(F.lit("{number}"), end))
-            .when(stem.rlike(r"^[0-9a-fA-F-]{16,}$"), F.concat(F.lit("{id}"), end))
-            .otherwise(s)
-        )
 
-    return F.transform(F.split(F.substr(path, F.lit(2)), "/"), kind)
+def kind(s: Column) -> Column:
+    """A segment that is a number, id or date as its kind (with its file ending), any other as it is."""
+    stem = F.regexp_extract(s, r"(?s)^(.*?)(\.[A-Za-z][A-Za-z0-9]{0,4})?$", 1)
+    end = F.regexp_extract(s, r"(?s)^(.*?)(\.[A-Za-z][A-Za-z0-9]{0,4})?$", 2)
+    return (
+        F.when(stem.rlike(r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$"), F.concat(F.lit("{date}"), end))
+        .when(stem.rlike(r"^[0-9]+$"), F.concat(F.lit("{number}"), end))
+        .when(stem.rlike(r"^[0-9a-fA-F-]{16,}$"), F.concat(F.lit("{id}"), end))
+        .otherwise(s)
+    )
 
 
 def templates(urls: DataFrame, *, wide: int = WIDE, rare: float = RARE, z: float = Z, prior: float = PRIOR, weight: float = WEIGHT) -> DataFrame:
     """``host, shape, template, n, labelled, bad, purity`` of every shape; ``urls``: ``host, path, bad`` (0, 1 or null)."""
-    shapes = urls.groupBy("host", F.to_json(shape(F.col("path"))).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    shapes = urls.groupBy("host", F.to_json(segments(F.col("path"))).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     shapes = stored(shapes.withColumn("parts", F.from_json("shape", "array<string>")).withColumn("prefix", F.lit("")), "shapes")
     at, done, level = shapes, [], 0
     while not at.isEmpty():
@@ -93,18 +96,20 @@ def templates(urls: DataFrame, *, wide: int = WIDE, rare: float = RARE, z: float
         # below a node of fewer shapes than a wide branch has children, nothing generalises any more
         step = children.join(nodes.where(F.col("all_shapes") >= wide), ["host", "prefix"]).select("host", "prefix", "child", merges.alias("merges"))
         moved = at.join(step, ["host", "prefix", "child"], "left")
-        prefix = F.concat("prefix", F.lit("/"), F.when(F.col("merges"), "*").otherwise(F.col("child")))
+        prefix = F.concat("prefix", F.lit("/"), F.when(F.col("merges"), "*").otherwise(kind(F.col("child"))))
         moved = moved.select("host", "shape", "n", "labelled", "bad", "parts", prefix.alias("prefix"), (F.col("merges").isNotNull() & (F.size("parts") > level)).alias("open"))
         moved = stored(moved, "level")
-        rest = F.transform(F.slice("parts", level + 1, F.size("parts")), lambda s: F.concat(F.lit("/"), s))
+        rest = F.transform(F.slice("parts", level + 1, F.size("parts")), lambda s: F.concat(F.lit("/"), kind(s)))
         done.append(moved.where(~F.col("open")).select("host", "shape", F.concat("prefix", F.array_join(rest, "")).alias("template"), "n", "labelled", "bad"))
         at = moved.where("open").drop("open")
     named = reduce(DataFrame.union, done) if done else shapes.select("host", "shape", F.col("prefix").alias("template"), "n", "labelled", "bad")
     total = stored(named.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad"))), "totals")
-    # the nodes above a template: its host (depth 1) and its shorter prefixes
-    above = F.transform(F.sequence(F.lit(1), F.size(F.split("template", "/")) - 1), lambda k: F.struct(k.alias("depth"), F.xxhash64(F.call_function("substring_index", F.col("template"), F.lit("/"), k)).alias("node")))
+    # the nodes above a template: its host (depth 1) and its shorter prefixes, each with the branch that leads on
+    upto = lambda k: F.xxhash64(F.call_function("substring_index", F.col("template"), F.lit("/"), k))
+    above = F.transform(F.sequence(F.lit(1), F.size(F.split("template", "/")) - 1), lambda k: F.struct(k.alias("depth"), upto(k).alias("node"), upto(k + 1).alias("branch")))
     above = total.select("host", "template", "labelled", "bad", F.explode(above).alias("at")).select("host", "template", "labelled", "bad", "at.*")
-    known = above.where("labelled > 0").groupBy("host", "depth", "node").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    branches = above.where("labelled > 0").groupBy("host", "depth", "node", "branch").agg((F.sum("bad") / F.sum("labelled")).alias("share"))
+    known = branches.groupBy("host", "depth", "node").agg(F.count("*").alias("labelled"), F.sum("share").alias("bad")).where("labelled > 1")
     chain = above.drop("labelled", "bad").join(known, ["host", "depth", "node"]).groupBy("host", "template").agg(F.sort_array(F.collect_list(F.struct("depth", "labelled", "bad"))).alias("chain"))
 
     def smoothed(share: Column, node: Column) -> Column:
@@ -133,5 +138,5 @@ def judge(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", rules
     if labels is not None:
         known = known.join(labels.groupBy(F.col("url")).agg(F.max("bad").alias("told")), "url", "left").withColumn("bad", F.coalesce("bad", "told"))
     tree = stored(templates(known.select("host", "path", "bad"), **options).select("host", "shape", "template", "purity"), "templates")
-    rows = rows.withColumn("shape", F.to_json(shape(F.col("path"))))
+    rows = rows.withColumn("shape", F.to_json(segments(F.col("path"))))
     return rows.join(tree, ["host", "shape"], "left").select("page_id", "host", "path", "rule", "template", "purity", F.coalesce("by_rule", F.when(F.col("purity") >= reject, "block").otherwise("allow")).alias("verdict"))
