@@ -6,8 +6,9 @@ the corpus (smaller document, or earlier in the same one), judged on the input.
 1. Every window has an anchor: its smallest hashed 6-word phrase.  Equal windows have equal anchors, so only windows
    whose anchor occurs twice in the corpus can recur (``recurrence`` finds these, a seventh of the positions).
 2. The passages around recurring anchors go to the anchors' shards, equal ones of a task combined.  A shard confirms word
-   by word which phrases (windows) recur, compiles Aho-Corasick automata of them and streams every passage through: where
-   a phrase occurs is known from the automata alone.  Then all places of a phrase but the earliest are late.
+   by word what recurs: whole passages that occur more than once, and windows that different passages share.  It compiles
+   Aho-Corasick automata of both and streams every passage through: where something recurs is known from the automata
+   alone.  Then all places of a window but the earliest are late.
 3. An anchor with very many occurrences is spread over several shards; the earliest occurrences that these find for the
    same phrase meet in one more small exchange.
 4. The located occurrences are joined to the documents.
@@ -37,8 +38,8 @@ SIZE = 20
 ANCHOR = 6
 #: Occurrences of an anchor that one shard takes; more are spread.
 HOT = 5000
-#: Passages of one automaton (about 2 kB a phrase).
-PASSAGES = 4_000
+#: Passages of one automaton.
+PASSAGES = 20_000
 NO_ID = -(1 << 63)
 OCCURRENCE = np.dtype([("id", "<i8"), ("text", "<i8"), ("start", "<i4")])
 
@@ -149,42 +150,49 @@ def _letter(k: int) -> str:
     return chr(k + 1 if k < 0xD7FF else k + 0x801)
 
 
-def confirmed(texts: list[str], repeated: list[bool], size: int) -> set[str]:
-    """The phrases of ``size`` letters that recur: in a text that occurs more than once, or in two places of the texts."""
+def shared_phrases(texts: list[str], size: int) -> set[str]:
+    """The phrases of ``size`` letters that occur in two places of the texts."""
     seen, out = set(), set()
-    for text, again in zip(texts, repeated, strict=True):
+    for text in texts:
         for k in range(len(text) - size + 1):
             phrase = text[k : k + size]
-            (out if again or phrase in seen else seen).add(phrase)
+            (out if phrase in seen else seen).add(phrase)
     return out
 
 
-def automaton(phrases: set[str]) -> ahocorasick.Automaton:
+def automaton(phrases: set[str], passages: set[str]) -> ahocorasick.Automaton:
+    """Of phrases (numbered) and whole passages (by their length); what is both has both."""
     out = ahocorasick.Automaton()
-    for n, p in enumerate(phrases):
-        out.add_word(p, n)
-    if phrases:
+    number = {p: n for n, p in enumerate(phrases)}
+    for p in phrases | passages:
+        out.add_word(p, (number.get(p, -1), len(p) if p in passages else 0))
+    if len(out):
         out.make_automaton()
     return out
 
 
-def locate(passages: list[tuple[bytes, ...]], repeated: list[bool], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, offset, phrase) of every occurrence of the phrases of ``size`` words that recur, passage by passage."""
+def locate(passages: list[tuple[bytes, ...]], repeated: list[bool], shares: list[bool], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What recurs, streamed through one automaton: (passage, offset, phrase) of the phrases of ``size`` words that the
+    passages marked in ``shares`` have in common, and the passages marked in ``repeated`` that were found whole."""
     letters: dict[bytes, str] = {}  # every word as one letter
     for words in passages:
         for w in words:
             if w not in letters:
                 letters[w] = _letter(len(letters))
     texts = ["".join([letters[w] for w in words]) for words in passages]
-    phrases = automaton(confirmed(texts, repeated, size))
-    passage, offset, phrase = [], [], []
-    if len(phrases):
+    recurring_ = automaton(shared_phrases([t for t, s in zip(texts, shares, strict=True) if s], size), {t for t, r in zip(texts, repeated, strict=True) if r})
+    passage, offset, phrase, whole = [], [], [], []
+    if len(recurring_):
         for n, text in enumerate(texts):
-            for end, p in phrases.iter(text):
-                passage.append(n)
-                offset.append(end - size + 1)
-                phrase.append(p)
-    return np.array(passage, np.int64), np.array(offset, np.int64), np.array(phrase, np.int64)
+            last = len(text) - 1
+            for end, (number, length) in recurring_.iter(text):
+                if number >= 0 and shares[n]:
+                    passage.append(n)
+                    offset.append(end - size + 1)
+                    phrase.append(number)
+                if end == last and length == last + 1:
+                    whole.append(n)
+    return tuple(np.array(x, np.int64) for x in (passage, offset, phrase, whole))
 
 
 def _located(rows: list[tuple], size: int) -> pa.RecordBatch:
@@ -211,18 +219,15 @@ def _located(rows: list[tuple], size: int) -> pa.RecordBatch:
     asked = np.array([n for g in groups.values() for n in g if len(g) > 1 or again[n]], np.int64)
     more = []
     if len(asked):
-        passage, offset, phrase = locate([names[n][3] for n in asked], again[asked].tolist(), size)
-        passage = asked[passage]
-        # in later occurrences of a passage every located phrase is late: runs of consecutive ones
-        cut = np.flatnonzero(np.concatenate([[True], (passage[1:] != passage[:-1]) | (offset[1:] != offset[:-1] + 1)])) if len(passage) else passage
-        length = np.diff(np.append(cut, len(passage)))
-        by = np.argsort(passage[cut], kind="stable")
-        run_of, run_at, length = passage[cut][by], offset[cut][by], length[by]
-        a, b = np.searchsorted(run_of, variant[later], "left"), np.searchsorted(run_of, variant[later], "right")
-        which = np.repeat(later, b - a)
-        run = np.arange(len(which)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
-        zero = np.zeros(len(which), np.int64)
-        more.append([zero, zero, every["id"][which], every["text"][which], every["start"][which] + run_at[run], length[run]])
+        shares = [len(groups[names[n][:2]]) > 1 for n in asked]
+        passage, offset, phrase, whole = locate([names[n][3] for n in asked], again[asked].tolist(), shares, size)
+        passage, whole = asked[passage], asked[whole]
+        # a passage that was found whole is late in every occurrence after its first
+        found = np.zeros(len(names), bool)
+        found[whole] = True
+        which = later[found[variant[later]]]
+        windows = np.array([len(v[3]) - size + 1 for v in names])[variant[which]]
+        more.append([np.zeros(len(which), np.int64), np.zeros(len(which), np.int64), every["id"][which], every["text"][which], every["start"][which], windows])
         # of the first occurrences, a phrase's earliest place stays
         at = first[passage]
         place = at["start"] + offset

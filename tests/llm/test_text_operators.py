@@ -222,5 +222,5 @@ def test_only_the_automata_locate_passages(monkeypatch):
     got = {(r["_id"], r["start"] + k) for r in out for k in range(r["windows"])}
     assert got == {(2, 3 + k) for k in range(11)} | {(3, k) for k in range(11)}
     empty = ahocorasick.Automaton()
-    monkeypatch.setattr(substring_dedup, "automaton", lambda phrases: empty)
+    monkeypatch.setattr(substring_dedup, "automaton", lambda *patterns: empty)
     assert substring_dedup._located(rows, 20).num_rows == 0
