@@ -1,5 +1,16 @@
 """DuckDB SQL of the queries that SQL can express over whole tables."""
 
+#: 160 bits of SHA-1 as 32 base32 letters: five hex digits give four letters.
+_BASE32 = """array_to_string(list_transform(range(32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, (k // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS BIGINT) + 1, 1)), '')"""
+
+OP1 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+same AS (SELECT payload, max(page_id) AS kept FROM p GROUP BY payload)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM p JOIN same USING (payload)"""
+
 _ITEM_WORDS = r"""regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 OP10 = f"""
@@ -97,4 +108,4 @@ reach(doc_id, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, b.y FRO
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(y) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op5_ngram_join": OP5, "op7_substring_dedup": OP7, "op10_decontamination": OP10, "op11_merkle_manifest": OP11, "op12_minhash_dedup": OP12}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1, "op5_ngram_join": OP5, "op7_substring_dedup": OP7, "op10_decontamination": OP10, "op11_merkle_manifest": OP11, "op12_minhash_dedup": OP12}
