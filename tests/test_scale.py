@@ -33,3 +33,11 @@ def test_tasks_of_the_windows_follow_the_rows(spark):
     assert "hashpartitioning(ticker#" in _plan(many["int_daily_prices_adjusted"])
     assert f", {many.tasks}), REPARTITION_BY_NUM" in _plan(many["int_daily_prices_adjusted"])
     assert Build(spark, many.src).tasks is None
+
+
+def test_expectation_features_compute_the_panel_once(spark):
+    src = long_and_short(spark, 700)
+    build = Build(spark, src, scratch=folder(spark))
+    plan = _plan(build["mart_expectation_features"])
+    assert "expectation_panel" in plan and "stg_daily_prices_raw" not in plan
+    same(build["mart_expectation_features"], Build(spark, src)["mart_expectation_features"])
