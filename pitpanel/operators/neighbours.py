@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The key of the one group where there are no groups.
+ALL = "_all"
 #: Blocks of a group at most.
 PIECES = 256
 #: A group of fewer values stays one block.
@@ -35,6 +37,17 @@ def _edges(values: DataFrame, groups: list[str], pieces: int, least: int) -> Dat
     return cut.filter(F.col("_n") >= least).select(*groups, F.array_distinct("_edges").alias("_edges"))
 
 
+def _with_block(rows: DataFrame, pieces: int) -> DataFrame:
+    """``rows`` with ``_block``: how many of their ``_edges`` (sorted, fewer than ``pieces``; NULL: none) are at or below ``_v``.
+
+    Found by halving, a step a column, so a row looks at log2 of the edges and not at all of them."""
+    out = rows.withColumn("_block", F.lit(0))
+    for k in reversed(range((pieces - 1).bit_length())):
+        passed = F.get("_edges", F.col("_block") + F.lit((1 << k) - 1)) <= F.col("_v")
+        out = out.withColumn("_block", F.col("_block") + F.when(passed, F.lit(1 << k)).otherwise(F.lit(0)))
+    return out
+
+
 def neighbours(values: DataFrame, candidates: DataFrame, groups: list[str], pieces: int = PIECES, least: int = LEAST) -> DataFrame:
     """``groups, _v, _prev, _next`` for each row of ``values`` (``groups, _v``, distinct).
 
@@ -45,8 +58,9 @@ def neighbours(values: DataFrame, candidates: DataFrame, groups: list[str], piec
     rows = candidates.select(*groups, "_v", "_item", F.lit(0).alias("_kind")).unionByName(
         values.select(*groups, "_v", F.lit(None).cast(item).alias("_item"), F.lit(1).alias("_kind")))
     edges = _edges(rows, groups, pieces, least)
-    block = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col("_v"))), F.lit(0))
-    rows = rows.join(edges, groups, "left").withColumn("_block", F.when(F.col("_edges").isNull(), 0).otherwise(block)).drop("_edges")
+    if groups == [ALL]:   # one row of at most `pieces` numbers
+        edges = F.broadcast(edges)
+    rows = _with_block(rows.join(edges, groups, "left"), pieces).drop("_edges")
     keys = [*groups, "_block"]
     # candidates stand before probes of their value upwards, and again downwards
     up = Window.partitionBy(*keys).orderBy("_v", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,14 +82,14 @@ def _sides(probe: DataFrame, x, candidates: DataFrame, value_col: str, keep: lis
     value = F.col(value_col).cast("double") + F.lit(0.0)              # -0.0 is 0.0
     c = candidates.withColumn("_v", value).filter(_usable(F.col("_v")))
     if not groups:
-        c = c.withColumn("_all", F.lit(0))
-    keys = groups or ["_all"]
+        c = c.withColumn(ALL, F.lit(0))
+    keys = groups or [ALL]
     # of equal values only the smallest tiebreak can ever win
     c = c.groupBy(*keys, "_v").agg(F.min(F.struct(*[F.col(k) for k in [*order, *[k for k in keep if k not in order]]])).alias("_item"))
     column = (F.col(x) if isinstance(x, str) else x).cast("double") + F.lit(0.0)
     p = probe.withColumn("_x", column)
     if not groups:
-        p = p.withColumn("_all", F.lit(0))
+        p = p.withColumn(ALL, F.lit(0))
     values = p.filter(_usable(F.col("_x"))).select(*keys, F.col("_x").alias("_v")).distinct()
     return p, values, c.select(*keys, "_v", F.struct(F.col("_v").alias("v"), F.col("_item").alias("i")).alias("_item")), keys
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pitpanel.config import DEFAULT
 from pitpanel.operators import dcf
 from pitpanel.operators.nearest import nearest_match
-from pitpanel.operators.neighbours import first_at_or_after, nearest_by_merge
+from pitpanel.operators.neighbours import _with_block, first_at_or_after, nearest_by_merge
 
 NAN = float("nan")
 
@@ -49,3 +49,12 @@ def test_many_candidates_without_a_broadcast_grid(spark):
     assert got.count() == 60_000 and got.filter("tie IS NULL").count() == 0 and bad.count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 3, 7, 16, 256])
+def test_blocks_by_halving_equal_a_count_of_edges(spark, pieces):
+    rng = random.Random(pieces)
+    edges = sorted(rng.sample(range(1000), pieces - 1))
+    rows = [(float(rng.randrange(-5, 1010)), [float(e) for e in edges] if rng.random() < 0.9 else None) for _ in range(400)]
+    for r in _with_block(spark.createDataFrame(rows, "_v double, _edges array<double>"), pieces).collect():
+        assert r._block == sum(e <= r._v for e in r._edges or [])
