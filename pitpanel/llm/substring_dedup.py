@@ -53,11 +53,11 @@ def anchors(words: Words, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Columns c0 ... of the documents, and ``_id``, ``_hash``, ``_text``."""
+    """Columns c0 ... of the documents, the text being ``_text``, and ``_id``, ``_hash``: the text goes through the exchange once."""
     names = docs.columns
-    out = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)))
-    id_, text_ = F.col(f"c{names.index(doc_id)}"), F.col(f"c{names.index(text)}")
-    return out.select("*", F.coalesce(id_.cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text_).alias("_hash"), text_.alias("_text"))
+    out = docs.select(*(F.col(f"`{c}`").alias("_text" if c == text else f"c{k}") for k, c in enumerate(names)))
+    id_ = F.col(out.columns[names.index(doc_id)])
+    return out.select("*", F.coalesce(id_.cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("_text").alias("_hash"))
 
 
 def _recurring_anchors(rows: DataFrame, size: int, k: int) -> DataFrame:
@@ -82,6 +82,8 @@ def _recurring_anchors(rows: DataFrame, size: int, k: int) -> DataFrame:
         yield from packer.end()
 
     def per_unit(header, owner, hashes, counts, _):
+        if not len(owner):  # nothing of the unit recurs
+            return
         about = np.frombuffer(header, np.int64).reshape(-1, 2)
         order = np.lexsort((hashes, owner))
         owner, hashes, counts = owner[order], hashes[order], counts[order]
@@ -298,7 +300,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     schema = joined.select(*taken).schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
 
     def cut(batches):
-        for batch in batches:
+        # a slice of texts at a time: neither this worker nor what it returns holds a whole batch once more
+        for batch in (b.slice(i, j - i) for b in batches for i, j in slices(utf8(b.column("_text"))[1])):
             n_words, n_removed, kept = [], [], []
             for value, spans in zip(batch.column("_text"), batch.column("spans"), strict=True):
                 words = value.as_buffer().to_pybytes().split() if value.is_valid else []
@@ -319,4 +322,4 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in taken), *new], names=[*taken, "n_words", "n_removed", "kept"])
 
     out, own = joined.mapInArrow(cut, schema), ("n_words", "n_removed", "kept")
-    return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns) if c not in own), *own)
+    return out.select(*(F.col(t).alias(c) for t, c in zip(taken, docs.columns, strict=True) if c not in own), *own)

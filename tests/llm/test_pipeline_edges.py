@@ -80,3 +80,15 @@ def test_stages_of_an_empty_table(spark, tables):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs.limit(0), folder)
         assert out.count() == 0 and (name == "sentencepiece" or out.columns == docs.columns)
+
+
+def test_a_unit_without_anything_recurring_and_one_text_column(spark):
+    """Units of which no hash recurs give no rows; the text crosses the documents' exchange once."""
+    from pitpanel.llm import substring_dedup
+
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(40))) for k in range(6)] + [(6, None), (7, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup.dedup(df.repartition(3)).collect()}
+    assert [got[k].n_words for k in range(8)] == [40] * 6 + [0, 1] and not any(r.n_removed for r in got.values())
+    assert all(got[k].kept == t for k, t in rows if t) and got[6].text is None
+    assert substring_dedup._rows(df, "doc_id", "text").columns == ["c0", "_text", "_id", "_hash"]
