@@ -105,6 +105,40 @@ def test_next_rows_reach_over_small_blocks(spark):
     assert sorted(int(r.v) for r in blocks.last_rows(days, 1, [F.col("date").desc()]).collect()) == [2, 3, 4, 6]
 
 
+def test_blocks_are_found_by_halving(spark):
+    """A row looks at log2 of its ticker's starts, not at all of them, and finds the block that counting them gives."""
+    starts = [D(2020, 1, 1) + dt.timedelta(days=3 * k) for k in range(100)]
+    blocks = Blocks.of(spark.createDataFrame([("A", starts), (None, starts[:1]), ("B", starts[:8])], "_cut string, _starts array<date>"))
+    days = [D(2019, 12, 30) + dt.timedelta(days=k) for k in range(310)]
+    df = spark.createDataFrame([(t, d) for t in ("A", "B", "C", None) for d in [*days, None]], "ticker string, date date")
+    tagged = blocks.tag(df)
+    assert blocks.steps == 7 and "lambda" not in tagged._jdf.queryExecution().analyzed().toString()
+    own = {"A": starts, "B": starts[:8], None: starts[:1], "C": []}
+    got = tagged.collect()
+    assert len(got) == df.count()
+    assert all(r[BLOCK] == sum(r.date is not None and s <= r.date for s in own[r.ticker]) for r in got)
+    empty = Blocks.of(spark.createDataFrame([], "_cut string, _starts array<date>"))
+    assert {r[BLOCK] for r in empty.tag(df).collect()} == {0}
+
+
+def test_next_rows_collects_no_rows_of_several_blocks(spark):
+    """The window over blocks sees their numbers of rows; a block's rows are held once, not once for each block before it."""
+    starts = [D(2020, 1, 1) + dt.timedelta(days=5 * k) for k in range(1, 40)]
+    blocks = Blocks.of(spark.createDataFrame([("A", starts), (None, starts)], "_cut string, _starts array<date>"))
+    days = [D(2020, 1, 1) + dt.timedelta(days=k) for k in range(200) if k % 35 > 9 or k % 5 == 0]
+    tagged = blocks.tag(spark.createDataFrame([(t, d, float(k)) for t in ("A", None) for k, d in enumerate(days)], "ticker string, date date, v double"))
+    out = blocks.next_rows(tagged, 20)
+    assert "flatten" not in out._jdf.queryExecution().analyzed().toString()
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.ticker, r[BLOCK]), []).append(int(r.v))
+    block = [sum(s <= d for s in starts) for d in days]
+    for t in ("A", None):
+        for b in set(block):
+            after = [k for k in range(len(days)) if block[k] > b][:20]
+            assert sorted(got.get((t, b), [])) == after
+
+
 def test_a_hot_ticker_spreads_over_tasks(spark):
     """One ticker of 100 times the rows: no partition of the windows' exchange holds above 3 times the median."""
     src = long_and_short(spark, 900, 4)

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from pitpanel.operators import quality as Q
 from pitpanel.plans.dag import Build
 from pitpanel.session import ensure_checkpoint_dir
 from pitpanel.sources import sinks
@@ -79,6 +80,17 @@ def test_large_months_fall_into_pieces_with_their_own_tickers(spark, root):
     assert set(files(f"{root}/few").values()) == {1}
 
 
+def test_counting_rows_leaves_one_sort(spark, root):
+    """The counts stand below the sort, so that Spark sees its order when it writes the months and does not sort again."""
+    df = spark.range(100).select(F.col("id").cast("string").alias("ticker"), F.date_add(F.lit(D(2020, 1, 1)), F.col("id").cast("int")).alias("date"))
+    watch = Q.Watch({"late": F.col("date") >= F.lit(D(2020, 4, 1))})
+    out = sinks.month_sorted(df, "date", "ticker", None, 1000, watch)
+    assert out._jdf.queryExecution().analyzed().nodeName() == "Sort"
+    watch = Q.Watch({"late": F.col("date") >= F.lit(D(2020, 4, 1))})
+    sinks.write_month_partitioned(df, f"{root}/watched", watch=watch)
+    assert watch.counts() == {"rows": 100, "late": 9}
+
+
 def _partition_filters(df, table):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return [ln for ln in plan.splitlines() if "FileScan parquet" in ln and table in ln]
