@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.text import Words, alphanumeric_words, slices, utf8
+from pitpanel.llm.text import Words, alone, alphanumeric_words, slices, utf8
 
 WINDOW = 10
 #: Most characters of benchmark text in one broadcast block (one longer item makes a longer block).
@@ -159,7 +159,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
                 new = {"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()), "_hit": pa.array(hits, pa.binary()), "items": pa.array([sorted(set(x)) for x in items], pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
 
-        out = out.mapInArrow(step, schema)
+        out = out.mapInArrow(alone(step), schema)
     return out.drop("_hit", *({text} - {doc_id, *carry}))
 
 
@@ -198,7 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
                         pa.array(at[first] - words.first[row[first]], pa.int64()), pa.array(start[first], pa.int64()), pa.array(at[last] - at[first] + size[first], pa.int64()),
                     ], names=["doc_id", "item_id", "doc_start", "item_start", "n_words"])
 
-        part = rows.mapInArrow(step, f"doc_id {kind}, item_id string, doc_start long, item_start long, n_words long")
+        part = rows.mapInArrow(alone(step), f"doc_id {kind}, item_id string, doc_start long, item_start long, n_words long")
         found = part if found is None else found.unionByName(part)
     return found
 

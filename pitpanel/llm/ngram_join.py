@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm.graph import components
 from pitpanel.llm.recurrence import SCHEMA, Packer, bins_for, recurring
-from pitpanel.llm.text import U64, Words, grams, mix, slices, stored, utf8, white_space_words
+from pitpanel.llm.text import U64, Words, alone, grams, mix, slices, stored, utf8, white_space_words
 
 WORDS = 5
 #: Two sets link when 100 * |intersection| >= PERCENT * |union|.
@@ -70,7 +70,7 @@ def shingle_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 marks.append(_signature(own) if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())], names=["doc_id", "mark", "n_shingles", "class"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark long, n_shingles long, class long")
+    return rows.mapInArrow(alone(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark long, n_shingles long, class long")
 
 
 def candidate_sets(docs: DataFrame, text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -98,7 +98,7 @@ def candidate_sets(docs: DataFrame, text: str = "text", n: int = WORDS, percent:
         keep = np.flatnonzero((100 * shared >= percent * about[:, 1]) & (shared > 0))
         yield pa.RecordBatch.from_arrays([pa.array(about[keep, 0]), pa.array(about[keep, 1]), pa.array([hashes[first[k] : first[k] + shared[k]].tobytes() for k in keep], pa.binary())], names=["class", "n", "tokens"])
 
-    return recurring(docs.select(text).mapInArrow(pack, SCHEMA), bins, False, per_unit, "class long, n long, tokens binary").dropDuplicates(["class"])
+    return recurring(docs.select(text).mapInArrow(alone(pack), SCHEMA), bins, False, per_unit, "class long, n long, tokens binary").dropDuplicates(["class"])
 
 
 def _need(total, percent: int):
@@ -249,7 +249,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Da
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(owners))], names=["token", "class"])
 
-    prefix = sets.mapInArrow(prefixes, "token long, class long")
+    prefix = sets.mapInArrow(alone(prefixes), "token long, class long")
     pivots = prefix.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("top")).where("pivot != top").drop("top")
     pairs = stored(prefix.join(pivots, "token").where("class != pivot").select("pivot", "class").distinct(), "pairs")
     pieces = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("pieces"))
@@ -265,7 +265,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Da
             if group["pieces"][0].as_py() > 1:
                 yield _found(*_distances(group))
 
-    found = stored(met.repartition("pivot", "piece").sortWithinPartitions("pivot", "piece").mapInArrow(within, "a long, b long, far double"), "links")
+    found = stored(met.repartition("pivot", "piece").sortWithinPartitions("pivot", "piece").mapInArrow(alone(within), "a long, b long, far double"), "links")
     edges = found.where("far = 0").select("a", "b")
     reach = 1 - percent / 100 + 1e-9
     star = found.where("far > 0").select(F.col("a").alias("pivot"), F.col("b").alias("class"), "far")
@@ -309,7 +309,7 @@ def _stray_links(star: DataFrame, sets: DataFrame, reach: float, percent: int, b
             if ask.any():
                 yield _found(_edges(group, percent, ask), 0)
 
-    return met.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(between, "a long, b long, far double").select("a", "b")
+    return met.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(alone(between), "a long, b long, far double").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.text import U64, _powers, mix, slices, utf8
+from pitpanel.llm.text import U64, _powers, mix, slices, utf8, worker_cache
 
 SPACE = "▁"
 BEST = 6
@@ -315,7 +315,7 @@ class Vocabulary:
         return self._text(ids).removeprefix(" ")
 
 
-_VOCABULARIES: dict[tuple[str, float], Vocabulary] = {}
+_VOCABULARIES: dict[tuple[str, float], Vocabulary] = worker_cache()
 
 
 def vocabulary(path: str, alpha: float) -> Vocabulary:

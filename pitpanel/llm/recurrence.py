@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from pitpanel.llm.text import forget
+
 SCHEMA = "bin int, unit long, kind int, body binary"
 HEADER, ENTRIES = 0, 1
 UNIT = 1 << 20
@@ -98,6 +100,7 @@ def recurring(packed: DataFrame, bins: int, place: bool, per_unit: Callable, sch
     names = ["bin", "unit", "kind", "body"]
 
     def answer(group: pa.Table) -> pa.Table:
+        forget()
         kinds, units, bodies = group["kind"].to_pylist(), group["unit"].to_pylist(), group["body"].to_pylist()
         out = [(units[i], HEADER, bodies[i]) for i, k in enumerate(kinds) if k == HEADER]
         parts = [(units[i], _planes(bodies[i], sent)) for i, k in enumerate(kinds) if k == ENTRIES]
@@ -120,6 +123,7 @@ def recurring(packed: DataFrame, bins: int, place: bool, per_unit: Callable, sch
         return pa.table([pa.array([number] * len(out), pa.int32()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=names)
 
     def gather(group: pa.Table) -> pa.Table:
+        forget()
         kinds, numbers, bodies = group["kind"].to_pylist(), group["bin"].to_pylist(), group["body"].to_pylist()
         header = next(bodies[i] for i, k in enumerate(kinds) if k == HEADER)
         hashes, owners, counts, places = [], [], [], []

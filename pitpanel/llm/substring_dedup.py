@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm.recurrence import SCHEMA, Packer, bins_for, recurring
-from pitpanel.llm.text import U64, Words, grams, slices, sliding_min, utf8, white_space_words
+from pitpanel.llm.text import U64, Words, alone, grams, slices, sliding_min, utf8, white_space_words
 
 SIZE = 20
 ANCHOR = 6
@@ -95,7 +95,7 @@ def _recurring_anchors(rows: DataFrame, size: int, k: int) -> DataFrame:
         own = owner[cuts].astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(about[own, 0]), pa.array(about[own, 1]), pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())], names=["_id", "_hash", "anchors", "counts"])
 
-    return recurring(rows.select("_id", "_hash", "_text").mapInArrow(pack, SCHEMA), bins, False, per_unit, "_id long, _hash long, anchors binary, counts binary")
+    return recurring(rows.select("_id", "_hash", "_text").mapInArrow(alone(pack), SCHEMA), bins, False, per_unit, "_id long, _hash long, anchors binary, counts binary")
 
 
 def _passages(rows: DataFrame, known: DataFrame, size: int, k: int, hot: int) -> DataFrame:
@@ -142,7 +142,7 @@ def _passages(rows: DataFrame, known: DataFrame, size: int, k: int, hot: int) ->
                     pa.array([x[2] for x in found], pa.binary()), pa.array([np.array(x, OCCURRENCE).tobytes() for x in found.values()], pa.binary()),
                 ], names=["anchor", "salt", "hot", "passage", "found"])
 
-    return rows.join(known, ["_id", "_hash"]).mapInArrow(cut, "anchor long, salt int, hot boolean, passage binary, found binary")
+    return rows.join(known, ["_id", "_hash"]).mapInArrow(alone(cut), "anchor long, salt int, hot boolean, passage binary, found binary")
 
 
 LOCATED = "key long, more long, _id long, _hash long, start int, windows int"
@@ -271,7 +271,7 @@ def repeated_windows(rows: DataFrame, size: int = SIZE, k: int = ANCHOR, hot: in
         if held:
             yield _located(held, size)
 
-    found = passages.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(shard, LOCATED)
+    found = passages.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(alone(shard), LOCATED)
 
     def earliest(batches):
         last, first = None, None
@@ -288,7 +288,7 @@ def repeated_windows(rows: DataFrame, size: int = SIZE, k: int = ANCHOR, hot: in
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (ids, texts, start, windows)], names=["_id", "_hash", "start", "windows"])
 
     spread = F.when(F.col("windows") > 0, F.xxhash64("_id", "_hash")).otherwise(F.col("key"))
-    return found.repartition(spread).sortWithinPartitions("key", "more", "_id", "_hash", "start").mapInArrow(earliest, "_id long, _hash long, start int, windows int")
+    return found.repartition(spread).sortWithinPartitions("key", "more", "_id", "_hash", "start").mapInArrow(alone(earliest), "_id long, _hash long, start int, windows int")
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, hot: int = HOT) -> DataFrame:
@@ -321,5 +321,5 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
             new = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in taken), *new], names=[*taken, "n_words", "n_removed", "kept"])
 
-    out, own = joined.mapInArrow(cut, schema), ("n_words", "n_removed", "kept")
+    out, own = joined.mapInArrow(alone(cut), schema), ("n_words", "n_removed", "kept")
     return out.select(*(F.col(t).alias(c) for t, c in zip(taken, docs.columns, strict=True) if c not in own), *own)

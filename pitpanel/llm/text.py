@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -148,6 +148,34 @@ def sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]
     return low, at
 
 
+#: What operators keep in a Python worker from task to task.
+_KEPT: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dictionary for what an operator keeps in a worker from task to task, until a task of an ``alone`` step comes."""
+    _KEPT.append({})
+    return _KEPT[-1]
+
+
+def forget() -> None:
+    """Drops what operators have kept in this worker, and gives Arrow's unused memory back."""
+    if any(_KEPT):
+        for cache in _KEPT:
+            cache.clear()
+        pa.default_memory_pool().release_unused()
+
+
+def alone(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``step`` of mapInArrow without the caches of others: workers live on from stage to stage, and would hold them on top."""
+
+    def run(batches):
+        forget()
+        yield from step(batches)
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: lineage ends there, and losing an executor loses nothing."""
     folder = fresh_folder(df.sparkSession, name)

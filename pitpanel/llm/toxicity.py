@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.text import slices, stored, utf8
+from pitpanel.llm.text import alone, slices, stored, utf8
 
 BITS = 20
 SIZES = (3, 4, 5)
@@ -91,7 +91,7 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             at = np.flatnonzero(both.any(axis=0))
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(both[k, at], n[k]).astype(np.int64)) for k in (0, 1))], names=["bucket", "n0", "n1"])
 
-    got = rows.mapInArrow(count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    got = rows.mapInArrow(alone(count), "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     bucket, n0, n1 = (got[c].to_numpy() for c in ("bucket", "n0", "n1"))  # at most 2**BITS + 1 rows
     totals, counts = np.zeros(2), np.zeros((2, 1 << BITS))
     real = bucket >= 0
@@ -131,7 +131,7 @@ def _sample(rows: DataFrame, most: int, most_features: int, telling: np.ndarray)
             yield pa.RecordBatch.from_arrays([some.column("label"), some.column("mark"), some.column("weight"), pa.array([at[telling[at]].astype(np.int32).tobytes() for at in found], pa.binary())], names=["label", "mark", "weight", "at"])
 
     xs, ys, ws, used, last = [], [], [], 0, None
-    found = taken.mapInArrow(encode, "label int, mark long, weight long, at binary").orderBy("mark", "label")
+    found = taken.mapInArrow(alone(encode), "label int, mark long, weight long, at binary").orderBy("mark", "label")
     for row in found.toLocalIterator():
         if used >= most_features:
             break
@@ -199,7 +199,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float
             s = sent.value.scores(batch.column("_text"))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(s, pa.float64())], names=[*(f"c{k}" for k in range(len(keep))), "score"])
 
-    out = rows.mapInArrow(run, rows.drop("_text").schema.add("score", "double"))
+    out = rows.mapInArrow(alone(run), rows.drop("_text").schema.add("score", "double"))
     return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(keep)), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

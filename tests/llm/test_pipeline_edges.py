@@ -2,10 +2,13 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pitpanel.llm import ngram_join, pieces, toxicity
 from pitpanel.llm.text import fresh_folder, stored
 
 CLASHES = ("score", "predicted", "class", "root", "mark", "n_words", "kept", "spans", "n_hit", "_id")
@@ -92,3 +95,15 @@ def test_a_unit_without_anything_recurring_and_one_text_column(spark):
     assert [got[k].n_words for k in range(8)] == [40] * 6 + [0, 1] and not any(r.n_removed for r in got.values())
     assert all(got[k].kept == t for k, t in rows if t) and got[6].text is None
     assert substring_dedup._rows(df, "doc_id", "text").columns == ["c0", "_text", "_id", "_hash"]
+
+
+@pytest.mark.parametrize("step", [lambda docs: ngram_join.shingle_classes(docs), lambda docs: toxicity.score(docs, toxicity.Model(0.0, np.zeros(1 << toxicity.BITS)))])
+def test_tasks_drop_what_other_operators_left_in_their_worker(spark, monkeypatch, step):
+    """Workers live on from stage to stage: the parts that sentencepiece keeps must not lie on top of what other steps need."""
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    steps, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *more: steps.append(f) or plain(self, f, *more))
+    step(docs)
+    monkeypatch.setitem(pieces._VOCABULARIES, ("model", 0.1), object())
+    assert not list(steps[0](iter([])))   # a task without rows
+    assert not pieces._VOCABULARIES
