@@ -9,8 +9,9 @@ order of their keys, and the (k+1)-th key gives each sample's inclusion score ``
 Noise comes from a generator seeded by the row's key, so a retried task repeats its samples.
 
 Texts are cut where no piece can cross (no piece has the two letters side by side); the lattice then is the product of
-its parts' lattices.  Of each distinct part a worker keeps (bounded) its total mass and its ``BEST`` likeliest
-segmentations; others are drawn by backward sampling when the draw falls outside these.
+its parts' lattices.  Of each distinct part a worker keeps (bounded, in flat arrays) its total mass and its ``BEST``
+likeliest segmentations; others are drawn by backward sampling when the draw falls outside these.  Parts not met before
+are learnt together, whatever their lengths: all their lattices advance by one letter at a time.
 
 Defined cases: null and empty texts have one empty segmentation, of probability 1 and inclusion 1; a text with fewer
 than k segmentations yields all of them, with inclusion 1; the letter U+2581 reads as a space; repeated rows have equal
@@ -24,18 +25,22 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.text import U64, _powers, mix, slices, utf8, worker_cache
+from pitpanel.llm.text import SLICE, U64, _powers, mix, slices, worker_cache
 
 SPACE = "▁"
 BEST = 6
 LONGEST = 16
 #: Segmentations beyond the best ones that together have a smaller share of a part count as none.
 TINY = 1e-9
-#: Distinct parts a worker keeps.
+#: Distinct parts a worker keeps, and lattices of parts for backward sampling.
 CACHE = 500_000
+LATTICES = 1_000
+#: Letters of parts whose lattices are computed together, and parts of texts that are sampled together.
+TOGETHER = 100_000
 SAMPLES = 2
 SEED = 0
 
@@ -46,6 +51,10 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _utf8_sizes(codes: np.ndarray) -> np.ndarray:
+    return np.where(codes < 0x80, 1, np.where(codes < 0x800, 2, np.where(codes < 0x10000, 3, 4)))
+
+
 class Vocabulary:
     """Pieces of a model file, where texts can be cut, and what is known of the parts met so far."""
 
@@ -80,21 +89,29 @@ class Vocabulary:
         keys = self._keys([p for p in self.pieces])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(list(self.pieces.values()))[order]
-        self.likely = np.zeros(1 << 20, bool)  # a quick no for most substrings
-        self.likely[(self.keys >> U64(44)).astype(np.int64)] = True
+        prefix = (self.keys >> U64(44)).astype(np.int64)
+        self.bucket = np.full(1 << 20, -1, np.int32)  # the first piece of a hash prefix: a quick no for most substrings
+        self.bucket[prefix[::-1]] = np.arange(len(prefix), dtype=np.int32)[::-1]
+        self.crowd = int(np.bincount(np.unique(prefix, return_inverse=True)[1]).max())
+        sizes = np.array([len(x) for x in self.raw])
+        self.raw_flat, self.raw_first, self.raw_size = np.frombuffer(b"".join(self.raw), np.uint8), np.cumsum(sizes) - sizes, sizes
+        self.of_byte = np.array([self.byte_ids[b] for b in range(256)])
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.parts: list[str] = []
         self.lattices: dict[int, tuple] = {}
         self.rows = 0
+        self.known, self.row_of = np.zeros(0, U64), np.zeros(0, np.int32)  # hashes of the parts, sorted, and their rows
+        self.slot = np.full(1 << 20, -1, np.int32)  # the row met last for a hash prefix
         size = 1 << 12
+        self.key = np.zeros(size, U64)
         self.logs = np.zeros((size, BEST))  # log-probabilities of the best segmentations
+        self.up_to = np.zeros((size, BEST))  # shares of these, added up
+        self.rest = np.zeros((size, BEST))  # logarithms of what is left without each of these
         self.other = np.zeros(size)  # share of all others
         self.exact = np.zeros(size, bool)  # the library's encoding decodes to the part
         self.start, self.size = np.zeros((size, BEST + 1), np.int32), np.zeros((size, BEST + 1), np.int32)
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.flat, self.used = np.zeros(1 << 16, np.uint16 if len(self.names) <= 1 << 16 else np.int32), 0
 
     @staticmethod
     def _keys(parts: list[str]) -> np.ndarray:
@@ -124,137 +141,219 @@ class Vocabulary:
         begin[first[size > 0]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(codes))
+        per_text = np.diff(np.searchsorted(starts, np.append(first, len(codes))))
+        return self._numbers(codes, starts, ends), per_text
+
+    def _numbers(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The rows of parts, which are learnt if they are new."""
         keys = self._hash(codes, starts, ends)
-        distinct, at, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.place) + len(distinct) > CACHE:
+        slot = (keys >> U64(44)).astype(np.int64)
+        row = self.slot[slot].astype(np.int64)
+        missed = np.flatnonzero((row < 0) | (self.key[row] != keys))
+        if not len(missed):
+            return row
+        distinct, at, which = np.unique(keys[missed], return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        fresh = np.ones(len(distinct), bool)
+        inside = np.flatnonzero(place < len(self.known))
+        fresh[inside] = self.known[place[inside]] != distinct[inside]
+        if self.rows and self.rows + int(fresh.sum()) > CACHE:
             self.clear()
-        wanted = distinct.tolist()
-        fresh = [k for k, key in enumerate(wanted) if key not in self.place]
-        if fresh:
-            self.learn([wanted[k] for k in fresh], [joined[a:b] for a, b in zip(starts[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)])
-        known = np.array([self.place[k] for k in wanted], np.int64)
-        per_text = np.diff(np.searchsorted(starts, np.append(first, len(codes))))
-        return known[which], per_text
+            return self._numbers(codes, starts, ends)
+        found = np.zeros(len(distinct), np.int64)
+        found[~fresh] = self.row_of[place[~fresh]]
+        if fresh.any():
+            first = missed[at[fresh]]
+            found[fresh] = self.learn(distinct[fresh], codes, starts[first], ends[first] - starts[first])
+            self.known = np.insert(self.known, place[fresh], distinct[fresh])
+            self.row_of = np.insert(self.row_of, place[fresh], found[fresh])
+        row[missed] = found[which]
+        self.slot[slot[missed]] = row[missed]
+        return row
 
     # -- lattices of parts
 
-    def learn(self, keys: list[int], parts: list[str]) -> None:
-        self.place.update(zip(keys, range(self.rows, self.rows + len(parts)), strict=True))
-        first = self.rows
-        self.rows += len(parts)
-        self.parts += parts
-        while self.rows > len(self.other):
-            for name in ("logs", "other", "exact", "start", "size"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        by_length: dict[int, list[int]] = {}
-        for k, p in enumerate(parts):
-            by_length.setdefault(len(p), []).append(k)
-        for length, members in by_length.items():
-            step = max(1, 1_000_000 // (length * min(length, LONGEST)))
-            for i in range(0, len(members), step):
-                some = np.array(members[i : i + step])
-                self._lattice(first + some, [parts[k] for k in some], length)
-        self._encode(first + np.arange(len(parts)), parts)
-
-    def _keep(self, row: np.ndarray, slot: int, sizes: np.ndarray, ids: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+    @staticmethod
+    def _longer(old: np.ndarray, least: int) -> np.ndarray:
+        """The same rows with room for more; the room is not touched, so it takes no memory yet."""
+        size = len(old)
+        while size < least:
+            size *= 2
+        if size == len(old):
+            return old
+        new = np.zeros((size, *old.shape[1:]), old.dtype)
+        new[: len(old)] = old
+        return new
+
+    def learn(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Rows of new parts: runs of letters of codes."""
+        order = np.argsort(-sizes, kind="stable")
+        rows = np.empty(len(keys), np.int64)
+        rows[order] = self.rows + np.arange(len(keys))
+        starts, sizes, first = starts[order], sizes[order], self.rows
+        self.rows += len(keys)
+        for name in ("key", "logs", "up_to", "rest", "other", "exact", "start", "size"):
+            setattr(self, name, self._longer(getattr(self, name), self.rows))
+        self.key[rows] = keys
+        ends = np.cumsum(sizes)
+        i = 0
+        while i < len(sizes):
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + TOGETHER, "right")))
+            row, some = np.arange(first + i, first + j), codes[_ragged(starts[i:j], sizes[i:j])]
+            self._lattice(row, some, sizes[i:j])
+            self._encode(row, some, sizes[i:j])
+            i = j
+        return rows
+
+    def _keep(self, row: np.ndarray, slot: int | slice, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.flat = self._longer(self.flat, self.used + len(ids))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.start[row, slot] = self.used + np.cumsum(sizes) - sizes
+        self.start[row, slot] = (self.used + np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape)
         self.size[row, slot] = sizes
         self.used += len(ids)
 
-    def _encode(self, row: np.ndarray, parts: list[str]) -> None:
+    def _encode(self, row: np.ndarray, codes: np.ndarray, size: np.ndarray) -> None:
         """The library's own encoding; parts between line ends, which no piece joins."""
         line = self.byte_ids[10]
-        sizes, out = np.ones(len(parts), np.int64), []
-        for i in range(0, len(parts), 2000):
-            some = parts[i : i + 2000]
-            ids = np.array(self.model.encode("\n" + "\n".join(p for p in some if p != "\n").replace(SPACE, " ") + "\n"), np.int32)
-            lines = np.flatnonzero(ids == line)
-            got = iter(zip(lines[:-1] + 1, lines[1:], strict=True))
-            for k, p in enumerate(some):
-                a, b = (lines[0], lines[0] + 1) if p == "\n" else next(got)
-                out.append(ids[a:b])
-                sizes[i + k] = b - a
-        self._keep(row, BEST, sizes, np.concatenate(out))
-        self.exact[row] = [self._text(ids.tolist()) == p.replace(SPACE, " ") for ids, p in zip(out, parts, strict=True)]
-
-    def _lattice(self, row: np.ndarray, parts: list[str], length: int) -> None:
-        """Forward over parts of one length: masses and the BEST best segmentations."""
-        n, reach = len(parts), min(length, LONGEST)
-        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
-        power, inverse = _powers(length + 1)
-        total = np.zeros((n, length + 1), U64)
-        np.cumsum(mix(codes.astype(U64) + U64(1)) * power[:length], axis=1, out=total[:, 1:])
-        bytes_of = np.where(codes < 0x80, 1, np.where(codes < 0x800, 2, np.where(codes < 0x10000, 3, 4)))
-        mass = np.full((length + 1, n), -np.inf)
-        mass[0] = 0
-        every = np.arange(n)
-        score = np.full((length + 1, n, BEST), -np.inf)
-        score[0, :, 0] = 0
-        back = np.zeros((length + 1, n, BEST), np.int16)
-        piece = np.full((length + 1, n, reach), -2, np.int32)  # -1: bytes of one letter
-        for j in range(1, length + 1):
-            options = np.full((n, min(j, reach), BEST), -np.inf)
-            masses = np.full((min(j, reach), n), -np.inf)
-            for k in range(min(j, reach)):
-                i = j - 1 - k
-                key = mix((total[:, j] - total[:, i]) * inverse[i] + U64(j - i))
-                rows = np.flatnonzero(self.likely[(key >> U64(44)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(self.keys, key[rows]), len(self.keys) - 1)
-                same = self.keys[at] == key[rows]
-                rows, ids = rows[same], self.ids[at[same]]
-                if k and not len(rows):
-                    continue
-                weight = self.weight[ids]
-                if k == 0 and len(rows) < n:  # a letter without a piece is its bytes
-                    found = np.full(n, -1)
-                    found[rows] = ids
-                    weight = np.where(found < 0, bytes_of[:, i] * self.byte_weight, self.weight[found])
-                    rows, ids = every, found
-                piece[j, rows, k] = ids
-                options[rows, k] = score[i, rows] + weight[:, None]
-                masses[k, rows] = mass[i, rows] + weight
-            options = options.reshape(n, -1)
-            top = np.argsort(-options, axis=1, kind="stable")[:, :BEST]
-            score[j, :, : top.shape[1]] = np.take_along_axis(options, top, axis=1)
-            back[j, :, : top.shape[1]] = top
-            most = masses.max(axis=0)
-            mass[j] = most + np.log(np.exp(masses - most).sum(axis=0))
-        self.logs[row] = score[length] - mass[length][:, None]
-        other = 1 - np.exp(self.logs[row]).sum(axis=1)
-        self.other[row] = np.where(np.isneginf(score[length, :, BEST - 1]) | (other < TINY), 0, other)
-        for s in range(BEST):
-            live = ~np.isneginf(score[length, :, s])
-            at, state, steps = np.full(n, length), np.full(n, s), []
-            while True:
-                go = live & (at > 0)
-                if not go.any():
-                    break
-                which = every[go]
-                code = back[at[which], which, state[which]].astype(np.int64)
-                k, ids = code // BEST, piece[at[which], which, code // BEST]
-                steps.append((which, at[which] - 1 - k, ids))
-                state[which] = code % BEST
-                at[which] = at[which] - 1 - k
-            if not steps:
+        first = np.cumsum(size) - size
+        ends_line = (size == 1) & (codes[first] == 10)  # that part is a line end itself
+        if ends_line.any():
+            self._keep(row[ends_line], BEST, np.ones(int(ends_line.sum()), np.int64), np.full(int(ends_line.sum()), line))
+            self.exact[row[ends_line]] = True
+            codes, row, size = codes[np.repeat(~ends_line, size)], row[~ends_line], size[~ends_line]
+            first = np.cumsum(size) - size
+        codes = np.where(codes == ord(SPACE), 32, codes).astype(np.uint32)
+        for i in range(0, len(size), 2000):
+            some = size[i : i + 2000]
+            own = codes[first[i] : first[i] + int(some.sum())]
+            lines = np.full(len(own) + len(some) + 1, 10, np.uint32)
+            lines[np.arange(len(own)) + np.repeat(np.arange(1, len(some) + 1), some)] = own
+            ids = np.array(self.model.encode(lines.tobytes().decode("utf-32-le", "surrogatepass")), np.int64)
+            at = np.flatnonzero(ids == line)
+            sizes, ids = np.diff(at) - 1, ids[at[0] :]
+            ids = ids[ids != line]
+            self._keep(row[i : i + 2000], BEST, sizes, ids)
+            self.exact[row[i : i + 2000]] = self._decodes(ids, sizes, own, some)
+
+    def _decodes(self, ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Which of some id sequences decode to their parts."""
+        made = self.raw_flat[_ragged(self.raw_first[ids], self.raw_size[ids])]
+        want = np.frombuffer(codes.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
+        have = np.diff(np.concatenate([[0], np.cumsum(self.raw_size[ids])])[np.concatenate([[0], np.cumsum(sizes)])])
+        need = np.diff(np.concatenate([[0], np.cumsum(_utf8_sizes(codes))])[np.concatenate([[0], np.cumsum(letters)])])
+        good = np.ones(len(sizes), bool)
+        if np.array_equal(have, need):
+            good[np.searchsorted(np.cumsum(need), np.flatnonzero(made != want), "right")] = False
+        else:
+            good[:] = False
+        stop, end = np.cumsum(sizes), np.cumsum(letters)
+        for k in np.flatnonzero(~good):
+            good[k] = self._text(ids[stop[k] - sizes[k] : stop[k]].tolist()) == codes[end[k] - letters[k] : end[k]].tobytes().decode("utf-32-le", "surrogatepass")
+        return good
+
+    def _lattice(self, row: np.ndarray, codes: np.ndarray, size: np.ndarray) -> None:
+        """Forward over parts, the longest first, side by side: masses and the BEST best segmentations.
+
+        A part of n letters has n + 1 places; an edge is a piece, from the place before it to the one after its last letter.
+        """
+        n, many, reach = len(size), len(codes), min(int(size[0]), LONGEST)
+        first = np.cumsum(size) - size
+        part = np.repeat(np.arange(n), size)
+        place = np.arange(many) - first[part]
+        power, inverse = _powers(many + 1)
+        total = np.zeros(many + 1, U64)
+        np.cumsum(mix(codes.astype(U64) + U64(1)) * power[:many], out=total[1:])
+        found = np.full((many, reach), -2, np.int32)  # the piece of k + 1 letters that ends with a letter; -1: the letter's bytes
+        found[:, 0] = -1
+        for k in range(reach):
+            end = np.flatnonzero(place >= k) if k else np.arange(many)
+            key = mix((total[end + 1] - total[end - k]) * inverse[end - k] + U64(k + 1))
+            spot = self.bucket[(key >> U64(44)).astype(np.int64)]
+            likely = np.flatnonzero(spot >= 0)
+            end, key, spot = end[likely], key[likely], spot[likely]
+            for step in range(self.crowd):
+                at = np.minimum(spot + step, len(self.keys) - 1)
+                same = self.keys[at] == key
+                found[end[same], k] = self.ids[at[same]]
+        edge = np.flatnonzero(found.ravel() > -2)
+        letter, k = edge // reach, edge % reach
+        piece = found.ravel()[edge]
+        bytes_of = _utf8_sizes(codes)
+        weight = np.where(piece < 0, bytes_of[letter] * self.byte_weight, self.weight[piece])
+        source = letter + part[letter] - k
+        ways = np.bincount(letter, minlength=many)
+        ahead = np.cumsum(ways) - ways
+        after = np.arange(many) + part + 1
+        mass = np.zeros(many + n)
+        score = np.full((many + n, BEST), -np.inf)
+        score[first + np.arange(n), 0] = 0
+        back = np.zeros((many + n, BEST), np.uint8)
+        level = place * (LONGEST + 1) + ways  # letters of one place and number of edges go together
+        order = np.argsort(level.astype(np.uint16) if int(size[0]) * (LONGEST + 1) < 1 << 16 else level, kind="stable")
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(level[order])) + 1, [many]]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            at = order[a:b]
+            node, d = after[at], int(ways[at[0]])
+            if d == 1:
+                e = ahead[at]
+                score[node] = score[source[e]] + weight[e][:, None]
+                back[node] = np.arange(BEST)
+                mass[node] = mass[source[e]] + weight[e]
                 continue
-            which, place, ids = (np.concatenate(x) for x in zip(*steps, strict=True))
-            order = np.lexsort((place, which))
-            which, place, ids = which[order], place[order], ids[order]
-            if (ids == -1).any():
-                width = np.where(ids == -1, bytes_of[which, place], 1)
-                spread = [[self.byte_ids[b] for b in parts[w][p].encode()] if i == -1 else [i] for w, p, i in zip(which.tolist(), place.tolist(), ids.tolist(), strict=True)]
-                ids, which = np.array([i for x in spread for i in x], np.int32), np.repeat(which, width)
-            self._keep(row, s, np.bincount(which, minlength=n), ids)
+            e = ahead[at] + np.arange(d)[:, None]
+            origin, gain = source[e], weight[e]
+            masses = mass[origin] + gain
+            most = masses.max(axis=0)
+            mass[node] = most + np.log(np.exp(masses - most).sum(axis=0))
+            options = (score[origin.T] + gain.T[:, :, None]).reshape(b - a, -1)
+            top = np.argsort(-options, axis=1, kind="stable")[:, :BEST]
+            score[node] = options[np.arange(b - a)[:, None], top]
+            back[node] = top
+        last = first + size + np.arange(n)
+        logs = score[last] - mass[last][:, None]
+        share = np.exp(logs)
+        other = 1 - share.sum(axis=1)
+        other = np.where(np.isneginf(score[last, BEST - 1]) | (other < TINY), 0, other)
+        up_to = np.cumsum(share, axis=1)
+        # without others, the last segmentation there is takes the rounding
+        up_to[np.arange(BEST) >= np.where(other == 0, np.maximum(1, (share > 0).sum(axis=1)) - 1, BEST)[:, None]] = np.inf
+        self.logs[row], self.up_to[row], self.other[row] = logs, up_to, other
+        with np.errstate(divide="ignore"):
+            for s in range(BEST):
+                self.rest[row, s] = np.log(np.delete(share, s, axis=1).sum(axis=1) + other)
+        path = np.flatnonzero(~np.isneginf(score[last]).ravel())
+        own, state = path // BEST, path % BEST
+        node, steps = last[own], []
+        while len(path):
+            code = back[node, state]
+            e = ahead[node - own - 1] + code // BEST
+            steps.append((path, e))
+            node, state = source[e], code % BEST
+            go = np.flatnonzero(node > first[own] + own)
+            path, own, node, state = path[go], own[go], node[go], state[go]
+        width = np.where(piece < 0, bytes_of[letter], 1)
+        sizes = np.zeros(n * BEST, np.int64)
+        for path, e in steps:
+            sizes[path] += width[e]
+        tail = np.cumsum(sizes)
+        ids = np.zeros(int(tail[-1]), np.int64)
+        if (piece < 0).any():
+            raw = np.frombuffer(codes.tobytes().decode("utf-32-le", "surrogatepass").encode(), np.uint8)
+            begin = np.cumsum(bytes_of) - bytes_of
+        for path, e in steps:
+            tail[path] -= width[e]
+            ids[tail[path]] = piece[e]
+            lone = np.flatnonzero(piece[e] < 0)  # a letter without a piece is its bytes
+            if len(lone):
+                wide = width[e[lone]]
+                ids[_ragged(tail[path[lone]], wide)] = self.of_byte[raw[_ragged(begin[letter[e[lone]]], wide)]]
+        self._keep(row, slice(0, BEST), sizes.reshape(n, BEST), ids)
 
     def _edges(self, part: int) -> tuple[list[float], list[list]]:
         """Of a part: the log-mass up to each place, and the pieces that end there (start, ids, log-weight)."""
         if part in self.lattices:
             return self.lattices[part]
-        text = self.parts[part]
+        text = self._text(self.best(part, 0)).replace(" ", SPACE)
         mass, edges = [0.0], [[]]
         for j in range(1, len(text) + 1):
             own = []
@@ -269,7 +368,7 @@ class Vocabulary:
             logs = [mass[i] + w for i, _, w in own]
             top = max(logs)
             mass.append(top + math.log(sum(math.exp(x - top) for x in logs)))
-        if len(self.lattices) >= 10_000:
+        if len(self.lattices) >= LATTICES:
             self.lattices.clear()
         self.lattices[part] = mass, edges
         return mass, edges
@@ -326,31 +425,33 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
 
 
 class Parts:
-    """What is known of the parts of some texts, or of one of them, in order."""
+    """What is known of the parts of some texts, or of one of them, in order; by segmentation, then part."""
 
-    FIELDS = ("share", "logs", "other", "up_to", "start", "size")
+    FIELDS = ("logs", "up_to", "rest")
 
     def __init__(self, words: Vocabulary, parts: np.ndarray, **known: np.ndarray):
         self.words, self.parts = words, parts
-        if not known:
-            logs, other = words.logs[parts], words.other[parts]
-            share = np.exp(logs)
-            up_to = np.cumsum(share, axis=1)
-            # without others, the last segmentation there is takes the rounding
-            last = np.where(other == 0, np.maximum(1, (share > 0).sum(axis=1)) - 1, BEST)
-            up_to[np.arange(BEST) >= last[:, None]] = np.inf
-            known = {"share": share, "logs": logs, "other": other, "up_to": up_to, "start": words.start[parts].astype(np.int64), "size": words.size[parts].astype(np.int64)}
+        known = known or {name: np.ascontiguousarray(getattr(words, name)[parts].T) for name in self.FIELDS}
         for name in self.FIELDS:
             setattr(self, name, known[name])
 
     def __getitem__(self, which: slice) -> Parts:
-        return Parts(self.words, self.parts[which], **{name: getattr(self, name)[which] for name in self.FIELDS})
+        return Parts(self.words, self.parts[which], **{name: getattr(self, name)[..., which] for name in self.FIELDS})
 
     def __len__(self) -> int:
         return len(self.parts)
 
-    def encoded(self) -> np.ndarray:
-        return self.words.flat[_ragged(self.start[:, BEST], self.size[:, BEST])]
+
+def _ids(words: Vocabulary, parts: np.ndarray, choice: np.ndarray, odd: dict[int, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of parts by the numbers of their segmentations, those in ``odd`` by place; and the number of ids of each part."""
+    starts, sizes = words.start[parts, choice].astype(np.int64), words.size[parts, choice].astype(np.int64)
+    if not odd:
+        return words.flat[_ragged(starts, sizes)], sizes
+    places = np.array(sorted(odd))
+    sizes[places] = 0
+    ids, ends, more = words.flat[_ragged(starts, sizes)], np.cumsum(sizes), [len(odd[k]) for k in places.tolist()]
+    sizes[places] = more
+    return np.insert(ids, np.repeat(ends[places], more), [x for k in places.tolist() for x in odd[k]]), sizes
 
 
 class Segmentation:
@@ -363,32 +464,33 @@ class Segmentation:
         return self.odd[k] if k in self.odd else parts.words.best(int(parts.parts[k]), int(self.choice[k]))
 
     def ids(self, parts: Parts) -> np.ndarray:
-        every, column = np.arange(len(parts)), np.minimum(self.choice, BEST - 1)
-        starts, sizes = parts.start[every, column], np.where(self.choice < BEST, parts.size[every, column], 0)
-        ids = parts.words.flat[_ragged(starts, sizes)]
-        if not self.odd:
-            return ids
-        ends, odd = np.cumsum(sizes), sorted(self.odd)
-        return np.insert(ids, np.repeat(ends[odd], [len(self.odd[k]) for k in odd]), [x for k in odd for x in self.odd[k]])
+        return _ids(parts.words, parts.parts, self.choice, self.odd)[0]
 
 
 def _fill(parts: Parts, out: Segmentation, start: int, random: np.random.Generator) -> None:
     """Draws the parts from ``start`` on by their probabilities."""
-    choice = (random.random(len(parts) - start)[:, None] >= parts.up_to[start:]).sum(axis=1)
+    u = random.random(len(parts) - start)
+    choice = (u >= parts.up_to[:, start:]).view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
     out.choice[start:] = choice
-    out.logs[start:] = parts.logs[np.arange(start, len(parts)), np.minimum(choice, BEST - 1)]
-    for k in np.flatnonzero(choice == BEST) + start:
+    out.logs[start:] = parts.logs[np.minimum(choice, BEST - 1), np.arange(start, len(parts))]
+    for k in ((choice == BEST).nonzero()[0] + start).tolist():
         part = int(parts.parts[k])
-        out.odd[int(k)], out.logs[k] = parts.words.draw(part, random, {parts.words.best(part, s) for s in range(BEST)})
+        out.odd[k], out.logs[k] = parts.words.draw(part, random, {parts.words.best(part, s) for s in range(BEST)})
 
 
 def _left(parts: Parts, k: int, without: dict[tuple[int, ...], float]) -> tuple[list[int], np.ndarray, float]:
     """Of a part without some segmentations: its best ones that are left, their shares, the share of the others."""
     best = [parts.words.best(int(parts.parts[k]), s) for s in range(BEST)]
-    options = [s for s in range(BEST) if parts.share[k, s] > 0 and best[s] not in without]
+    share = np.exp(parts.logs[:, k])
+    options = [s for s in range(BEST) if share[s] > 0 and best[s] not in without]
     gone = sum(p for w, p in without.items() if w not in best)
-    other = float(parts.other[k]) - gone
-    return options, parts.share[k, options], other if other > TINY else 0.0
+    other = float(parts.words.other[parts.parts[k]]) - gone
+    return options, share[options], other if other > TINY else 0.0
+
+
+def _below(key: float, drawn: float) -> float:
+    """The largest perturbed value of a region, as ``drawn``, if it is to lie below ``key``."""
+    return float(-np.logaddexp(-key, -drawn))
 
 
 def sample(parts: Parts, k: int, random: np.random.Generator) -> list[tuple[Segmentation, float, float]]:
@@ -403,33 +505,30 @@ def sample(parts: Parts, k: int, random: np.random.Generator) -> list[tuple[Segm
     while True:
         found.append(base)
         # what is left of the region: by the first place, from ``place`` on, that differs from its segmentation
-        logs, choice = base.logs[place:], base.choice[place:]
-        shares = parts.share[place:].copy()
-        own = np.flatnonzero(choice < BEST)
-        shares[own, choice[own]] = 0
-        others = parts.other[place:].copy()
-        odd = np.flatnonzero(choice == BEST)
-        others[odd] -= np.exp(logs[odd])
-        others[others < TINY] = 0
-        rest = shares.sum(axis=1) + others
+        logs = base.logs[place:]
+        size = parts.rest[np.minimum(base.choice[place:], BEST - 1), np.arange(place, n)]
         taken = without | {base.at(parts, place): float(np.exp(logs[0]))}
-        _, left, other = _left(parts, place, taken)
-        rest[0] = left.sum() + other
         with np.errstate(divide="ignore"):
-            size = np.log(rest)
+            for p in base.odd:
+                if p > place:
+                    other = words.other[parts.parts[p]] - np.exp(base.logs[p])
+                    size[p - place] = np.log(np.exp(parts.logs[:, p]).sum() + (other if other >= TINY else 0.0))
+            _, left, other = _left(parts, place, taken)
+            size[0] = np.log(left.sum() + other)
         size += float(base.logs[:place].sum()) - logs + np.cumsum(logs)
         drawn = size - np.log(random.standard_exponential(len(size)))
-        keys = np.where(rest > 0, -np.logaddexp(-key, -drawn), -np.inf)  # below the key they were split from
-        splits.append((keys, base, place, taken))
-        keys, source, start, taken = max(splits, key=lambda s: s[0].max())
-        at = int(np.argmax(keys))
-        key = float(keys[at])
+        # keys lie below the one they were split from, in the order of what is drawn
+        splits.append([_below(key, drawn.max()), key, drawn, base, place, taken])
+        split = max(splits, key=lambda s: s[0])
+        key, above, drawn, source, start, taken = split
         if len(found) == k:
             limit = key
             break
         if np.isneginf(key):
             break
-        keys[at] = -np.inf
+        at = int(np.argmax(drawn))
+        drawn[at] = -np.inf
+        split[0] = _below(above, drawn.max())
         place = start + at
         without = taken if at == 0 else {source.at(parts, place): float(np.exp(source.logs[place]))}
         base = Segmentation(source.choice.copy(), source.logs.copy(), {p: v for p, v in source.odd.items() if p < place})
@@ -437,7 +536,7 @@ def sample(parts: Parts, k: int, random: np.random.Generator) -> list[tuple[Segm
         pick = int(np.searchsorted(np.cumsum(share), random.random() * (share.sum() + other), "right"))
         if pick < len(options) or not other:
             pick = options[min(pick, len(options) - 1)]
-            base.choice[place], base.logs[place] = pick, parts.logs[place, pick]
+            base.choice[place], base.logs[place] = pick, parts.logs[pick, place]
         else:
             part = int(parts.parts[place])
             base.choice[place] = BEST
@@ -468,33 +567,56 @@ def segment(docs: DataFrame, model: str, *, keep: tuple[str, ...] = ("doc_id",),
             return [pa.array(sizes), pa.array([zlib.crc32(x.astype("<i4")) for x in many], pa.int64())]
         return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *many]), pa.int32()))]
 
+    def split(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """The ids of each run of parts that ends before ``ends``."""
+        return np.split(ids, np.concatenate([[0], np.cumsum(sizes)])[ends[:-1]]) if len(ends) else []
+
+    def drawn_from(words: Vocabulary, numbers: np.ndarray, per_text: np.ndarray, keys: list[int]):
+        """Of texts: the ids of the samples, one after the other, their log-probabilities and inclusions, samples per text."""
+        parts, ends = Parts(words, numbers), np.cumsum(per_text)
+        choices, owners, odd, stops, logs, inclusions, counts, done = [], [], {}, [], [], [], [], 0
+        for n, end, key in zip(per_text.tolist(), ends.tolist(), keys, strict=True):
+            own = parts[end - n : end]
+            got = sample(own, samples, np.random.Generator(np.random.Philox(key=[key & 0xFFFFFFFFFFFFFFFF, seed])))
+            for s, log, q in got:
+                choices.append(s.choice)
+                owners.append(own.parts)
+                odd.update({done + k: ids for k, ids in s.odd.items()})
+                done += n
+                stops.append(done)
+                logs.append(log)
+                inclusions.append(q)
+            counts.append(len(got))
+        ids, sizes = _ids(words, np.concatenate(owners), np.concatenate(choices), odd)
+        return split(ids, sizes, np.array(stops)), logs, inclusions, counts
+
     def run(batches):
         words = vocabulary(model, alpha)
         for batch in batches:
-            _, offs = utf8(batch.column("_text"))
+            offs = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("_text")).to_numpy(zero_copy_only=False), dtype=np.int64)])
             keys = batch.column("_key").to_pylist()
-            for i, j in slices(offs):
+            for i, j in slices(offs, SLICE // 2):
                 texts = batch.column("_text").slice(i, j - i).to_pylist()
                 numbers, per_text = words.cut(texts)
-                parts, exact = Parts(words, numbers), words.exact[numbers]
                 ends = np.cumsum(per_text)
-                encoded, decodes, drawn, logs, inclusions, counts = [], [], [], [], [], []
-                for r in range(j - i):
-                    which = slice(ends[r] - per_text[r], ends[r])
-                    own = parts[which]
-                    random = np.random.Generator(np.random.Philox(key=[keys[i + r] & 0xFFFFFFFFFFFFFFFF, seed]))
-                    encoded.append(own.encoded())
-                    decodes.append(bool(exact[which].all()) and SPACE not in texts[r])
-                    got = sample(own, samples, random)
-                    drawn += [s.ids(own) for s, _, _ in got]
-                    logs += [log for _, log, _ in got]
-                    inclusions += [q for _, _, q in got]
-                    counts.append(len(got))
+                encoded = split(*_ids(words, numbers, np.full(len(numbers), BEST), {}), ends)
+                fails = np.concatenate([[0], np.cumsum(~words.exact[numbers])])
+                decodes = [a == b and SPACE not in t for a, b, t in zip(fails[ends - per_text].tolist(), fails[ends].tolist(), texts, strict=True)]
+                drawn, logs, inclusions, counts, a = [], [], [], [], 0
+                while a < j - i:
+                    b = max(a + 1, int(np.searchsorted(ends, ends[a] - per_text[a] + TOGETHER, "right")))
+                    got = drawn_from(words, numbers[ends[a] - per_text[a] : ends[b - 1]], per_text[a:b], keys[i + a : i + b])
+                    for known, more in zip((drawn, logs, inclusions, counts), got, strict=True):
+                        known += more
+                    a = b
                 inner = pa.StructArray.from_arrays([*shown(drawn), pa.array(logs, pa.float64()), pa.array(inclusions, pa.float64())], fields=list(target.field("samples").type.value_type))
                 listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), inner).cast(target.field("samples").type)
                 made = [*shown(encoded), *([pa.array(decodes)] if digest else []), listed]
                 made = [x.cast(f.type) for x, f in zip(made, list(target)[len(keep) :], strict=True)]
+                del inner, listed
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(len(keep))), *made], schema=target)
+            del batch, made
+        pa.default_memory_pool().release_unused()  # workers live on, and Arrow keeps the memory of a task's rows
 
     out = rows.mapInArrow(run, schema)
     return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(keep)), *out.columns[len(keep) :])

@@ -1,9 +1,11 @@
 """Operators 2, 4, 6, 8 and 9, and the pipeline's stages."""
 
+import gc
 import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -339,6 +341,41 @@ def test_pieces_round_trip(spark):
     assert pieces.segment(docs.limit(0), MODEL).count() == 0
 
 
+def random_words(n, seed=4):
+    """Texts of made-up words, nearly all of them parts not met before."""
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 24))) for _ in range(100)) for _ in range(n // 100)]
+
+
+def test_parts_kept_in_a_worker_take_flat_arrays():
+    """What a worker keeps adds up over its tasks: numbers in arrays, no objects for each part."""
+    words = pieces.Vocabulary(MODEL, 1.0)
+    words.cut(random_words(2000, 5))
+    gc.collect()
+    tracemalloc.start()
+    words.cut(random_words(30_000))
+    gc.collect()
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert words.rows > 30_000 and kept < 15e6  # 12 MB; with strings and dictionaries of parts 18 MB
+
+
+def test_parts_learnt_side_by_side_are_as_alone():
+    """Masses and best segmentations do not depend on what else is learnt, nor on what was dropped in between."""
+    texts = [*random_words(1000), "a", "", "䷿x\n\n", "\n", "😀 \x00z", "e" * 3000, "▁ the  cat"]
+    together = pieces.Vocabulary(MODEL, 1.0)
+    numbers, per_text = together.cut(texts)
+    ends = np.cumsum(per_text)
+    alone = pieces.Vocabulary(MODEL, 1.0)
+    for text, end, n in zip(texts[-12:], ends[-12:], per_text[-12:], strict=True):
+        alone.clear()
+        own, _ = alone.cut([text])
+        for a, b in zip(numbers[end - n : end].tolist(), own.tolist(), strict=True):
+            for name in ("logs", "other", "up_to", "rest", "exact", "size"):
+                np.testing.assert_allclose(getattr(together, name)[a], getattr(alone, name)[b], rtol=1e-9, atol=1e-12)
+            assert [together.best(a, s) for s in range(pieces.BEST + 1)] == [alone.best(b, s) for s in range(pieces.BEST + 1)]
+
+
 # -- pipeline
 
 def test_pipeline_stages_against_brute_force(spark):
