@@ -360,6 +360,14 @@ def test_parts_kept_in_a_worker_take_flat_arrays():
     assert words.rows > 30_000 and kept < 15e6  # 12 MB; with strings and dictionaries of parts 18 MB
 
 
+def test_new_parts_of_all_lengths_are_learnt_together(monkeypatch):
+    """A text's few new parts of each length must not cost a run of small steps for every length."""
+    words, runs, plain = pieces.Vocabulary(MODEL, 1.0), [], pieces.Vocabulary._lattice
+    monkeypatch.setattr(pieces.Vocabulary, "_lattice", lambda self, *more: runs.append(1) or plain(self, *more))
+    numbers, _ = words.cut(random_words(1000))
+    assert len(set(numbers.tolist())) > 500 and len(runs) == 1
+
+
 def test_parts_learnt_side_by_side_are_as_alone():
     """Masses and best segmentations do not depend on what else is learnt, nor on what was dropped in between."""
     texts = [*random_words(1000), "a", "", "䷿x\n\n", "\n", "😀 \x00z", "e" * 3000, "▁ the  cat"]
