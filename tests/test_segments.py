@@ -1,6 +1,7 @@
 """Tickers cut into blocks give what whole-ticker windows give."""
 
 import datetime as dt
+import math
 import random
 import uuid
 
@@ -8,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.config import PanelConfig
+from pitpanel.operators import windows as W
 from pitpanel.operators.segments import BLOCK, Blocks
+from pitpanel.plans import intermediate as I
 from pitpanel.plans.dag import Build
 from pitpanel.session import ensure_checkpoint_dir
 from pitpanel.sources import schemas
@@ -153,3 +156,69 @@ def test_a_hot_ticker_spreads_over_tasks(spark):
         assert spread(["ticker", BLOCK], blocks.tag(prices)) < 3 < spread(["ticker"], prices)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+#: As many pieces as there may be rows: the cut tickers and their blocks grow with the data.
+GROWING = PanelConfig(block_rows=64, block_pieces=1 << 30)
+
+
+def several_long(spark, days=300):
+    """Three tickers that are cut (L, M and none), and the short ones."""
+    src = long_and_short(spark, days)
+    long = src.daily_prices.filter("ticker = 'L'")
+    for name in ("M", None):
+        src.daily_prices = src.daily_prices.unionByName(long.withColumn("ticker", F.lit(name).cast("string")))
+    return src
+
+
+def test_blocks_that_grow_with_the_data_are_not_broadcast(spark):
+    """The driver holds what is broadcast, so nothing with a row a ticker or a block is, even where small tables would be."""
+    src = several_long(spark)
+    whole, cut = Build(spark, src, WHOLE), Build(spark, src, GROWING, out_dir=folder(spark))
+    assert {r._cut for r in cut.blocks.table.collect()} == {"L", "M", None} and not cut.blocks.bounded
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(I.price_blocks(cut["stg_daily_prices_raw"], GROWING).table)
+    for model in ("int_daily_prices_adjusted", "int_daily_indicators", "mart_vbt_master_dataset"):
+        joins = [line for line in plan(getattr(cut, f"_{model}")()).splitlines() if "Join" in line]
+        assert any("ShuffledHashJoin" in j and "_cut" in j for j in joins)
+        assert not any("Broadcast" in j and ("_cut" in j or BLOCK in j or "isnull" in j) for j in joins), joins
+        same(cut[model], whole[model])
+
+
+def test_blocks_are_the_same_whether_or_not_they_are_bounded(spark):
+    dates = [D(2020, 1, 1) + dt.timedelta(days=k) for k in range(400)]
+    rows = [("A", d) for d in dates for _ in range(3)] + [("B", d) for d in dates[:101]] + [("C", d) for d in dates[:100]]
+    rows += [(None, d) for d in dates[:250]] + [("A", None)] * 5
+    df = spark.createDataFrame(rows, "ticker string, date date")
+    few, many = (Blocks(df, halo=30, least=100, pieces=pieces) for pieces in (1 << 14, 1 << 30))
+    assert few.bounded and not many.bounded
+    found = sorted(map(str, many.table.collect()))
+    assert len(found) == 2 and found == sorted(map(str, few.table.collect()))    # B's second block is too small
+    parts = df.filter("ticker = 'A'"), df.filter("ticker IS NULL OR ticker <> 'A'").withColumn("more", F.lit(1))
+    assert sorted(map(str, few.cut(*parts).collect())) == sorted(map(str, many.cut(*parts).collect()))
+    assert many.cut(*parts).count() == 3 * 400 + 5 + 250
+    assert sorted(map(str, few.tag(df).collect())) == sorted(map(str, many.tag(df).collect()))
+
+
+def test_entering_values_take_no_join(spark):
+    starts = [D(2020, 1, k) for k in (3, 5, 7)]
+    blocks = Blocks.of(spark.createDataFrame([("A", starts), (None, starts[:2]), ("B", starts[:1])], "_cut string, _starts array<date>"))
+    ends = spark.createDataFrame([("A", 0, 1.0, "x"), ("A", 1, None, "y"), ("A", 3, 9.0, "z"), (None, 1, 5.0, None), ("B", 1, 7.0, "w")],
+                                 f"ticker string, {BLOCK} int, v double, s string")
+    out = blocks.entering(ends, ["v", "s"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    got = {(r.ticker, r[BLOCK]): (r["_start"], r.v, r.s) for r in out.collect()}
+    assert got == {("A", 1): (starts[0], 1.0, "x"), ("A", 2): (starts[1], 1.0, "y"), ("A", 3): (starts[2], 1.0, "y"),
+                   (None, 1): (starts[0], None, None), (None, 2): (starts[1], 5.0, None), ("B", 1): (starts[0], None, None)}
+
+
+def test_the_log_sum_of_later_blocks_stands_before_a_blocks_rows(spark):
+    """No join completes the reverse product, and a block without a logarithm of its own or after it stays NULL."""
+    rows = [("A", 0, None, 2, 1.5, False), *[("A", 0, D(2020, 1, k), None, f, True) for k, f in ((2, 2.0), (1, 0.0))],
+            ("B", 0, D(2020, 1, 1), None, 0.0, True)]
+    df = spark.createDataFrame([(t, b, d, float(c) if c else None, f, p) for t, b, d, c, f, p in rows],
+                               f"ticker string, {BLOCK} int, date date, _later double, f double, price boolean")
+    ln = W.reverse_log_sum("f", [F.col("date").desc_nulls_first(), F.col("f").asc()], ["ticker", BLOCK], "_later")
+    got = {(r.ticker, r.date): r.ln for r in df.withColumn("ln", ln).filter("price").collect()}
+    assert got[("B", D(2020, 1, 1))] is None and got[("A", D(2020, 1, 2))] == got[("A", D(2020, 1, 1))] == pytest.approx(2 + math.log(2))
